@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import or_empty
+
 
 def into_files(df: DataFrame, num_files: int | None, key: Sequence[str] = ()) -> DataFrame:
     """Spread over a fixed number of output files; ``None`` keeps the partitions."""
@@ -24,12 +26,15 @@ def write_orc_strings(df: DataFrame, path: str, num_files: int | None = None) ->
 
 def write_tsv(df: DataFrame, path: str, num_files: int | None = None,
               sort_by: Sequence[str] = ()) -> None:
-    """Columns joined by tabs, NULLs left out; ``sort_by`` orders each file's lines."""
+    """Columns joined by tabs; ``sort_by`` orders each file's lines.
+
+    A NULL in the first column leaves out that column, any other NULL is empty text.
+    """
     spread = into_files(df, num_files)
     if sort_by:
         spread = spread.sortWithinPartitions(*sort_by)
-    fields = [F.col(f"`{c}`").cast("string") for c in df.columns]
-    spread.select(F.concat_ws("\t", *fields).alias("value")).write.mode("overwrite").text(path)
+    first, *rest = [F.col(f"`{c}`") for c in df.columns]
+    spread.select(F.concat_ws("\t", first.cast("string"), *[or_empty(c) for c in rest]).alias("value")).write.mode("overwrite").text(path)
 
 
 def write_sequence(df: DataFrame, path: str, column: str = "line") -> None:
