@@ -38,18 +38,14 @@ def _gated(value: Column, pattern: str, type_name: str) -> Column:
     return F.when(text.rlike(pattern), text.try_cast(type_name))
 
 
-def _unsigned(value: Column, start: int, width: int) -> Column:
-    """Up to seven bytes from a 1-based position, as a non-negative long."""
-    return F.conv(F.hex(F.substring(value, start, width)), 16, 10).cast("bigint")
-
-
 def _signed(value: Column, width: int) -> Column:
     """The leading big-endian two's-complement integer; NULL when too short."""
     if width == 8:
         number = F.conv(F.hex(F.substring(value, 1, 8)), 16, -10).cast("bigint")
     else:
         span, half = 1 << (8 * width), 1 << (8 * width - 1)
-        number = F.pmod(_unsigned(value, 1, width) + F.lit(half), F.lit(span)) - F.lit(half)
+        bits = F.conv(F.hex(F.substring(value, 1, width)), 16, 10).cast("bigint")
+        number = F.pmod(bits + F.lit(half), F.lit(span)) - F.lit(half)
     return F.when(F.octet_length(value) >= width, number)
 
 
@@ -99,47 +95,50 @@ def decode_bigint(value: Column, encoding: str = "auto") -> Column:
     return _integer(value, "bigint", encoding)
 
 
-def _ieee(sign: Column, exponent: Column, fraction: Column, bits: int, bias: int) -> Column:
-    """The number behind IEEE-754 fields; every step is exact in a double."""
-    scaled = fraction.cast("double") / F.lit(float(1 << bits))
-    special = 2 * bias + 1
-    size = (
-        F.when((exponent == special) & (fraction == 0), F.lit(float("inf")))
-        .when(exponent == special, F.lit(float("nan")))
-        .when(exponent == 0, scaled * F.pow(F.lit(2.0), F.lit(float(1 - bias))))
-        .otherwise((scaled + 1.0) * F.pow(F.lit(2.0), (exponent - bias).cast("double")))
-    )
-    return F.when(sign == 1, F.negative(size)).otherwise(size)
+def _ieee_text(sign: Column, exponent: Column, fraction: Column, bias: int) -> Column:
+    """IEEE-754 fields as hexadecimal floating-point text, which reads back exactly."""
+    number = F.concat(
+        F.when(exponent == 0, "0x0.").otherwise("0x1."), fraction, F.lit("p"),
+        (F.greatest(exponent, F.lit(1)) - bias).cast("string"))
+    special = F.when(fraction.rlike("^0+$"), "Infinity").otherwise("NaN")
+    return F.concat(sign, F.when(exponent == 2 * bias + 1, special).otherwise(number))
 
 
 def _float_bytes(value: Column) -> Column:
-    bits = _unsigned(value, 1, 4)
-    number = _ieee(
-        F.shiftrightunsigned(bits, 31),
-        F.shiftrightunsigned(bits, 23).bitwiseAND(F.lit(0xFF)),
-        bits.bitwiseAND(F.lit(0x7FFFFF)),
-        bits=23, bias=127,
-    )
-    return F.when(F.octet_length(value) >= 4, number.cast("float"))
+    digits = F.hex(F.substring(value, 1, 4))
+    bits = F.conv(digits, 16, 10).cast("bigint")
+    text = _ieee_text(
+        F.when(bits >= 1 << 31, "-").otherwise(""),
+        F.shiftright(bits, 23).bitwiseAND(F.lit(0xFF)),
+        # 23 fraction bits fill six hexadecimal digits after one shift.
+        F.lpad(F.hex(F.shiftleft(bits.bitwiseAND(F.lit(0x7FFFFF)), 1)), 6, "0"),
+        bias=127)
+    return F.when(F.octet_length(value) >= 4, text)
 
 
 def _double_bytes(value: Column) -> Column:
-    head, tail = _unsigned(value, 1, 2), _unsigned(value, 3, 6)
-    number = _ieee(
-        F.shiftrightunsigned(head, 15),
-        F.shiftrightunsigned(head, 4).bitwiseAND(F.lit(0x7FF)),
-        head.bitwiseAND(F.lit(0xF)) * F.lit(1 << 48) + tail,
-        bits=52, bias=1023,
-    )
-    return F.when(F.octet_length(value) >= 8, number)
+    digits = F.hex(F.substring(value, 1, 8))
+    head = F.conv(F.substring(digits, 1, 3), 16, 10).cast("int")
+    text = _ieee_text(
+        F.when(head >= 1 << 11, "-").otherwise(""),
+        head.bitwiseAND(F.lit(0x7FF)),
+        F.substring(digits, 4, 13),
+        bias=1023)
+    return F.when(F.octet_length(value) >= 8, text)
+
+
+def _from_text(value: Column, pattern: str, bytes_text: Column, type_name: str, encoding: str) -> Column:
+    """Number text, or the text of a binary number, through one cast."""
+    text = _as_text(value)
+    return _choose(encoding, F.when(text.rlike(pattern), text), bytes_text).try_cast(type_name)
 
 
 def decode_float(value: Column, encoding: str = "auto") -> Column:
-    return _choose(encoding, _gated(value, FLOAT_TEXT, "float"), _float_bytes(value))
+    return _from_text(value, FLOAT_TEXT, _float_bytes(value), "float", encoding)
 
 
 def decode_double(value: Column, encoding: str = "auto") -> Column:
-    return _choose(encoding, _gated(value, FLOAT_TEXT, "double"), _double_bytes(value))
+    return _from_text(value, FLOAT_TEXT, _double_bytes(value), "double", encoding)
 
 
 def decode_string(value: Column, encoding: str = "auto") -> Column:
@@ -162,33 +161,25 @@ def decode_binary(value: Column, encoding: str = "auto") -> Column:
     return value
 
 
-def _decimal_bytes(value: Column, type_name: str) -> Column:
-    """Four bytes of scale, then a two's-complement integer of 1 to 16 bytes."""
+def _decimal_bytes(value: Column) -> Column:
+    """Text for four bytes of scale and a two's-complement integer of 1 to 16 bytes."""
     size = F.octet_length(value)
-    unscaled = F.substring(value, 5, 16)
-    fill = F.when(F.hex(F.substring(value, 5, 1)) >= "80", F.lit("FF")).otherwise(F.lit("00"))
-    digits = F.concat(F.repeat(fill, 20 - size), F.hex(unscaled))
-
-    def word(index: int) -> Column:
-        return F.conv(F.substring(digits, 8 * index + 1, 8), 16, 10).cast("decimal(38,0)")
-
-    # Two's complement: the top word is signed, the lower ones are not.
-    top = word(0)
-    top = F.when(top >= F.lit(1 << 31), top - F.lit(1 << 32)).otherwise(top).cast("decimal(38,0)")
-    base = F.lit(1 << 32).cast("decimal(11,0)")
-    number = top
-    for index in (1, 2, 3):
-        shifted = F.try_multiply(number, base).cast("decimal(38,0)")
-        number = F.try_add(shifted, word(index)).cast("decimal(38,0)")
+    digits = F.hex(F.substring(value, 5, 16))
+    fill = F.when(F.substring(digits, 1, 1) >= "8", "F").otherwise("0")
+    digits = F.lpad(digits, 32, fill)
+    # The upper eight bytes are signed, the lower ones are not.
+    upper = F.conv(F.substring(digits, 1, 16), 16, -10).cast("decimal(38,0)")
+    lower = F.conv(F.substring(digits, 17, 16), 16, 10).cast("decimal(38,0)")
+    number = F.try_add(F.try_multiply(upper, F.lit(str(1 << 64)).cast("decimal(38,0)")), lower)
     # A scale beyond these bounds gives zero or an overflow all the same.
-    exponent = F.negative(F.greatest(F.least(_signed(value, 4), F.lit(99)), F.lit(-99))).cast("string")
-    scaled = F.concat(number.cast("string"), F.lit("E"), exponent)
-    return F.when(size.between(5, 20), scaled.try_cast(type_name))
+    exponent = F.negative(F.greatest(F.least(_signed(value, 4), F.lit(99)), F.lit(-99)))
+    scaled = F.concat(number.cast("string"), F.lit("E"), exponent.cast("string"))
+    return F.when(size.between(5, 20), scaled)
 
 
 def decode_decimal(value: Column, precision: int, scale: int, encoding: str = "auto") -> Column:
     type_name = f"decimal({precision},{scale})"
-    return _choose(encoding, _gated(value, DECIMAL_TEXT, type_name), _decimal_bytes(value, type_name))
+    return _from_text(value, DECIMAL_TEXT, _decimal_bytes(value), type_name, encoding)
 
 
 _BY_TYPE = {

@@ -17,6 +17,7 @@ from ..functions.decode import decode
 from ..functions.text import or_empty
 from ..model import VERSION, ColumnSpec
 from .select import map_columns, pick_qualifiers, require, require_nonempty, with_partition
+from .skew import HOT_ROWS, with_salt
 
 # Above this many columns, rows are put together from a map instead of from one
 # filtered aggregate per column.
@@ -124,14 +125,14 @@ def assemble_from_rows(rows: DataFrame, names: Mapping[str, str], *, key: str =
 
 
 def dump_pairs(cells: DataFrame, num_files: int | None = None, *, key: str = "row_key",
-               order: Sequence[str] = VERSION) -> DataFrame:
+               hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Every cell's key, qualifier and value text, ordered by key in each file.
 
-    Rows are spread by ranges of key *and* version, so the cells of one large row
-    continue over several files instead of filling a single task.
+    The cells of a key stay together, except that a key above ``hot_rows`` cells is
+    spread over several tasks; ``hot_rows=None`` leaves out that check.
     """
-    ranges = [key, "family", "qualifier", *order]
-    spread = (cells.repartitionByRange(num_files, *ranges) if num_files
-              else cells.repartitionByRange(*ranges))
-    return spread.sortWithinPartitions(*ranges).select(
+    salted = cells.withColumn("_salt", F.lit(0)) if hot_rows is None else with_salt(cells, [key], hot_rows)
+    together = [key, "_salt"]
+    spread = salted.repartition(num_files, *together) if num_files else salted.repartition(*together)
+    return spread.sortWithinPartitions(key).select(
         key, "qualifier", F.col("value").cast("string").alias("value"))

@@ -10,9 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import java_split, label, or_empty, zip_to_map
 from .select import conform, drop_columns
-from .skew import HOT_ROWS, hot_keys, key_hash, spread
-
-SALTS = 64
+from .skew import HOT_ROWS, hot_keys, key_hash, spread_number
 
 
 def tagged_union(sides: Mapping[str, DataFrame], tag: str = "type") -> DataFrame:
@@ -82,8 +80,7 @@ def override_columns(left: Sequence[str], right: Sequence[str], key: Sequence[st
 
 def inner_join(left: DataFrame, right: DataFrame, key: Sequence[str], *,
                schema: T.StructType | None = None, without: Sequence[str] = ("dt",),
-               text: bool = False, skew: str = "auto", hot_rows: int = HOT_ROWS,
-               salts: int = SALTS) -> DataFrame:
+               text: bool = False, skew: str = "auto", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every pair of records with equal keys, as one merged row each.
 
     Columns named in ``without`` are left out, the right side wins for a shared
@@ -98,7 +95,7 @@ def inner_join(left: DataFrame, right: DataFrame, key: Sequence[str], *,
     picked = override_columns(left.columns, right.columns, key)
     on = list(key)
     if skew == "salt" or (skew == "auto" and not _adaptive_skew_join(left)):
-        left, right = _salted(left, right, on, hot_rows, salts)
+        left, right = _salted(left, right, on, hot_rows)
         on += ["_a", "_b"]
     elif skew not in ("auto", "none"):
         raise ValueError(f"skew must be 'auto', 'salt' or 'none', not {skew!r}")
@@ -115,27 +112,25 @@ def _adaptive_skew_join(df: DataFrame) -> bool:
     return all(conf.get(s) == "true" for s in switches)
 
 
-def _salted(left: DataFrame, right: DataFrame, key: list[str], hot_rows: int, salts: int):
+def _salted(left: DataFrame, right: DataFrame, key: list[str], hot_rows: int):
     """Both sides with salt columns ``_a`` and ``_b``, 0 for ordinary keys.
 
-    ``_a`` spreads keys that are large on the left: a left row draws one salt and
-    a right row is repeated for each. ``_b`` does the same for the right.
+    ``_a`` spreads keys that are hot on the left: a left row draws one salt and a
+    right row is repeated for each. ``_b`` does the same for the right.
     """
-    hot_left = F.broadcast(hot_keys(left, key, hot_rows).withColumnRenamed("_hot", "_hot_left"))
-    hot_right = F.broadcast(hot_keys(right, key, hot_rows).withColumnRenamed("_hot", "_hot_right"))
+    hot_left = F.broadcast(hot_keys(left, key, hot_rows).toDF("_hot_left", "_salts_left"))
+    hot_right = F.broadcast(hot_keys(right, key, hot_rows).toDF("_hot_right", "_salts_right"))
 
     def prepare(df: DataFrame, own: str, own_salt: str, other: str, other_salt: str) -> DataFrame:
-        columns = df.columns
-        drawn = spread(df, salts)
         marked = (
-            df.withColumn("_drawn", drawn)
+            df.withColumn("_spread", spread_number(df))
             .join(hot_left, key_hash(key) == F.col("_hot_left"), "left")
             .join(hot_right, key_hash(key) == F.col("_hot_right"), "left"))
-        every = F.when(F.col(other).isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1)))
+        every = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
         return marked.select(
-            *[F.col(f"`{c}`") for c in columns],
-            F.when(F.col(own).isNotNull(), F.col("_drawn")).otherwise(0).alias(own_salt),
-            F.explode(F.coalesce(every, F.array(F.lit(0)))).alias(other_salt))
+            *[F.col(f"`{c}`") for c in df.columns],
+            F.pmod("_spread", F.coalesce(own, F.lit(1))).alias(own_salt),
+            F.explode(every).alias(other_salt))
 
-    return (prepare(left, "_hot_left", "_a", "_hot_right", "_b"),
-            prepare(right, "_hot_right", "_b", "_hot_left", "_a"))
+    return (prepare(left, "_salts_left", "_a", "_salts_right", "_b"),
+            prepare(right, "_salts_right", "_b", "_salts_left", "_a"))

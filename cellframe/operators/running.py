@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from ..model import VERSION
 from .skew import HOT_ROWS, split_hot
 
+# More chunks than tasks even out their sizes; the bound keeps the rows that
+# travel between chunks, at most half its square, few.
+MAX_CHUNKS = 4096
+
 
 def running_row(cells: DataFrame, names: Mapping[str, str], *, by: Sequence[str] = ("row_key",),
                 order: Sequence[str] = VERSION, hot_rows: int | None = HOT_ROWS,
@@ -49,7 +53,8 @@ def _scan_in_chunks(df: DataFrame, columns, by, order, chunks: int | None) -> Da
     knows about the group it may share with later chunks, is sent to all of
     those. Only one row per chunk travels, whatever the data size.
     """
-    chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks or min(4 * tasks, MAX_CHUNKS)
     ranged = df.repartitionByRange(chunks, *by, *order).withColumn("_chunk", F.spark_partition_id())
     # Both windows need the same distribution and the same sort.
     local = _filled(ranged, columns, Window.partitionBy("_chunk", *by).orderBy(*order))

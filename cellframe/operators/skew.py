@@ -11,25 +11,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with fewer rows than this fits one task.
+# A key with no more rows than this fits one task.
 HOT_ROWS = 5_000_000
 # At most this many keys are treated as hot, so a hot set is at most 64 KiB.
 HOT_KEYS = 4096
+# The most tasks one key is spread over.
+MAX_SALTS = 65_536
 
 
 def key_hash(key: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in key])
+    return F.xxhash64(*[F.col(f"`{k}`") for k in key])
 
 
 def hot_keys(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS,
              limit: int = HOT_KEYS) -> DataFrame:
-    """Hashes of the largest keys above ``hot_rows``; reads the key columns only.
+    """``_hot, _salts``: hashes of the largest keys above ``hot_rows`` rows.
 
-    Counting is combined inside each task. Keys beyond the ``limit`` largest hold
-    less than ``1/limit`` of all rows each.
+    ``_salts`` is how many tasks of ``hot_rows`` rows a key needs. Only the key
+    columns are read and counts are combined inside each task. Keys beyond the
+    ``limit`` largest hold less than ``1/limit`` of all rows each.
     """
     counts = df.select(key_hash(key).alias("_hot")).groupBy("_hot").agg(F.count("*").alias("_n"))
-    return counts.where(F.col("_n") >= hot_rows).orderBy(F.desc("_n"), "_hot").limit(limit).select("_hot")
+    largest = counts.where(F.col("_n") > hot_rows).orderBy(F.desc("_n"), "_hot").limit(limit)
+    salts = F.least(F.ceil(F.col("_n") / hot_rows), F.lit(MAX_SALTS)).cast("int")
+    return largest.select("_hot", salts.alias("_salts"))
 
 
 def split_hot(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -39,11 +44,20 @@ def split_hot(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS) -> tu
     return df.join(hot, match, "left_semi"), df.join(hot, match, "left_anti")
 
 
-def spread(df: DataFrame, salts: int) -> Column:
-    """A number below ``salts`` that differs between rows, and mostly between copies.
+def spread_number(df: DataFrame) -> Column:
+    """A number that differs between rows, and between copies in different partitions.
 
     It depends on a row's content and on the partition the row was read in, not on
-    random numbers or row order, so a task that runs again gives the same salts.
+    random numbers or row order, so a task that runs again gives the same numbers.
     """
     content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return F.pmod(F.hash(F.spark_partition_id(), content), F.lit(salts))
+    return F.hash(F.spark_partition_id(), content)
+
+
+def with_salt(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS, name: str = "_salt") -> DataFrame:
+    """Add a salt: below the key's number of tasks for a hot key, 0 for others."""
+    hot = F.broadcast(hot_keys(df, key, hot_rows))
+    drawn = df.withColumn("_spread", spread_number(df))
+    marked = drawn.join(hot, key_hash(key) == F.col("_hot"), "left")
+    salt = F.pmod("_spread", F.coalesce("_salts", F.lit(1)))
+    return marked.select(*[F.col(f"`{c}`") for c in df.columns], salt.alias(name))

@@ -80,7 +80,7 @@ def inner_join_large_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = lines.groupBy("l_returnflag", F.col("l_linestatus").alias("status")).agg(
         F.count("*").alias("n_lines"))
     picked = lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
-    return inner_join(picked, flags, ["l_returnflag"], skew="salt", hot_rows=1000, salts=8)
+    return inner_join(picked, flags, ["l_returnflag"], skew="salt", hot_rows=1000)
 
 
 @query("""
