@@ -8,14 +8,15 @@ from .operators.decode_table import decode_columns, decode_rejects, rejected_row
 from .operators.joins import inner_join, merge_as_map, merge_by_key, tagged_union
 from .operators.running import running_row
 from .plans.export import export
-from .sources.cells import compact, packed_scans, read_cells, read_orc, unpivot_to_cells
+from .session import COMPILED_METHODS, packed_scans, session_settings
+from .sources.cells import compact, read_cells, read_orc, unpivot_to_cells
 from .sources.lines import parse_delimited, read_lines, read_sequence, tag_source
 
 __all__ = [
-    "CELL", "MANIFEST", "ROWS", "ColumnSpec", "ExportSpec", "assemble", "assemble_from_rows",
+    "CELL", "COMPILED_METHODS", "MANIFEST", "ROWS", "ColumnSpec", "ExportSpec", "assemble", "assemble_from_rows",
     "assemble_strings", "assemble_tsv", "compact", "decode_columns", "decode_rejects", "dump_pairs",
     "export", "inner_join", "last_per_key", "merge_as_map", "merge_by_key", "packed_scans",
     "parse_delimited", "read_cells", "read_lines", "read_orc", "read_rows", "read_sequence",
-    "rejected_rows", "running_row", "side_counts", "tag_source", "tagged_union", "unpivot_to_cells",
+    "rejected_rows", "running_row", "session_settings", "side_counts", "tag_source", "tagged_union", "unpivot_to_cells",
     "word_count",
 ]

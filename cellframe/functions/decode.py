@@ -198,7 +198,7 @@ _BY_TYPE = {
 
 
 def decode(value: Column, data_type: T.DataType, encoding: str = "auto",
-           on_error: str = "null", name: str = "value") -> Column:
+           on_error: str = "null", name: Column | str = "value") -> Column:
     """A value's bytes as ``data_type``; unreadable bytes are NULL or an error.
 
     ``on_error`` is ``'null'`` or ``'fail'``. A NULL value stays NULL.
@@ -216,7 +216,7 @@ def decode(value: Column, data_type: T.DataType, encoding: str = "auto",
     if on_error == "null":
         return decoded
     message = F.concat(
-        F.lit(f"cannot decode {name} as {data_type.simpleString()}: 0x"), F.hex(value))
+        F.lit("cannot decode "), F.lit(name), F.lit(f" as {data_type.simpleString()}: 0x"), F.hex(value))
     broken = F.raise_error(message).cast(decoded_type(data_type))
     return F.coalesce(decoded, F.when(value.isNotNull(), broken))
 

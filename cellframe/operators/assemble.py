@@ -20,35 +20,54 @@ from .select import map_columns, pick_qualifiers, require, require_nonempty, wit
 from .skew import HOT_ROWS, with_salt
 
 # Above this many columns, rows are put together from a map instead of from one
-# filtered aggregate per column.
-WIDE_COLUMNS = 64
+# filtered aggregate per column, whose cost grows with columns times cells.
+WIDE_COLUMNS = 24
 
 
 def _version(order: Sequence[str]) -> str:
     return f"struct({', '.join(f'`{c}`' for c in order)})"
 
 
-def _newest(mapped: DataFrame, key: str, targets: Sequence[str], order: Sequence[str],
-            wide: bool) -> DataFrame:
+def _newest(mapped: DataFrame, key: str, targets: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key with the newest raw value of every target."""
-    if not wide:
-        return mapped.groupBy(key).agg(*[
-            F.expr(f"max_by(value, {_version(order)}) FILTER (WHERE slot = {i})").alias(t)
-            for i, t in enumerate(targets)
-        ])
-    # First one value per key and slot, which also spreads a large row key over
-    # many tasks; then at most one list entry per target column.
-    newest = mapped.groupBy(key, "slot").agg(F.expr(f"max_by(value, {_version(order)})").alias("value"))
-    by_slot = newest.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("slot", "value"))).alias("by_slot"))
-    return by_slot.select(key, *[
-        F.try_element_at("by_slot", F.lit(i)).alias(t) for i, t in enumerate(targets)])
+    return mapped.groupBy(key).agg(*[
+        F.expr(f"max_by(value, {_version(order)}) FILTER (WHERE slot = {i})").alias(t)
+        for i, t in enumerate(targets)
+    ])
+
+
+def _typed(raw: Column, is_bytes: bool, spec: ColumnSpec, on_error: str, name: Column | str) -> Column:
+    return decode(raw, spec.spark_type, spec.encoding, on_error, name) if is_bytes else raw.cast(spec.spark_type)
+
+
+def _narrow_rows(mapped: DataFrame, columns: Sequence[ColumnSpec], key: str, order: Sequence[str],
+                 is_bytes: bool, on_error: str) -> DataFrame:
+    names = [f"_c{i}" for i in range(len(columns))]
+    raw = _newest(mapped, key, names, order)
+    return raw.select(F.col(key).alias("_key"), *[
+        _typed(F.col(n), is_bytes, c, on_error, c.target).alias(c.target) for n, c in zip(names, columns)])
 
 
-def _typed(raw: Column, is_bytes: bool, spec: ColumnSpec, on_error: str) -> Column:
-    if not is_bytes:
-        return raw.cast(spec.spark_type)
-    return decode(raw, spec.spark_type, spec.encoding, on_error, spec.target)
+def _wide_rows(mapped: DataFrame, columns: Sequence[ColumnSpec], key: str, order: Sequence[str],
+               is_bytes: bool, on_error: str) -> DataFrame:
+    """The same rows for many columns.
+
+    First one value per key and slot, which also spreads a large row key over many
+    tasks. These are decoded by one expression per declared type rather than per
+    column; then a row is a map with at most one entry per target column.
+    """
+    newest = mapped.groupBy(key, "slot").agg(F.expr(f"max_by(value, {_version(order)})").alias("value"))
+    kinds = list(dict.fromkeys((c.spark_type, c.encoding) for c in columns))
+    slots = {k: [i for i, c in enumerate(columns) if (c.spark_type, c.encoding) == k] for k in kinds}
+    name = F.element_at(F.array(*[F.lit(c.target) for c in columns]), F.col("slot") + 1)
+    typed = newest.select(key, "slot", *[
+        F.when(F.col("slot").isin(slots[k]), _typed(F.col("value"), is_bytes, columns[slots[k][0]], on_error, name))
+        .alias(f"_t{j}") for j, k in enumerate(kinds)])
+    entry = F.struct("slot", F.struct(*[f"_t{j}" for j in range(len(kinds))]))
+    by_slot = typed.groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias("_by_slot"))
+    return by_slot.select(F.col(key).alias("_key"), *[
+        F.try_element_at("_by_slot", F.lit(i))[f"_t{kinds.index((c.spark_type, c.encoding))}"].alias(c.target)
+        for i, c in enumerate(columns)])
 
 
 def assemble(cells: DataFrame, columns: Sequence[ColumnSpec], *, key: str = "row_key",
@@ -62,12 +81,10 @@ def assemble(cells: DataFrame, columns: Sequence[ColumnSpec], *, key: str = "row
     cast otherwise. ``partition`` adds a constant ``(name, label)`` column.
     """
     wide = len(columns) > WIDE_COLUMNS if wide is None else wide
-    mapped = map_columns(cells, columns)
-    names = [f"_c{i}" for i in range(len(columns))]
     is_bytes = isinstance(cells.schema["value"].dataType, T.BinaryType)
-    raw = _newest(mapped, key, names, order, wide)
-    rows = raw.select(*([key] if keep_key else []), *[
-        _typed(F.col(n), is_bytes, c, on_error).alias(c.target) for n, c in zip(names, columns)])
+    build = _wide_rows if wide else _narrow_rows
+    rows = build(map_columns(cells, columns), columns, key, order, is_bytes, on_error)
+    rows = rows.withColumnRenamed("_key", key) if keep_key else rows.drop("_key")
     return rows if partition is None else with_partition(rows, *partition)
 
 
@@ -79,7 +96,7 @@ def assemble_strings(cells: DataFrame, names: Mapping[str, str], required: str |
     column are left out.
     """
     mapped = pick_qualifiers(cells, names)
-    rows = _newest(mapped, key, list(names.values()), order, wide=False)
+    rows = _newest(mapped, key, list(names.values()), order)
     rows = rows.select(key, *[F.col(t).cast("string").alias(t) for t in names.values()])
     return rows if required is None else require(rows, required)
 

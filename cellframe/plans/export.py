@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..model import ExportSpec
 from ..operators.assemble import assemble
+from ..session import COMPILED_METHODS, packed_scans, session_settings
 from ..sinks.files import write_partition
 from ..sinks.tables import create_table, replace_partition, table_name
-from ..sources.cells import packed_scans
 from .manifest import SNAPSHOT_PREFIX, freeze, freeze_files, read_manifest, read_snapshot
 
 
@@ -31,7 +31,7 @@ def export(spark: SparkSession, specs: Sequence[ExportSpec], sources: Mapping[st
         else:
             snapshot = freeze(source, root, spec.source, label, spec.families, prefix=snapshot_prefix)
         name = table_name(spec.table, table_prefix)
-        with packed_scans(spark, spec.max_partition_bytes):
+        with session_settings(spark, COMPILED_METHODS), packed_scans(spark, spec.max_partition_bytes):
             cells = read_snapshot(spark, read_manifest(spark, root), snapshot, spec.families)
             rows = assemble(cells, spec.columns, on_error=on_error, keep_key=False)
             path = write_partition(rows, f"{root.rstrip('/')}/tables", name, partition, label, spec.num_files)

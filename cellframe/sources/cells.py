@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import CELL
+from ..session import packed_scans
 
 
 def read_cells(spark: SparkSession, paths: str | Sequence[str], format: str = "parquet", *,
@@ -64,29 +64,6 @@ def unpivot_to_cells(df: DataFrame, key: str, family: str | dict[str, str], colu
     return cells.where(F.col("cell.value").isNotNull()).select("row_key", "cell.*", "ts", "seq")
 
 
-@contextmanager
-def packed_scans(spark: SparkSession, max_partition_bytes: int | None) -> Iterator[None]:
-    """Let each scan task read up to this many bytes of (small) files.
-
-    Applies to the actions run inside the block. ``None`` changes nothing.
-    """
-    if max_partition_bytes is None:
-        yield
-        return
-    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum")
-    before = {n: spark.conf.get(n, None) for n in names}
-    spark.conf.set(names[0], str(max_partition_bytes))
-    spark.conf.set(names[1], "1")
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
 def compact(spark: SparkSession, source: str, target: str, file_bytes: int = 256 << 20,
             format: str = "parquet") -> None:
     """Rewrite many small files as fewer files, without a shuffle.
