@@ -33,7 +33,7 @@ def hot_keys(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS,
     """
     counts = df.select(key_hash(key).alias("_hot")).groupBy("_hot").agg(F.count("*").alias("_n"))
     largest = counts.where(F.col("_n") > hot_rows).orderBy(F.desc("_n"), "_hot").limit(limit)
-    salts = F.least(F.ceil(F.col("_n") / hot_rows), F.lit(MAX_SALTS)).cast("int")
+    salts = F.least(F.ceil(F.col("_n") / max(hot_rows, 1)), F.lit(MAX_SALTS)).cast("int")
     return largest.select("_hot", salts.alias("_salts"))
 
 
