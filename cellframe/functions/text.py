@@ -21,11 +21,8 @@ def java_split(text: Column, sep: str) -> Column:
     if len(sep) != 1:
         raise ValueError("the separator must be a single character")
     trimmed = F.rtrim(text, F.lit(sep))
-    return (
-        F.when(F.length(text) == 0, F.array(F.lit("")))
-        .when(F.length(trimmed) == 0, F.array().cast("array<string>"))
-        .otherwise(F.split(trimmed, re.escape(sep)))
-    )
+    only_separators = (trimmed == "") & (text != "")
+    return F.when(only_separators, F.array().cast("array<string>")).otherwise(F.split(trimmed, re.escape(sep)))
 
 
 def label(*parts: Column, sep: str = "_") -> Column:

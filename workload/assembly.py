@@ -25,7 +25,7 @@ def _latest(kind: str, cast: str = "{}") -> str:
     return f"{cast.format(newest)} AS {kind}"
 
 
-@query(f"""
+@query("assemble_latest", f"""
 SELECT CAST(user_id AS VARCHAR) AS row_key, {', '.join(_latest(k) for k in EVENT_TYPES)}
 FROM events GROUP BY user_id""")
 def assemble_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +33,7 @@ def assemble_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble(event_cells(spark, sf_dir), specs)
 
 
-@query("""
+@query("assemble_roundtrip_typed", """
 SELECT CAST(p_partkey AS VARCHAR) AS row_key, p_name, p_size, p_retailprice,
        CAST(CAST(p_retailprice AS DECIMAL(12, 2)) AS VARCHAR) AS price, '20240101000000000' AS dt
 FROM part""")
@@ -45,7 +45,7 @@ def assemble_roundtrip_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("price", F.col("price").cast("string"))
 
 
-@query("""
+@query("assemble_wide", """
 SELECT CAST(p_partkey AS VARCHAR) AS row_key, p_name, p_brand, p_type, p_size, p_retailprice FROM part""")
 def assemble_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = _part_specs(
@@ -54,14 +54,14 @@ def assemble_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("p_size", F.col("p_size").cast("int"))
 
 
-@query("SELECT CAST(p_partkey AS VARCHAR) AS row_key, p_name, p_type, p_size FROM part")
+@query("assemble_two_families", "SELECT CAST(p_partkey AS VARCHAR) AS row_key, p_name, p_type, p_size FROM part")
 def assemble_two_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = part_cells(spark, sf_dir, versions=2)
     both = families(cells, "base").unionByName(families(cells, "detail"))
     return assemble(both, _part_specs(p_name="string", p_type="string", p_size="int"))
 
 
-@query(f"""
+@query("assemble_required", f"""
 SELECT CAST(user_id AS VARCHAR) AS row_key, {_latest('click', 'CAST({} AS VARCHAR)')},
        {_latest('purchase', 'CAST({} AS VARCHAR)')}
 FROM events GROUP BY user_id HAVING count(*) FILTER (WHERE event_type = 'click') > 0""")
@@ -70,7 +70,7 @@ def assemble_required(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble_strings(event_cells(spark, sf_dir), names, required="click")
 
 
-@query("""
+@query("assemble_tsv", """
 WITH newest AS (
   SELECT arg_max(value, row(ts, event_id)) FILTER (WHERE event_type = 'signup') AS k,
          arg_max(value, row(ts, event_id)) FILTER (WHERE event_type = 'error') AS v
@@ -81,7 +81,7 @@ def assemble_tsv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble_tsv(event_cells(spark, sf_dir), "Signup", "Error")
 
 
-@query(f"""
+@query("assemble_from_rows", f"""
 SELECT CAST(user_id AS VARCHAR) AS row_key, {', '.join(_latest(k, 'CAST({} AS VARCHAR)') for k in EVENT_TYPES)}
 FROM events GROUP BY user_id""")
 def assemble_grouped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +89,7 @@ def assemble_grouped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble_from_rows(drop_empty_rows(rows), {k.upper(): k for k in EVENT_TYPES})
 
 
-@query("""
+@query("read_rows", """
 WITH newest AS (
   SELECT user_id, event_type, max(row(ts, event_id)) AS version,
          arg_max(value, row(ts, event_id)) AS value
@@ -108,18 +108,18 @@ _PART_PAIRS = " UNION ALL ".join(
     f"CAST({c} AS VARCHAR) AS value FROM part" for c, f in PART_FAMILIES.items())
 
 
-@query(f"SELECT row_key, qualifier, value FROM ({_PART_PAIRS})")
+@query("dump_pairs", f"SELECT row_key, qualifier, value FROM ({_PART_PAIRS})")
 def dump_cell_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dump_pairs(part_cells(spark, sf_dir))
 
 
-@query(f"SELECT row_key, qualifier, value FROM ({_PART_PAIRS})")
+@query("cell_pairs", f"SELECT row_key, qualifier, value FROM ({_PART_PAIRS})")
 def cell_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = cells_to_pairs(part_cells(spark, sf_dir))
     return pairs.withColumn("value", F.col("value").cast("string"))
 
 
-@query(f"""
+@query("show_cells_range", f"""
 SELECT row_key, family, qualifier, family || ':' || qualifier AS name, value,
        CASE WHEN row_key < '3' THEN 'low' WHEN row_key < '6' THEN 'middle' ELSE 'high' END AS part
 FROM ({_PART_PAIRS})""")
@@ -131,7 +131,7 @@ def show_cells_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query(f"""
+@query("map_columns", f"""
 SELECT row_key, qualifier AS target, value FROM ({_PART_PAIRS}) WHERE qualifier IN ('p_name', 'p_size')
 UNION ALL SELECT row_key, 'size_again', value FROM ({_PART_PAIRS}) WHERE qualifier = 'p_size'""")
 def map_cell_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +147,7 @@ def _seen(kind: str, value: str, by: str, order: str) -> str:
             f"(PARTITION BY {by} ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS VARCHAR)")
 
 
-@query(f"""
+@query("running_row", f"""
 SELECT CAST(user_id AS VARCHAR) AS row_key, event_id AS seq,
        {_seen("event_type = 'click'", 'value', 'user_id', 'ts, event_id')} AS click,
        {_seen("event_type = 'purchase'", 'value', 'user_id', 'ts, event_id')} AS purchase
@@ -158,7 +158,7 @@ def running_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row_key", "seq", "click", "purchase")
 
 
-@query(f"""
+@query("running_row_large_groups", f"""
 SELECT l_returnflag AS row_key, l_orderkey, l_linenumber, l_partkey,
        {_seen("l_linestatus = 'O'", 'l_partkey', 'l_returnflag', 'l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice')} AS open_part,
        {_seen("l_linestatus = 'F'", 'l_partkey', 'l_returnflag', 'l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice')} AS filled_part
@@ -174,7 +174,7 @@ def running_rows_large_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row_key", "l_orderkey", "l_linenumber", "l_partkey", "open_part", "filled_part")
 
 
-@query(r"""
+@query("word_count", r"""
 WITH lines AS (SELECT unnest(string_split_regex(text, '\r\n|\r|\n')) AS line FROM documents),
 words AS (
   SELECT unnest(CASE WHEN line = '' THEN [''] WHEN rtrim(line, ' ') = '' THEN []
@@ -186,7 +186,7 @@ def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_count(lines)
 
 
-@query("""
+@query("last_per_key", """
 SELECT o_custkey, arg_max(o_orderkey, row(o_orderdate, o_orderkey)) AS o_orderkey,
        arg_max(o_orderpriority, row(o_orderdate, o_orderkey)) AS o_orderpriority
 FROM orders GROUP BY o_custkey""")

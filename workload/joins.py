@@ -20,7 +20,7 @@ last_order AS (
   FROM orders GROUP BY o_custkey)"""
 
 
-@query(f"""
+@query("merge_by_key", f"""
 WITH {_LAST_ORDER},
 scores AS (SELECT o_custkey, CAST(trunc(price) AS INTEGER) AS score FROM last_order)
 SELECT coalesce(c_custkey, o_custkey) AS id,
@@ -37,7 +37,7 @@ def merge_customer_score(spark: SparkSession, sf_dir: str) -> DataFrame:
                         info_order=["c_name"], score_order=["o_orderdate", "o_orderkey"])
 
 
-@query(f"""
+@query("merge_as_map", f"""
 WITH {_LAST_ORDER}
 SELECT CAST(coalesce(c_custkey, o_custkey) AS VARCHAR) AS id, coalesce(c_name, 'null') AS name,
        coalesce(CAST(price AS VARCHAR), 'null') AS score
@@ -52,7 +52,7 @@ def merge_customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                         missing="null")
 
 
-@query("""
+@query("inner_join_override", """
 SELECT CAST(o_orderkey AS VARCHAR) AS itemnumber, o_orderpriority AS itemgroupid,
        l_returnflag AS status, CAST(l_quantity AS VARCHAR) AS quantity, '' AS countrycode
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
@@ -68,7 +68,7 @@ def inner_join_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inner_join(base, price, ["itemnumber"], schema=schema, text=True)
 
 
-@query("""
+@query("inner_join_large_keys", """
 WITH flags AS (
   SELECT l_returnflag, l_linestatus AS status, count(*) AS n_lines FROM lineitem
   GROUP BY l_returnflag, l_linestatus)
@@ -83,7 +83,7 @@ def inner_join_large_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inner_join(picked, flags, ["l_returnflag"], skew="salt", hot_rows=1000)
 
 
-@query("""
+@query("side_counts", """
 SELECT coalesce(c_custkey, o_custkey) AS id, coalesce(n_info, 0) AS n_left,
        coalesce(n_score, 0) AS n_right, coalesce(n_info, 0) * coalesce(n_score, 0) AS n_joined
 FROM (SELECT c_custkey, count(*) AS n_info FROM customer GROUP BY c_custkey)
@@ -96,7 +96,7 @@ def count_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return side_counts(tagged_union(sides), ["id"], "type", "info", "score")
 
 
-@query("""
+@query("tag_source_union", """
 SELECT 'info' AS type, c_custkey AS id, c_name AS name, NULL::DOUBLE AS price FROM customer
 UNION ALL SELECT 'score', o_custkey, NULL, o_totalprice FROM orders""")
 def tag_text_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

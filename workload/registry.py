@@ -13,11 +13,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str):
-    """Register a function under its own name, with the SQL it must agree with."""
+def query(name: str, sql: str):
+    """Register a function under a name, with the SQL it must agree with."""
     def register(function):
-        QUERIES[function.__name__] = function
-        ORACLES[function.__name__] = sql
+        QUERIES[name], ORACLES[name] = function, sql
         return function
     return register
 

@@ -38,7 +38,7 @@ def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") != "F", F.concat(F.lit("/archive/"), key)).alias("archive_path"))
 
 
-@query("""
+@query("latest_snapshot", """
 SELECT 'shop:Item' || CAST(o_custkey AS VARCHAR) AS table_name,
        'SNP_TS_shop_Item' || CAST(o_custkey AS VARCHAR) || '_'
          || arg_max(CAST(o_orderkey AS VARCHAR), row(o_orderdate, CAST(o_orderkey AS VARCHAR))) AS snapshot
@@ -47,7 +47,7 @@ def newest_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_snapshots(_manifest(spark, sf_dir)).drop("creation_time")
 
 
-@query("""
+@query("snapshot_files", """
 WITH files AS (
   SELECT 'SNP_TS_shop_Item' || CAST(o_custkey AS VARCHAR) || '_' || CAST(o_orderkey AS VARCHAR) AS snapshot,
          o_orderstatus AS family,
@@ -62,7 +62,7 @@ def list_snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_files(manifest, manifest.select("snapshot"), ["F", "O"])
 
 
-@query("""
+@query("freeze_reload", """
 SELECT CAST(c_custkey AS VARCHAR) AS row_key, 'info' AS family, 'c_name' AS qualifier,
        'info:c_name' AS name, c_name AS value FROM customer
 UNION ALL
@@ -77,14 +77,14 @@ def freeze_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return show_cells(read_snapshot(spark, read_manifest(spark, root), name))
 
 
-@query(r"""
+@query("hex_pairs", r"""
 SELECT c_custkey, rtrim(regexp_replace(lower(hex(c_name)), '(..)', '\1 ', 'g')) AS pairs FROM customer""")
 def name_hex_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     return customer.select("c_custkey", hex_pairs(F.col("c_name").cast("binary")).alias("pairs"))
 
 
-@query("""
+@query("record_text", """
 SELECT 'c_custkey=' || CAST(c_custkey AS VARCHAR) || ',c_name=' || c_name || ',c_mktsegment=' || c_mktsegment
        AS record, c_name AS name, '' AS absent FROM customer""")
 def record_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,13 +94,13 @@ def record_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("record", fields["c_name"].alias("name"), fields["absent"].alias("absent"))
 
 
-@query("SELECT event_id, strftime(ts, '%Y%m%d%H%M%S%g') AS label, 'full' AS kind FROM events")
+@query("partition_label", "SELECT event_id, strftime(ts, '%Y%m%d%H%M%S%g') AS label, 'full' AS kind FROM events")
 def event_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return with_partition(events.select("event_id", partition_label(F.col("ts")).alias("label")), "kind", "full")
 
 
-@query("""
+@query("conform", """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, NULL::INTEGER AS weight, o_orderstatus, '20240101' AS dt
 FROM orders""")
 def conform_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +158,7 @@ def _order_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("raw"))
 
 
-@query(_DECODED)
+@query("decode_columns_text", _DECODED)
 def decode_text_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = _order_values(spark, sf_dir)
     raw = values.select("id", *[F.col(c).cast("string").cast("binary").alias(c) for c in _ORDER_TYPES])
@@ -170,7 +170,7 @@ def _big_endian(number: Column, width: int) -> Column:
     return F.unhex(F.right(digits, F.lit(2 * width)))
 
 
-@query(_DECODED)
+@query("decode_columns_binary", _DECODED)
 def decode_binary_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = _order_values(spark, sf_dir)
     bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToRawLongBits"), F.col("price"))
@@ -196,7 +196,7 @@ def _event_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[Column
     return raw, [ColumnSpec("event", c, kind, c, "text") for c, kind in names.items()]
 
 
-@query("""
+@query("decode_rejects", """
 WITH checks AS (
   SELECT count(props) AS p, count(*) FILTER (WHERE NOT regexp_full_match(props, '[+-]?[0-9]+')) AS bad_p,
          count(value) AS v,
@@ -212,7 +212,7 @@ def count_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_rejects(*_event_raw(spark, sf_dir))
 
 
-@query("""
+@query("rejected_rows", """
 SELECT event_id, 'props,value' || CASE WHEN TRY_CAST(user_id AS TINYINT) IS NULL THEN ',user_id' ELSE '' END
        AS rejects FROM events""")
 def list_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,7 +224,7 @@ def list_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STATES = ("F", "O", "P")
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus AS dt FROM orders")
+@query("orc_partition_prune", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus AS dt FROM orders")
 def orc_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "orc")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
@@ -235,7 +235,7 @@ def orc_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+@query("sequence_roundtrip", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def sequence_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "sequence")
     customer = table(spark, sf_dir, "customer")
@@ -246,7 +246,7 @@ def sequence_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_delimited(read_sequence(spark, path), schema, strict=True)
 
 
-@query("SELECT c_custkey, c_name, c_acctbal, '20240102000000000' AS dt FROM customer")
+@query("publish_partition", "SELECT c_custkey, c_name, c_acctbal, '20240102000000000' AS dt FROM customer")
 def publish_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "published")
     label = "20240102000000000"
@@ -263,7 +263,7 @@ def publish_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
-@query("""
+@query("export_many", """
 SELECT 'part' AS name, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS total, '20240103000000000' AS dt FROM part
 UNION ALL
 SELECT 'supplier', count(*), CAST(sum(s_nationkey) AS BIGINT), '20240103000000000' FROM supplier""")
@@ -286,7 +286,7 @@ def export_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals[0].unionByName(totals[1])
 
 
-@query("""
+@query("compact_small_files", """
 SELECT CAST(user_id AS VARCHAR) AS row_key, event_type AS qualifier, CAST(value AS VARCHAR) AS value,
        event_id AS seq FROM events""")
 def compact_small_files(spark: SparkSession, sf_dir: str) -> DataFrame:
