@@ -2,9 +2,12 @@
 
 A stored value is either the text of a number or its big-endian bytes. The
 default ``auto`` reading tries the text first and falls back to the bytes;
-``text`` and ``binary`` declare the one form that is really used. All decoders
-are plain Spark expressions and give NULL for a value they cannot read;
-``decode`` turns that NULL into an error on request.
+``text`` and ``binary`` declare the one form that is really used.
+
+Every ``…_sql`` function writes one Spark SQL expression over a binary
+expression; it gives NULL for a value it cannot read. ``decode`` makes a
+``Column`` of it and turns that NULL into an error on request. One parsed
+expression per column keeps plans quick to build for tables of many columns.
 """
 
 from __future__ import annotations
@@ -13,6 +16,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sql import name_sql, text_sql
+
 # Number spellings accepted as text.
 INTEGER_TEXT = r"^[+-]?[0-9]+$"
 DECIMAL_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -29,200 +34,186 @@ _MAX_MILLIS = 9223372036854775
 _INTEGER_WIDTH = {"tinyint": 1, "smallint": 2, "int": 4, "bigint": 8}
 
 
-def _as_text(value: Column) -> Column:
-    return value.cast("string")
+def _as_text(value: str) -> str:
+    return f"CAST({value} AS STRING)"
 
 
-def _gated(value: Column, pattern: str, type_name: str) -> Column:
-    text = _as_text(value)
-    return F.when(text.rlike(pattern), text.try_cast(type_name))
+def _when(condition: str, result: str, otherwise: str = "NULL") -> str:
+    return f"CASE WHEN {condition} THEN {result} ELSE {otherwise} END"
 
 
-def _signed(value: Column, width: int) -> Column:
-    """The leading big-endian two's-complement integer; NULL when too short."""
-    if width == 8:
-        number = F.conv(F.hex(F.substring(value, 1, 8)), 16, -10).cast("bigint")
-    else:
-        span, half = 1 << (8 * width), 1 << (8 * width - 1)
-        bits = F.conv(F.hex(F.substring(value, 1, width)), 16, 10).cast("bigint")
-        number = F.pmod(bits + F.lit(half), F.lit(span)) - F.lit(half)
-    return F.when(F.octet_length(value) >= width, number)
+def _matching_text(value: str, pattern: str) -> str:
+    return _when(f"{_as_text(value)} RLIKE r'{pattern}'", _as_text(value))
 
 
-def _choose(encoding: str, text: Column, binary: Column) -> Column:
+def _choose(encoding: str, text: str, binary: str) -> str:
     if encoding == "text":
         return text
     if encoding == "binary":
         return binary
-    return F.coalesce(text, binary)
+    return f"coalesce({text}, {binary})"
 
 
-def _integer(value: Column, type_name: str, encoding: str) -> Column:
-    bytes_form = _signed(value, _INTEGER_WIDTH[type_name]).cast(type_name)
-    return _choose(encoding, _gated(value, INTEGER_TEXT, type_name), bytes_form)
-
-
-def decode_boolean(value: Column, encoding: str = "auto") -> Column:
-    """One byte is true unless zero; anything longer is true for the text ``true``."""
-    text = F.lower(_as_text(value)) == "true"
-    raw = F.hex(value) != "00"
-    one_byte = F.octet_length(value) == 1
-    if encoding == "text":
-        return text
-    if encoding == "binary":
-        return F.when(one_byte, raw)
-    return F.when(one_byte, raw).otherwise(text)
+def _number(digits: str) -> str:
+    """Up to 15 hexadecimal digits as a long."""
+    return f"CAST(conv({digits}, 16, 10) AS BIGINT)"
 
 
-def decode_tinyint(value: Column, encoding: str = "auto") -> Column:
-    """One byte is that byte; anything longer must be integer text."""
-    raw = F.when(F.octet_length(value) == 1, _signed(value, 1).cast("tinyint"))
-    text = _gated(value, INTEGER_TEXT, "tinyint")
-    if encoding == "auto":
-        return F.when(F.octet_length(value) == 1, raw).otherwise(text)
-    return _choose(encoding, text, raw)
+def _signed(value: str, width: int) -> str:
+    """The leading big-endian two's-complement integer; NULL when too short."""
+    digits = f"hex(substring({value}, 1, {width}))"
+    if width == 8:
+        number = f"CAST(conv({digits}, 16, -10) AS BIGINT)"
+    else:
+        span, half = 1 << (8 * width), 1 << (8 * width - 1)
+        number = f"(pmod({_number(digits)} + {half}L, {span}L) - {half}L)"
+    return _when(f"octet_length({value}) >= {width}", number)
 
 
-def decode_smallint(value: Column, encoding: str = "auto") -> Column:
-    return _integer(value, "smallint", encoding)
+def integer_sql(value: str, type_name: str, encoding: str) -> str:
+    text = f"TRY_CAST({_matching_text(value, INTEGER_TEXT)} AS {type_name})"
+    return _choose(encoding, text, f"CAST({_signed(value, _INTEGER_WIDTH[type_name])} AS {type_name})")
 
 
-def decode_int(value: Column, encoding: str = "auto") -> Column:
-    return _integer(value, "int", encoding)
+def boolean_sql(value: str, encoding: str) -> str:
+    """One byte is true unless zero; anything longer is true for the text ``true``."""
+    text, raw, one_byte = f"lower({_as_text(value)}) = 'true'", f"hex({value}) <> '00'", f"octet_length({value}) = 1"
+    if encoding == "text":
+        return text
+    return _when(one_byte, raw, text if encoding == "auto" else "NULL")
 
 
-def decode_bigint(value: Column, encoding: str = "auto") -> Column:
-    return _integer(value, "bigint", encoding)
+def tinyint_sql(value: str, encoding: str) -> str:
+    """One byte is that byte; anything longer must be integer text."""
+    raw = f"CAST({_signed(value, 1)} AS TINYINT)"
+    text = f"TRY_CAST({_matching_text(value, INTEGER_TEXT)} AS TINYINT)"
+    if encoding == "text":
+        return text
+    return _when(f"octet_length({value}) = 1", raw, text if encoding == "auto" else "NULL")
 
 
-def _ieee_text(sign: Column, exponent: Column, fraction: Column, bias: int) -> Column:
+def _ieee_text(sign: str, exponent: str, fraction: str, bias: int) -> str:
     """IEEE-754 fields as hexadecimal floating-point text, which reads back exactly."""
-    number = F.concat(
-        F.when(exponent == 0, "0x0.").otherwise("0x1."), fraction, F.lit("p"),
-        (F.greatest(exponent, F.lit(1)) - bias).cast("string"))
-    special = F.when(fraction.rlike("^0+$"), "Infinity").otherwise("NaN")
-    return F.concat(sign, F.when(exponent == 2 * bias + 1, special).otherwise(number))
+    lead = _when(f"{exponent} = 0", "'0x0.'", "'0x1.'")
+    number = f"concat({lead}, {fraction}, 'p', CAST(greatest({exponent}, 1) - {bias} AS STRING))"
+    special = _when(f"{fraction} RLIKE '^0+$'", "'Infinity'", "'NaN'")
+    return f"concat({sign}, {_when(f'{exponent} = {2 * bias + 1}', special, number)})"
 
 
-def _float_bytes(value: Column) -> Column:
-    digits = F.hex(F.substring(value, 1, 4))
-    bits = F.conv(digits, 16, 10).cast("bigint")
+def _float_bytes(value: str) -> str:
+    bits = _number(f"hex(substring({value}, 1, 4))")
     text = _ieee_text(
-        F.when(bits >= 1 << 31, "-").otherwise(""),
-        F.shiftright(bits, 23).bitwiseAND(F.lit(0xFF)),
+        _when(f"{bits} >= {1 << 31}", "'-'", "''"),
+        f"(shiftright({bits}, 23) & {0xFF})",
         # 23 fraction bits fill six hexadecimal digits after one shift.
-        F.lpad(F.hex(F.shiftleft(bits.bitwiseAND(F.lit(0x7FFFFF)), 1)), 6, "0"),
+        f"lpad(hex(shiftleft({bits} & {0x7FFFFF}, 1)), 6, '0')",
         bias=127)
-    return F.when(F.octet_length(value) >= 4, text)
+    return _when(f"octet_length({value}) >= 4", text)
 
 
-def _double_bytes(value: Column) -> Column:
-    digits = F.hex(F.substring(value, 1, 8))
-    head = F.conv(F.substring(digits, 1, 3), 16, 10).cast("int")
+def _double_bytes(value: str) -> str:
+    digits = f"hex(substring({value}, 1, 8))"
+    head = _number(f"substring({digits}, 1, 3)")
     text = _ieee_text(
-        F.when(head >= 1 << 11, "-").otherwise(""),
-        head.bitwiseAND(F.lit(0x7FF)),
-        F.substring(digits, 4, 13),
+        _when(f"{head} >= {1 << 11}", "'-'", "''"),
+        f"({head} & {0x7FF})",
+        f"substring({digits}, 4, 13)",
         bias=1023)
-    return F.when(F.octet_length(value) >= 8, text)
+    return _when(f"octet_length({value}) >= 8", text)
 
 
-def _from_text(value: Column, pattern: str, bytes_text: Column, type_name: str, encoding: str) -> Column:
+def _decimal_bytes(value: str) -> str:
+    """Text for four bytes of scale and a two's-complement integer of 1 to 16 bytes."""
+    digits = f"hex(substring({value}, 5, 16))"
+    fill = _when(f"substring({digits}, 1, 1) >= '8'", "'F'", "'0'")
+    padded = f"lpad({digits}, 32, {fill})"
+    # The upper eight bytes are signed, the lower ones are not.
+    upper = f"CAST(conv(substring({padded}, 1, 16), 16, -10) AS DECIMAL(38,0))"
+    lower = f"CAST(conv(substring({padded}, 17, 16), 16, 10) AS DECIMAL(38,0))"
+    number = f"try_add(try_multiply({upper}, CAST('{1 << 64}' AS DECIMAL(38,0))), {lower})"
+    # A scale beyond these bounds gives zero or an overflow all the same.
+    exponent = f"-greatest(least({_signed(value, 4)}, 99), -99)"
+    text = f"concat(CAST({number} AS STRING), 'E', CAST({exponent} AS STRING))"
+    return _when(f"octet_length({value}) BETWEEN 5 AND 20", text)
+
+
+def _from_text(value: str, pattern: str, bytes_text: str, type_name: str, encoding: str) -> str:
     """Number text, or the text of a binary number, through one cast."""
-    text = _as_text(value)
-    return _choose(encoding, F.when(text.rlike(pattern), text), bytes_text).try_cast(type_name)
+    return f"TRY_CAST({_choose(encoding, _matching_text(value, pattern), bytes_text)} AS {type_name})"
 
 
-def decode_float(value: Column, encoding: str = "auto") -> Column:
+def float_sql(value: str, encoding: str) -> str:
     return _from_text(value, FLOAT_TEXT, _float_bytes(value), "float", encoding)
 
 
-def decode_double(value: Column, encoding: str = "auto") -> Column:
+def double_sql(value: str, encoding: str) -> str:
     return _from_text(value, FLOAT_TEXT, _double_bytes(value), "double", encoding)
 
 
-def decode_string(value: Column, encoding: str = "auto") -> Column:
-    """UTF-8 text; bytes that are not UTF-8 never fail."""
-    return _as_text(value)
-
-
-def decode_timestamp(value: Column, encoding: str = "auto") -> Column:
-    """Milliseconds since 1970 as text or an 8-byte integer."""
-    millis = decode_bigint(value, encoding)
-    return F.when(millis.between(-_MAX_MILLIS, _MAX_MILLIS), F.timestamp_millis(millis))
-
-
-def decode_date(value: Column, encoding: str = "auto") -> Column:
-    """The session-zone day of a millisecond timestamp."""
-    return F.to_date(decode_timestamp(value, encoding))
-
-
-def decode_binary(value: Column, encoding: str = "auto") -> Column:
-    return value
-
+def decimal_sql(value: str, precision: int, scale: int, encoding: str) -> str:
+    return _from_text(value, DECIMAL_TEXT, _decimal_bytes(value), f"decimal({precision},{scale})", encoding)
 
-def _decimal_bytes(value: Column) -> Column:
-    """Text for four bytes of scale and a two's-complement integer of 1 to 16 bytes."""
-    size = F.octet_length(value)
-    digits = F.hex(F.substring(value, 5, 16))
-    fill = F.when(F.substring(digits, 1, 1) >= "8", "F").otherwise("0")
-    digits = F.lpad(digits, 32, fill)
-    # The upper eight bytes are signed, the lower ones are not.
-    upper = F.conv(F.substring(digits, 1, 16), 16, -10).cast("decimal(38,0)")
-    lower = F.conv(F.substring(digits, 17, 16), 16, 10).cast("decimal(38,0)")
-    number = F.try_add(F.try_multiply(upper, F.lit(str(1 << 64)).cast("decimal(38,0)")), lower)
-    # A scale beyond these bounds gives zero or an overflow all the same.
-    exponent = F.negative(F.greatest(F.least(_signed(value, 4), F.lit(99)), F.lit(-99)))
-    scaled = F.concat(number.cast("string"), F.lit("E"), exponent.cast("string"))
-    return F.when(size.between(5, 20), scaled)
 
+def string_sql(value: str, length: int | None = None) -> str:
+    """UTF-8 text, cut to a declared length; bytes that are not UTF-8 never fail."""
+    return _as_text(value) if length is None else f"substring({_as_text(value)}, 1, {length})"
 
-def decode_decimal(value: Column, precision: int, scale: int, encoding: str = "auto") -> Column:
-    type_name = f"decimal({precision},{scale})"
-    return _from_text(value, DECIMAL_TEXT, _decimal_bytes(value), type_name, encoding)
-
-
-_BY_TYPE = {
-    T.BooleanType: decode_boolean,
-    T.ByteType: decode_tinyint,
-    T.ShortType: decode_smallint,
-    T.IntegerType: decode_int,
-    T.LongType: decode_bigint,
-    T.FloatType: decode_float,
-    T.DoubleType: decode_double,
-    T.StringType: decode_string,
-    T.DateType: decode_date,
-    T.TimestampType: decode_timestamp,
-    T.BinaryType: decode_binary,
-}
 
+def timestamp_sql(value: str, encoding: str) -> str:
+    """Milliseconds since 1970 as text or an 8-byte integer."""
+    millis = integer_sql(value, "bigint", encoding)
+    return _when(f"{millis} BETWEEN -{_MAX_MILLIS} AND {_MAX_MILLIS}", f"timestamp_millis({millis})")
 
-def decode(value: Column, data_type: T.DataType, encoding: str = "auto",
-           on_error: str = "null", name: Column | str = "value") -> Column:
-    """A value's bytes as ``data_type``; unreadable bytes are NULL or an error.
 
-    ``on_error`` is ``'null'`` or ``'fail'``. A NULL value stays NULL.
+def date_sql(value: str, encoding: str) -> str:
+    """The session-zone day of a millisecond timestamp."""
+    return f"to_date({timestamp_sql(value, encoding)})"
+
+
+def decode_sql(value: str, data_type: T.DataType, encoding: str) -> str:
+    """The expression that reads ``value`` as ``data_type``; nested types are rejected."""
+    match data_type:
+        case T.BooleanType():
+            return boolean_sql(value, encoding)
+        case T.ByteType():
+            return tinyint_sql(value, encoding)
+        case T.ShortType() | T.IntegerType() | T.LongType():
+            return integer_sql(value, data_type.simpleString(), encoding)
+        case T.FloatType():
+            return float_sql(value, encoding)
+        case T.DoubleType():
+            return double_sql(value, encoding)
+        case T.DecimalType():
+            return decimal_sql(value, data_type.precision, data_type.scale, encoding)
+        case T.VarcharType() | T.CharType():
+            return string_sql(value, data_type.length)
+        case T.StringType():
+            return string_sql(value)
+        case T.DateType():
+            return date_sql(value, encoding)
+        case T.TimestampType():
+            return timestamp_sql(value, encoding)
+        case T.BinaryType():
+            return value
+    raise ValueError(f"cannot decode into {data_type.simpleString()}")
+
+
+def decode(column: str, data_type: T.DataType, encoding: str = "auto", on_error: str = "null",
+           name: str | None = None) -> Column:
+    """A binary column read as ``data_type``; unreadable bytes are NULL or an error.
+
+    ``on_error`` is ``'null'`` or ``'fail'``. A NULL value stays NULL. ``name`` is
+    an SQL expression for the name used in the error, by default the column's.
     """
     if on_error not in ("null", "fail"):
         raise ValueError(f"on_error must be 'null' or 'fail', not {on_error!r}")
-    if isinstance(data_type, T.DecimalType):
-        decoded = decode_decimal(value, data_type.precision, data_type.scale, encoding)
-    elif isinstance(data_type, (T.VarcharType, T.CharType)):
-        decoded = F.substring(decode_string(value), 1, data_type.length)
-    elif type(data_type) in _BY_TYPE:
-        decoded = _BY_TYPE[type(data_type)](value, encoding)
-    else:
-        raise ValueError(f"cannot decode into {data_type.simpleString()}")
+    value = name_sql(column)
+    decoded = decode_sql(value, data_type, encoding)
     if on_error == "null":
-        return decoded
-    message = F.concat(
-        F.lit("cannot decode "), F.lit(name), F.lit(f" as {data_type.simpleString()}: 0x"), F.hex(value))
-    broken = F.raise_error(message).cast(decoded_type(data_type))
-    return F.coalesce(decoded, F.when(value.isNotNull(), broken))
-
-
-def decoded_type(data_type: T.DataType) -> T.DataType:
-    """The type a decoded column has in a DataFrame."""
-    if isinstance(data_type, (T.VarcharType, T.CharType)):
-        return T.StringType()
-    return data_type
+        return F.expr(decoded)
+    kind = data_type.simpleString()
+    message = f"concat('cannot decode ', {name or text_sql(column)}, ' as {kind}: 0x', hex({value}))"
+    # Text of any declared length is a string inside Spark.
+    result = "string" if isinstance(data_type, (T.VarcharType, T.CharType)) else kind
+    broken = f"CASE WHEN {value} IS NOT NULL THEN CAST(raise_error({message}) AS {result}) END"
+    return F.expr(f"coalesce({decoded}, {broken})")

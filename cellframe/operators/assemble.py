@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ..functions.decode import decode
 from ..functions.text import or_empty
 from ..model import VERSION, ColumnSpec
+from ..sql import name_sql, text_sql
 from .select import map_columns, pick_qualifiers, require, require_nonempty, with_partition
 from .skew import HOT_ROWS, with_salt
 
@@ -25,7 +26,7 @@ WIDE_COLUMNS = 24
 
 
 def _version(order: Sequence[str]) -> str:
-    return f"struct({', '.join(f'`{c}`' for c in order)})"
+    return f"struct({', '.join(name_sql(c) for c in order)})"
 
 
 def _newest(mapped: DataFrame, key: str, targets: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -36,8 +37,10 @@ def _newest(mapped: DataFrame, key: str, targets: Sequence[str], order: Sequence
     ])
 
 
-def _typed(raw: Column, is_bytes: bool, spec: ColumnSpec, on_error: str, name: Column | str) -> Column:
-    return decode(raw, spec.spark_type, spec.encoding, on_error, name) if is_bytes else raw.cast(spec.spark_type)
+def _typed(raw: str, is_bytes: bool, spec: ColumnSpec, on_error: str, name: str) -> Column:
+    if is_bytes:
+        return decode(raw, spec.spark_type, spec.encoding, on_error, name)
+    return F.col(raw).cast(spec.spark_type)
 
 
 def _narrow_rows(mapped: DataFrame, columns: Sequence[ColumnSpec], key: str, order: Sequence[str],
@@ -45,7 +48,7 @@ def _narrow_rows(mapped: DataFrame, columns: Sequence[ColumnSpec], key: str, ord
     names = [f"_c{i}" for i in range(len(columns))]
     raw = _newest(mapped, key, names, order)
     return raw.select(F.col(key).alias("_key"), *[
-        _typed(F.col(n), is_bytes, c, on_error, c.target).alias(c.target) for n, c in zip(names, columns)])
+        _typed(n, is_bytes, c, on_error, text_sql(c.target)).alias(c.target) for n, c in zip(names, columns)])
 
 
 def _wide_rows(mapped: DataFrame, columns: Sequence[ColumnSpec], key: str, order: Sequence[str],
@@ -59,9 +62,9 @@ def _wide_rows(mapped: DataFrame, columns: Sequence[ColumnSpec], key: str, order
     newest = mapped.groupBy(key, "slot").agg(F.expr(f"max_by(value, {_version(order)})").alias("value"))
     kinds = list(dict.fromkeys((c.spark_type, c.encoding) for c in columns))
     slots = {k: [i for i, c in enumerate(columns) if (c.spark_type, c.encoding) == k] for k in kinds}
-    name = F.element_at(F.array(*[F.lit(c.target) for c in columns]), F.col("slot") + 1)
+    name = f"element_at(array({', '.join(text_sql(c.target) for c in columns)}), slot + 1)"
     typed = newest.select(key, "slot", *[
-        F.when(F.col("slot").isin(slots[k]), _typed(F.col("value"), is_bytes, columns[slots[k][0]], on_error, name))
+        F.when(F.col("slot").isin(slots[k]), _typed("value", is_bytes, columns[slots[k][0]], on_error, name))
         .alias(f"_t{j}") for j, k in enumerate(kinds)])
     entry = F.struct("slot", F.struct(*[f"_t{j}" for j in range(len(kinds))]))
     by_slot = typed.groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias("_by_slot"))

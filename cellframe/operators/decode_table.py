@@ -13,14 +13,13 @@ from ..model import ColumnSpec
 
 def decode_columns(df: DataFrame, columns: Sequence[ColumnSpec], on_error: str = "fail") -> DataFrame:
     """Every declared column decoded in one projection; other columns stay."""
-    typed = {c.target: decode(F.col(c.target), c.spark_type, c.encoding, on_error, c.target)
-             for c in columns}
+    typed = {c.target: decode(c.target, c.spark_type, c.encoding, on_error) for c in columns}
     return df.withColumns(typed)
 
 
 def _failed(column: ColumnSpec) -> Column:
-    raw = F.col(column.target)
-    return raw.isNotNull() & decode(raw, column.spark_type, column.encoding).isNull()
+    decoded = decode(column.target, column.spark_type, column.encoding)
+    return F.col(column.target).isNotNull() & decoded.isNull()
 
 
 def decode_rejects(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:

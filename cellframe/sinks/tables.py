@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ..model import ExportSpec
+from ..sql import name_sql, text_sql
 
 
 def table_name(name: str, prefix: str = "") -> str:
@@ -12,20 +13,16 @@ def table_name(name: str, prefix: str = "") -> str:
 
 
 def _quoted(name: str) -> str:
-    return ".".join(f"`{part}`" for part in name.split("."))
-
-
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return ".".join(name_sql(part) for part in name.split("."))
 
 
 def create_table_sql(spec: ExportSpec, location: str, partition: str = "dt", prefix: str = "") -> str:
     """The statement that declares a spec's table, partitioned by one text column."""
-    columns = ", ".join(f"`{c.target}` {c.spark_type.simpleString()}" for c in spec.columns)
+    columns = ", ".join(f"{name_sql(c.target)} {c.spark_type.simpleString()}" for c in spec.columns)
     return (
         f"CREATE TABLE IF NOT EXISTS {_quoted(table_name(spec.table, prefix))} "
-        f"({columns}, `{partition}` string) USING ORC "
-        f"PARTITIONED BY (`{partition}`) LOCATION {_text(location)}")
+        f"({columns}, {name_sql(partition)} string) USING ORC "
+        f"PARTITIONED BY ({name_sql(partition)}) LOCATION {text_sql(location)}")
 
 
 def create_table(spark: SparkSession, spec: ExportSpec, location: str, partition: str = "dt",
@@ -37,6 +34,6 @@ def create_table(spark: SparkSession, spec: ExportSpec, location: str, partition
 
 def replace_partition(spark: SparkSession, table: str, partition: str, label: str, path: str) -> None:
     """Point one partition of a table at a directory, new or not."""
-    target = f"PARTITION (`{partition}` = {_text(label)})"
+    target = f"PARTITION ({name_sql(partition)} = {text_sql(label)})"
     spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS {target}")
-    spark.sql(f"ALTER TABLE {_quoted(table)} ADD {target} LOCATION {_text(path)}")
+    spark.sql(f"ALTER TABLE {_quoted(table)} ADD {target} LOCATION {text_sql(path)}")

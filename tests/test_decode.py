@@ -6,7 +6,6 @@ from decimal import Decimal, localcontext
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellframe import ColumnSpec, decode_columns, decode_rejects, rejected_rows
@@ -20,7 +19,7 @@ MOMENT = datetime.datetime(2018, 9, 29, 8, 28, 33, 123000)
 def _decoded(spark, values, type_name, encoding="auto", on_error="null"):
     data = [(i, None if v is None else bytearray(v)) for i, v in enumerate(values)]
     df = spark.createDataFrame(data, "i int, b binary").repartition(2)
-    out = decode(F.col("b"), parse_type(type_name), encoding, on_error)
+    out = decode("b", parse_type(type_name), encoding, on_error)
     return [r.v for r in df.select("i", out.alias("v")).orderBy("i").collect()]
 
 
