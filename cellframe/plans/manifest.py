@@ -66,17 +66,21 @@ def snapshot_files(manifest: DataFrame, snapshot: str | DataFrame,
     return files.select("snapshot", "family", path.alias("path")).where(F.col("path").isNotNull())
 
 
-def _manifest_dir(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/manifest/{name}"
-
-
 def _record(files: DataFrame, root: str, name: str, table: str) -> None:
-    """Write a snapshot's manifest rows; a snapshot without them does not exist."""
+    """Write a snapshot's manifest rows; a snapshot without them does not exist.
+
+    Each snapshot is a partition of the manifest, and only its own is replaced.
+    """
     rows = files.select(
         F.lit(name).alias("snapshot"), F.lit(table).alias("table_name"),
         F.current_timestamp().alias("creation_time"),
         "family", "live_path", F.lit(None).cast("string").alias("archive_path"))
-    rows.write.mode("overwrite").parquet(_manifest_dir(root, name))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("snapshot").parquet(_manifest_path(root)))
+
+
+def _manifest_path(root: str) -> str:
+    return f"{root.rstrip('/')}/manifest"
 
 
 def _name(table: str, label: str, prefix: str) -> str:
@@ -120,8 +124,9 @@ def freeze_files(spark: SparkSession, path: str, root: str, table: str, label: s
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(MANIFEST).option("recursiveFileLookup", "true").parquet(
-        f"{root.rstrip('/')}/manifest")
+    """All recorded snapshots; a filter on ``snapshot`` opens only that one's files."""
+    manifest = spark.read.schema(MANIFEST).parquet(_manifest_path(root))
+    return manifest.select(*MANIFEST.names)
 
 
 def read_snapshot(spark: SparkSession, manifest: DataFrame, snapshot: str,

@@ -50,6 +50,9 @@ def test_frozen_copy_is_replaced_and_pruned(spark, plan, tmp_path):
     assert name == "SNP_TS_ns_Item_001"
     manifest = read_manifest(spark, root)
     assert manifest.count() == 2
+    assert "PartitionFilters: [isnotnull(snapshot" in plan(snapshot_files(manifest, name))
+    freeze(both, root, "ns:Item", "002", ["f"])
+    assert read_manifest(spark, root).count() == 3
     assert read_snapshot(spark, manifest, name).count() == 8
     only = read_snapshot(spark, manifest, name, ["f"])
     assert {r.family for r in only.collect()} == {"f"} and only.count() == 4
