@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``.
+def scratch_root(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or where that is unset a folder of the warehouse.
 
-    Where that is unset, a temporary folder serves a local session; a cluster
-    needs the setting, since its executors share no local folder.
+    Both are shared by the driver and the executors; the warehouse path may lie in
+    any file system that Spark reads.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/cellframe/{name}-{uuid.uuid4().hex}"
+    if root:
+        return root.rstrip("/")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{scratch_root(spark)}/cellframe/{name}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing lazy reads any more."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to the shared folder and read back; this cuts its lineage."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
