@@ -49,6 +49,24 @@ def tasks_for(df: DataFrame, task_bytes: int = 32 << 20) -> int:
     return max(least, -(-plan_bytes(df) // task_bytes))
 
 
+class Scratch:
+    """Tables of one job in the shared folder, which go as soon as nothing reads them."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root, self.paths, self.count = spark, scratch_dir(spark, name), {}, 0
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        """The frame written under a name that is free, and read back."""
+        self.count += 1
+        path = self.paths[name] = f"{self.root}/{self.count}-{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            remove_dir(self.spark, self.paths.pop(name))
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first()
     return tuple(row)
@@ -134,5 +152,5 @@ def word_hashes(text: bytes) -> np.ndarray:
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-__all__ = ["ORACLES", "QUERIES", "components", "mixed", "plan_bytes", "query", "remainder", "remove_dir",
+__all__ = ["ORACLES", "QUERIES", "Scratch", "components", "mixed", "plan_bytes", "query", "remainder", "remove_dir",
            "scratch_dir", "stored", "table", "tasks_for", "texts", "word_hashes"]

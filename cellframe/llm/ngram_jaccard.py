@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, mixed, query, stored, table, texts, word_hashes
+from .common import Scratch, components, mixed, query, table, texts, word_hashes
 
 WORDS = 5
 PERCENT = 75
@@ -98,9 +98,10 @@ def _bucket_counts(docs: DataFrame, words: int) -> np.ndarray:
     return counts
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, rank, words: int, percent: int) -> DataFrame:
+def _verified(files: Scratch, docs: DataFrame, pairs: DataFrame, rank, words: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` that link, by the other orders and then the whole sets."""
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
+    pairs = files.store(pairs.distinct(), "pairs")
+    wanted = files.store(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
 
     def sets(batches):
         ranks = rank.value
@@ -112,7 +113,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, rank, words: int, percent: int)
                 "prefix_2": [prefixes(t, ranks, 2, percent).tobytes() for t in tokens]})
 
     schema = "doc_id long, tokens binary, prefix_1 binary, prefix_2 binary"
-    found = stored(docs.join(wanted, "doc_id", "left_semi").mapInPandas(sets, schema), "sets")
+    found = files.store(docs.join(wanted, "doc_id", "left_semi").mapInPandas(sets, schema), "sets")
     parts = ("tokens", "prefix_1", "prefix_2")
     joined = pairs
     for side in ("a", "b"):
@@ -129,7 +130,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, rank, words: int, percent: int)
                 ) and linked(a, b, percent))
             yield batch.loc[np.array(kept, bool), ["a", "b"]]
 
-    return joined.mapInPandas(check, "a long, b long")
+    edges = files.store(joined.mapInPandas(check, "a long, b long"), f"edges-{files.count}")
+    files.drop("sets", "wanted", "pairs")
+    return edges
 
 
 def _may_link(a: str, b: str, percent: int):
@@ -148,14 +151,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     other columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
+    files = Scratch(spark, "ngram-jaccard")
     docs = texts(docs)
-    ids = stored(docs.select("doc_id", F.md5("text").alias("digest")), "ids")
+    ids = files.store(docs.select("doc_id", F.md5("text").alias("digest")), "ids")
     first = ids.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    copies = stored(ids.join(first, "digest").where("doc_id <> rep").select("doc_id", "rep").distinct(), "copies")
+    copies = files.store(ids.join(first, "digest").where("doc_id <> rep").select("doc_id", "rep").distinct(), "copies")
     # Copies of an earlier text are left out of the join. An id that also has another
     # text stays: it is a copy and a document of its own.
     single = ids.groupBy("doc_id").agg(F.count_distinct("digest").alias("n")).where("n = 1")
-    skipped = stored(copies.join(single, "doc_id", "left_semi").select("doc_id").distinct(), "skipped")
+    skipped = files.store(copies.join(single, "doc_id", "left_semi").select("doc_id").distinct(), "skipped")
     firsts = docs.join(skipped, "doc_id", "left_anti")
     rank = spark.sparkContext.broadcast(_bucket_counts(firsts, words))  # BUCKETS numbers
 
@@ -166,27 +170,30 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
                 "doc": batch["doc_id"], "n": [len(own) for own in sets],
                 "prefix": [(prefixes(own, rank.value, 0, percent) if len(own) else own).view(np.int64) for own in sets]})
 
-    sized = stored(firsts.mapInPandas(emit, "doc long, n int, prefix array<long>"), "prefixes")
+    sized = files.store(firsts.mapInPandas(emit, "doc long, n int, prefix array<long>"), "prefixes")
     rows = sized.select("doc", "n", F.posexplode("prefix").alias("at", "token")).select(
         "token", "doc", "n", (F.col("n") - F.col("at")).alias("left"))
     same = Window.partitionBy("token")
     entry = F.struct("doc", "n", "left")
-    shared = stored(
+    shared = files.store(
         rows.select("*", F.min(entry).over(same).alias("low"), F.max(entry).over(same).alias("high"))
         .where("low.doc <> high.doc"), "shared")
+    sized = files.store(sized.select("doc", "n"), "sizes")
+    files.drop("prefixes")
 
-    edges = _star(firsts, shared, "low", rank, words, percent)
+    edges = _star(files, firsts, shared, "low", rank, words, percent)
     labels = components(edges)
-    shared = _still_open(shared, labels)
-    more = _star(firsts, shared, "high", rank, words, percent)
+    shared = _still_open(files, shared, labels)
+    more = _star(files, firsts, shared, "high", rank, words, percent)
     edges = edges.unionByName(more)
     labels = components(edges)
-    shared = _still_open(shared.drop("component", "least", "most"), labels)
+    shared = _still_open(files, shared.drop("component"), labels)
     a, b = (shared.select("token", "component", entry.alias("row")).alias(side) for side in ("a", "b"))
     pairs = a.join(b, F.expr("a.token = b.token AND a.row.doc < b.row.doc AND a.component <> b.component")
                    & _may_link("a.row", "b.row", percent))
-    pairs = stored(pairs.select(F.col("a.row.doc").alias("a"), F.col("b.row.doc").alias("b")).distinct(), "pairs")
-    edges = edges.unionByName(stored(_verified(firsts, pairs, rank, words, percent), "edges"))
+    pairs = pairs.select(F.col("a.row.doc").alias("a"), F.col("b.row.doc").alias("b"))
+    edges = edges.unionByName(_verified(files, firsts, pairs, rank, words, percent))
+    files.drop("shared")
 
     # A copy is a link to the first text, unless the text has no words.
     sizes = sized.groupBy(F.col("doc").alias("rep")).agg(F.max("n").cast("long").alias("n_shingles"))
@@ -200,21 +207,24 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
                     F.coalesce("component", "doc_id").alias("component_id")))
 
 
-def _star(docs: DataFrame, shared: DataFrame, center: str, rank, words: int, percent: int) -> DataFrame:
+def _star(files: Scratch, docs: DataFrame, shared: DataFrame, center: str, rank, words: int, percent: int) -> DataFrame:
     """Links between the texts of a token and one of them, its center."""
-    own = shared.where(f"doc <> {center}.doc").withColumn("own", F.struct("doc", "n", "left"))
-    pairs = stored(own.where(_may_link(center, "own", percent)).select(F.least("doc", f"{center}.doc").alias("a"), F.greatest("doc", f"{center}.doc").alias("b"))
-                   .distinct(), "pairs")
-    return stored(_verified(docs, pairs, rank, words, percent), "edges")
+    own = shared.where(f"doc <> {center}.doc").withColumn("own", F.struct("doc", "n", "left")).where(
+        _may_link(center, "own", percent))
+    pairs = own.select(F.least("doc", f"{center}.doc").alias("a"), F.greatest("doc", f"{center}.doc").alias("b"))
+    return _verified(files, docs, pairs, rank, words, percent)
 
 
-def _still_open(shared: DataFrame, labels: DataFrame) -> DataFrame:
+def _still_open(files: Scratch, shared: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of tokens whose texts are not all connected yet, with their component."""
     same = Window.partitionBy("token")
     known = shared.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
         "component", F.coalesce("component", "doc"))
-    return stored(known.select("*", F.min("component").over(same).alias("least"), F.max("component").over(same).alias("most"))
-                  .where("least <> most"), "open")
+    marked = known.select("*", F.min("component").over(same).alias("least"), F.max("component").over(same).alias("most"))
+    still = files.store(marked.where("least <> most").drop("least", "most"), "open")
+    files.drop("shared")
+    files.paths["shared"] = files.paths.pop("open")
+    return still
 
 
 @query("op3_ngram_jaccard")
