@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,10 +16,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, whatever folder the session was started in."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, (environment.get("PYTHONPATH"), root)))
+
+
 def query(name: str, sql: str | None = None):
     """Register a function as a query, with its SQL counterpart if there is one."""
     def register(function):
-        QUERIES[name] = function
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            find_package(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return function
@@ -152,5 +165,5 @@ def word_hashes(text: bytes) -> np.ndarray:
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-__all__ = ["ORACLES", "QUERIES", "Scratch", "components", "mixed", "plan_bytes", "query", "remainder", "remove_dir",
+__all__ = ["ORACLES", "QUERIES", "Scratch", "components", "find_package", "mixed", "plan_bytes", "query", "remainder", "remove_dir",
            "scratch_dir", "stored", "table", "tasks_for", "texts", "word_hashes"]
