@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellframe.llm import fm_decontaminate, line_dedup, ngram_jaccard, packing, quality_gam
+from cellframe.llm.common import find_package
 from cellframe.scratch import scratch_dir, stored
 
 
@@ -58,6 +59,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the table ``documents``; each one's rows are written and read again."""
+    find_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
