@@ -165,8 +165,7 @@ class Reader:
 
     def read(self) -> Iterator[tuple[int, np.ndarray]]:
         """Every document with its ids, a block in memory at a time and the document at hand."""
-        held, number = [], 0
-        have = 0
+        held, have, number = [np.zeros(0, np.uint32)], 0, 0
         for doc, n in self.documents.tolist():
             while have < n:
                 held.append(self.block(number))
