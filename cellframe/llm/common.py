@@ -51,15 +51,16 @@ def remainder(column: str | Column, divisor: int) -> Column:
     return F.crc32(F.col(column).cast("string")) % divisor
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of the size of a frame."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def tasks_for(docs: DataFrame, task_bytes: int = 32 << 20) -> int:
+    """Tasks so that each gets about ``task_bytes`` of the text, by Spark's estimate of it.
 
-
-def tasks_for(df: DataFrame, task_bytes: int = 32 << 20) -> int:
-    """Tasks so that each gets about ``task_bytes`` of the frame's input files."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-plan_bytes(df) // task_bytes))
+    Where Spark knows no size, as of rows that are in no file, the texts are measured.
+    """
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:
+        size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return int(max(least, -(-size // task_bytes)))
 
 
 class Scratch:
@@ -165,5 +166,5 @@ def word_hashes(text: bytes) -> np.ndarray:
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-__all__ = ["ORACLES", "QUERIES", "Scratch", "components", "find_package", "mixed", "plan_bytes", "query", "remainder", "remove_dir",
+__all__ = ["ORACLES", "QUERIES", "Scratch", "components", "find_package", "mixed", "query", "remainder", "remove_dir",
            "scratch_dir", "stored", "table", "tasks_for", "texts", "word_hashes"]
