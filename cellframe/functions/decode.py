@@ -122,19 +122,43 @@ def _double_bytes(value: str) -> str:
     return _when(f"octet_length({value}) >= 8", text)
 
 
+def _long_integer_text(digits: str) -> str:
+    """The decimal text of a two's-complement integer of any width, from its hexadecimal digits.
+
+    The number is built up in groups of nine decimal digits, lowest first, four
+    hexadecimal digits at a time. A negative number is minus (its complement plus one).
+    """
+    grown = """transform(array(aggregate(g, named_struct('g', CAST(array() AS array<bigint>), 'c', {add}),
+        (s, x) -> named_struct('g', concat(s.g, array((x * {times} + s.c) % 1000000000L)), 'c', (x * {times} + s.c) DIV 1000000000L))),
+        s -> CASE WHEN s.c > 0 THEN concat(s.g, array(s.c)) ELSE s.g END)[0]"""
+    step = grown.format(add="CAST(conv(part, 16, 10) AS BIGINT)", times="65536L")
+    plus_one = grown.format(add="1L", times="1L")
+    negative = "substring(h, 1, 1) >= '8'"
+    return f"""transform(array({digits}), h ->
+      transform(array({_when(negative, "translate(h, '0123456789ABCDEF', 'FEDCBA9876543210')", "h")}), m ->
+        transform(array(lpad(m, CAST(ceil(length(m) / 4) * 4 AS INT), '0')), p ->
+          transform(array(aggregate(transform(sequence(1, length(p), 4), i -> substring(p, i, 4)), array(0L),
+            (g, part) -> {step}, g -> {_when(negative, plus_one, "g")})), g ->
+            concat({_when(negative, "'-'", "''")}, CAST(element_at(g, -1) AS STRING),
+              array_join(transform(reverse(slice(g, 1, size(g) - 1)), x -> lpad(CAST(x AS STRING), 9, '0')), '')))[0])[0])[0])[0]"""
+
+
 def _decimal_bytes(value: str) -> str:
-    """Text for four bytes of scale and a two's-complement integer of 1 to 16 bytes."""
-    digits = f"hex(substring({value}, 5, 16))"
+    """Text for four bytes of scale and a two's-complement integer of at least one byte."""
+    digits = f"hex(substring({value}, 5))"
     fill = _when(f"substring({digits}, 1, 1) >= '8'", "'F'", "'0'")
     padded = f"lpad({digits}, 32, {fill})"
     # The upper eight bytes are signed, the lower ones are not.
     upper = f"CAST(conv(substring({padded}, 1, 16), 16, -10) AS DECIMAL(38,0))"
     lower = f"CAST(conv(substring({padded}, 17, 16), 16, 10) AS DECIMAL(38,0))"
     number = f"try_add(try_multiply({upper}, CAST('{1 << 64}' AS DECIMAL(38,0))), {lower})"
+    short = _when(f"octet_length({value}) BETWEEN 5 AND 20", f"CAST({number} AS STRING)")
+    # What a DECIMAL(38,0) cannot hold may still fit with its scale.
+    text = f"coalesce({short}, {_when(f'octet_length({value}) > 4', _long_integer_text(digits))})"
     # A scale beyond these bounds gives zero or an overflow all the same.
-    exponent = f"-greatest(least({_signed(value, 4)}, 99), -99)"
-    text = f"concat(CAST({number} AS STRING), 'E', CAST({exponent} AS STRING))"
-    return _when(f"octet_length({value}) BETWEEN 5 AND 20", text)
+    most = f"3 * octet_length({value}) + 99"
+    exponent = f"-greatest(least({_signed(value, 4)}, {most}), -99)"
+    return f"concat({text}, 'E', CAST({exponent} AS STRING))"
 
 
 def _from_text(value: str, pattern: str, bytes_text: str, type_name: str, encoding: str) -> str:
@@ -155,8 +179,9 @@ def decimal_sql(value: str, precision: int, scale: int, encoding: str) -> str:
 
 
 def string_sql(value: str, length: int | None = None) -> str:
-    """UTF-8 text, cut to a declared length; bytes that are not UTF-8 never fail."""
-    return _as_text(value) if length is None else f"substring({_as_text(value)}, 1, {length})"
+    """UTF-8 text; bytes that are not UTF-8 never fail, text above a declared length does not fit."""
+    text = _as_text(value)
+    return text if length is None else _when(f"char_length({text}) <= {length}", text)
 
 
 def timestamp_sql(value: str, encoding: str) -> str:

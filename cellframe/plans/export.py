@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..model import ExportSpec
 from ..operators.assemble import assemble
-from ..session import COMPILED_METHODS, packed_scans, session_settings
-from ..sinks.files import write_partition
+from ..scratch import remove_dir
+from ..session import COMPILED_METHODS, packed_scans, session_settings, shuffle_into
+from ..sinks.files import write_run
 from ..sinks.tables import create_table, replace_partition, table_name
 from .manifest import SNAPSHOT_PREFIX, freeze, freeze_files, read_manifest, read_snapshot
 
@@ -20,8 +22,10 @@ def export(spark: SparkSession, specs: Sequence[ExportSpec], sources: Mapping[st
     """Freeze, assemble, write and publish each spec's table; gives the table names.
 
     ``sources`` maps a source name to its cells: a frame, which is copied into the
-    snapshot, or a directory of immutable files, which is only listed. A partition
-    is published after its files are complete, never before.
+    snapshot, or a directory of immutable files, which is only listed. Every run writes a
+    directory of its own; the partition moves there after its files are complete, and
+    only then the rows of an earlier run with the same label are removed. A run that
+    fails leaves them as they are.
     """
     published = []
     for spec in specs:
@@ -31,11 +35,16 @@ def export(spark: SparkSession, specs: Sequence[ExportSpec], sources: Mapping[st
         else:
             snapshot = freeze(source, root, spec.source, label, spec.families, prefix=snapshot_prefix)
         name = table_name(spec.table, table_prefix)
-        with session_settings(spark, COMPILED_METHODS), packed_scans(spark, spec.max_partition_bytes):
-            cells = read_snapshot(spark, read_manifest(spark, root), snapshot, spec.families)
-            rows = assemble(cells, spec.columns, on_error=on_error, keep_key=False)
-            path = write_partition(rows, f"{root.rstrip('/')}/tables", name, partition, label, spec.num_files)
-        create_table(spark, spec, f"{root.rstrip('/')}/tables/{name}", partition, table_prefix)
-        replace_partition(spark, name, partition, label, path)
+        tables = f"{root.rstrip('/')}/tables"
+        manifest = read_manifest(spark, root).where(F.col("table_name") == spec.source)
+        with (session_settings(spark, COMPILED_METHODS), packed_scans(spark, spec.max_partition_bytes),
+              shuffle_into(spark, spec.num_files)):
+            rows = assemble(read_snapshot(spark, manifest, snapshot, spec.families), spec.columns,
+                            on_error=on_error, keep_key=False)
+            path = write_run(rows, tables, name, partition, label)
+        create_table(spark, spec, f"{tables}/{name}", partition, table_prefix)
+        old = replace_partition(spark, name, partition, label, path)
+        if old is not None:
+            remove_dir(spark, old)
         published.append(name)
     return published

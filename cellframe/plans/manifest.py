@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import count_matches, flat_name
-from ..model import MANIFEST
+from ..model import CELL, MANIFEST
+from ..scratch import path_exists, remove_dir, stored, subdirs
 from ..sources.cells import read_cells
 
 # Fixed value: how names of scheduled snapshots begin.
@@ -69,14 +71,15 @@ def snapshot_files(manifest: DataFrame, snapshot: str | DataFrame,
 def _record(files: DataFrame, root: str, name: str, table: str) -> None:
     """Write a snapshot's manifest rows; a snapshot without them does not exist.
 
-    Each snapshot is a partition of the manifest, and only its own is replaced.
+    Each snapshot of a table is a partition of the manifest, and only its own is
+    replaced. Rows are gathered into as few files as Spark's target size allows.
     """
-    rows = files.select(
+    rows = files.hint("rebalance").select(
         F.lit(name).alias("snapshot"), F.lit(table).alias("table_name"),
         F.current_timestamp().alias("creation_time"),
         "family", "live_path", F.lit(None).cast("string").alias("archive_path"))
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot").parquet(_manifest_path(root)))
+        .partitionBy("table_name", "snapshot").parquet(_manifest_path(root)))
 
 
 def _manifest_path(root: str) -> str:
@@ -87,24 +90,36 @@ def _name(table: str, label: str, prefix: str) -> str:
     return f"{prefix}{table.replace(':', '_')}_{label}"
 
 
+def _listing(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``family, live_path`` of all files below a directory; their content is not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path")
+    family = F.regexp_extract("path", "/family=([^/]+)/", 1)
+    return files.select(F.nullif(_unescaped(family), F.lit("")).alias("family"), F.col("path").alias("live_path"))
+
+
 def freeze(cells: DataFrame, root: str, table: str, label: str, families: Sequence[str] = (), *,
            prefix: str = SNAPSHOT_PREFIX) -> str:
     """Copy a frame into a snapshot, replacing one of the same name; gives its name.
 
     With ``families`` only those are copied, one directory each, so later reads
-    open what they need. Use ``freeze_files`` where the files never change.
+    open what they need; families without cells have no files. The copy goes to a new
+    directory; the manifest names it once it is complete, and then older copies go, so a
+    name must not be frozen twice at the same time. Use ``freeze_files`` where the files
+    never change.
     """
-    name = _name(table, label, prefix)
-    data = f"{root.rstrip('/')}/data/{name}"
+    spark, name = cells.sparkSession, _name(table, label, prefix)
+    copies = f"{root.rstrip('/')}/data/{name}"
+    data = f"{copies}/{uuid.uuid4().hex}"
     if families:
-        wanted = cells.where(F.col("family").isin(list(families)))
-        wanted.write.mode("overwrite").partitionBy("family").parquet(data)
-        entries = [(f, f"{data}/family={f}") for f in families]
+        cells.where(F.col("family").isin(list(families))).write.partitionBy("family").parquet(data)
     else:
-        cells.write.mode("overwrite").parquet(data)
-        entries = [(None, data)]
-    files = cells.sparkSession.createDataFrame(entries, "family string, live_path string")
-    _record(files.coalesce(1), root, name, table)
+        cells.write.parquet(data)
+    files = _listing(spark, data)
+    none = spark.createDataFrame([(None, None)], files.schema)
+    _record(none if files.isEmpty() else files, root, name, table)
+    for path in subdirs(spark, copies):
+        if not path.endswith(data.rpartition("/")[2]):
+            remove_dir(spark, path)
     return name
 
 
@@ -116,28 +131,59 @@ def freeze_files(spark: SparkSession, path: str, root: str, table: str, label: s
     file's family.
     """
     name = _name(table, label, prefix)
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
-    family = F.regexp_extract("path", "/family=([^/]+)/", 1)
-    _record(listing.select(F.nullif(family, F.lit("")).alias("family"), F.col("path").alias("live_path")),
-            root, name, table)
+    _record(_listing(spark, path), root, name, table)
     return name
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """All recorded snapshots; a filter on ``snapshot`` opens only that one's files."""
+    """All recorded snapshots; filters on ``table_name`` and ``snapshot`` open only their files."""
     manifest = spark.read.schema(MANIFEST).parquet(_manifest_path(root))
     return manifest.select(*MANIFEST.names)
 
 
+def _unescaped(text: Column) -> Column:
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
+def _plain(path: Column | str) -> Column:
+    """A path as text that is the same wherever Spark shows it."""
+    return F.regexp_replace(path, "^([A-Za-z0-9]+):/+", "$1:/")
+
+
+def _directory(path: Column) -> Column:
+    return F.regexp_extract(path, "^(.*)/[^/]*$", 1)
+
+
 def read_snapshot(spark: SparkSession, manifest: DataFrame, snapshot: str,
                   families: Sequence[str] | None = None) -> DataFrame:
     """The cells of a snapshot, from the files of the wanted families only.
 
-    The path list comes to the driver, where every Spark reader keeps the list of
-    its files anyway.
+    A file that has gone from its live path is read from the archive; files that are in
+    neither place are left out, and so are families without files. Only the names of
+    directories come to the driver; they are read as a whole, and files in them that the
+    snapshot does not name are taken out by a join, if there are any.
     """
-    paths = [r.path for r in snapshot_files(manifest, snapshot, families).select("path").collect()]
-    if not paths:
-        raise ValueError(f"no files for snapshot {snapshot!r}, families {families}")
-    base = paths[0].split("/family=")[0] if "/family=" in paths[0] else None
-    return read_cells(spark, paths, base=base)
+    entries = manifest.where(F.col("snapshot") == snapshot)
+    if entries.isEmpty():
+        raise ValueError(f"no snapshot {snapshot!r}")
+    if families is not None:
+        entries = entries.where(F.col("family").isin(list(families)))
+    entries = entries.select(_plain("live_path").alias("live"), _plain("archive_path").alias("archive"))
+    places = entries.select(F.explode(F.array("live", "archive")).alias("path")).where("path IS NOT NULL")
+    found = [r.d for r in places.select(_directory(F.col("path")).alias("d")).distinct().orderBy("d").collect()]
+    found = [d for d in found if path_exists(spark, d)]
+    if not found:
+        return spark.createDataFrame([], CELL)
+    present = spark.read.format("binaryFile").load(found).select(_plain("path").alias("path"))
+    live = present.select(F.col("path").alias("live"), F.lit(True).alias("is_live"))
+    chosen = entries.join(live, "live", "left").select(
+        F.when(F.col("is_live"), F.col("live")).otherwise(F.col("archive")).alias("path"))
+    others = stored(present.join(chosen, "path", "left_anti"), "other-files")
+    cells = None
+    for base in sorted({d.split("/family=")[0] if "/family=" in d else d for d in found}):
+        own = [d for d in found if d == base or d.startswith(f"{base}/family=")]
+        rows = read_cells(spark, own, base=base).select("*", _plain(_unescaped(F.col("_metadata.file_path"))).alias("_path"))
+        cells = rows if cells is None else cells.unionByName(rows)
+    if not others.isEmpty():
+        cells = cells.join(others.withColumnRenamed("path", "_path"), "_path", "left_anti")
+    return cells.select(*CELL.names)

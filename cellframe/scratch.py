@@ -24,11 +24,39 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/cellframe/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder that nothing lazy reads any more."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    system, target = _file_system(spark, path)
+    system.delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return system.exists(target)
+
+
+def subdirs(spark: SparkSession, path: str) -> list[str]:
+    """The folders right below a folder."""
+    system, target = _file_system(spark, path)
+    return [f.getPath().toString() for f in system.listStatus(target) if f.isDirectory()]
+
+
+def replace_dir(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a complete folder in the place of another one."""
+    system, target = _file_system(spark, path)
+    _, source = _file_system(spark, fresh)
+    _, aside = _file_system(spark, f"{fresh}-old")
+    if system.exists(target):
+        system.rename(target, aside)
+    if not system.rename(source, target):
+        system.rename(aside, target)
+        raise OSError(f"cannot move {fresh} to {path}")
+    system.delete(aside, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

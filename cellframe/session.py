@@ -28,12 +28,25 @@ def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterat
                 spark.conf.set(name, value)
 
 
+def shuffle_into(spark: SparkSession, num_partitions: int | None):
+    """Let a job's own shuffle deal its rows into this many partitions.
+
+    A fixed number of output files then needs no shuffle besides the one by key.
+    ``None`` changes nothing.
+    """
+    settings = {} if num_partitions is None else {
+        "spark.sql.shuffle.partitions": str(num_partitions),
+        "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    return session_settings(spark, settings)
+
+
 def packed_scans(spark: SparkSession, max_partition_bytes: int | None):
     """Let each scan task read up to this many bytes of (small) files.
 
-    ``None`` changes nothing.
+    Files count by their bytes alone, however many a task opens. ``None`` changes nothing.
     """
     settings = {} if max_partition_bytes is None else {
         "spark.sql.files.maxPartitionBytes": str(max_partition_bytes),
+        "spark.sql.files.openCostInBytes": "0",
         "spark.sql.files.minPartitionNum": "1"}
     return session_settings(spark, settings)

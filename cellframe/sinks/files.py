@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import or_empty
+from ..scratch import remove_dir, replace_dir
 
 
 def into_files(df: DataFrame, num_files: int | None, key: Sequence[str] = ()) -> DataFrame:
@@ -42,7 +44,7 @@ def write_sequence(df: DataFrame, path: str, column: str = "line") -> None:
 
     Spark SQL has no writer for this format, so this goes through an RDD.
     """
-    _remove(df, path)
+    remove_dir(df.sparkSession, path)
     df.select(column).rdd.map(lambda row: (None, row[0])).saveAsHadoopFile(
         path,
         "org.apache.hadoop.mapred.SequenceFileOutputFormat",
@@ -50,23 +52,32 @@ def write_sequence(df: DataFrame, path: str, column: str = "line") -> None:
         valueClass="org.apache.hadoop.io.Text")
 
 
-def _remove(df: DataFrame, path: str) -> None:
-    context = df.sparkSession.sparkContext
-    target = context._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def partition_path(root: str, table: str, partition: str, label: str) -> str:
     return f"{root.rstrip('/')}/{table}/{partition}={label}"
 
 
+def write_run(df: DataFrame, root: str, table: str, partition: str, label: str,
+              num_files: int | None = None) -> str:
+    """Write one partition's rows into a directory of this run alone; gives its path.
+
+    Nothing that an earlier run wrote is touched. The label lives in the directory name
+    only, not in the files.
+    """
+    path = f"{partition_path(root, table, partition, label)}/run-{uuid.uuid4().hex}"
+    write_orc(df.drop(partition), path, num_files)
+    return path
+
+
 def write_partition(df: DataFrame, root: str, table: str, partition: str, label: str,
                     num_files: int | None = None) -> str:
-    """Write one ``partition=label`` directory of a table; gives its path.
+    """Write the ``partition=label`` directory of a table; gives its path.
 
-    The label lives in the directory name only, not in the files.
+    Rows are written beside it first and take its place once they are complete, so a
+    failed run leaves the old rows. The move itself is two renames; tables that are
+    read meanwhile are switched by ``replace_partition`` instead.
     """
-    path = partition_path(root, table, partition, label)
-    rows = df.drop(partition)
-    write_orc(rows, path, num_files)
+    spark, path = df.sparkSession, partition_path(root, table, partition, label)
+    fresh = f"{root.rstrip('/')}/{table}/_run-{uuid.uuid4().hex}"
+    write_orc(df.drop(partition), fresh, num_files)
+    replace_dir(spark, fresh, path)
     return path

@@ -32,8 +32,24 @@ def create_table(spark: SparkSession, spec: ExportSpec, location: str, partition
     return table_name(spec.table, prefix)
 
 
-def replace_partition(spark: SparkSession, table: str, partition: str, label: str, path: str) -> None:
-    """Point one partition of a table at a directory, new or not."""
+def partition_location(spark: SparkSession, table: str, partition: str, label: str) -> str | None:
+    """Where one partition of a table lies now; ``None`` if the table has no such partition."""
     target = f"PARTITION ({name_sql(partition)} = {text_sql(label)})"
-    spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS {target}")
-    spark.sql(f"ALTER TABLE {_quoted(table)} ADD {target} LOCATION {text_sql(path)}")
+    if spark.sql(f"SHOW PARTITIONS {_quoted(table)} {target}").isEmpty():
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)} {target}").where("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
+def replace_partition(spark: SparkSession, table: str, partition: str, label: str, path: str) -> str | None:
+    """Point one partition of a table at a directory, new or not; gives the old directory.
+
+    An existing partition is moved by one statement, so readers find the old rows or the
+    new ones, never none.
+    """
+    target = f"PARTITION ({name_sql(partition)} = {text_sql(label)})"
+    old = partition_location(spark, table, partition, label)
+    how = f"ADD {target} LOCATION" if old is None else f"{target} SET LOCATION"
+    spark.sql(f"ALTER TABLE {_quoted(table)} {how} {text_sql(path)}")
+    spark.sql(f"REFRESH TABLE {_quoted(table)}")
+    return old

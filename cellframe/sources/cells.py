@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..model import CELL
 from ..session import packed_scans
@@ -33,15 +34,27 @@ def read_orc(spark: SparkSession, paths: str | Sequence[str], *, partition: str
              label: str | None = None) -> DataFrame:
     """ORC files with the schema found in them, or one ``partition=label`` of a table.
 
-    A partition label is always text, even if it is all digits.
+    With a label only that partition's directories are listed, and the columns are
+    those of its own files; several tables must have the same ones. A partition label
+    is always text, even if it is all digits.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if partition is None:
         return spark.read.orc(paths)
-    schema = spark.read.orc(paths).schema
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name != partition]
-    rows = spark.read.schema(", ".join([*fields, f"`{partition}` string"])).orc(paths)
-    return rows if label is None else rows.where(F.col(partition) == label)
+    if label is None:
+        schema = spark.read.orc(paths).schema
+        return spark.read.schema(_with_text_column(schema, partition)).orc(paths)
+    rows = None
+    for path in paths:
+        directory = f"{path.rstrip('/')}/{partition}={label}"
+        schema = _with_text_column(spark.read.orc(directory).schema, partition)
+        one = spark.read.schema(schema).option("basePath", path).orc(directory)
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
+def _with_text_column(schema: T.StructType, name: str) -> T.StructType:
+    return T.StructType([*(f for f in schema if f.name != name), T.StructField(name, T.StringType())])
 
 
 def unpivot_to_cells(df: DataFrame, key: str, family: str | dict[str, str], columns: Sequence[str], *,

@@ -41,7 +41,7 @@ CASES = {
     "double": [(b"1.5", 1.5), (b"\x3f\xf8" + b"\x00" * 6, 1.5), (b"0x1p3", 8.0), (b"1.0d", 1.0),
                (b"Infinity", math.inf), (b"inf", None), (b"nan", None), (b"", None), (None, None)],
     "string": [(b"abc", "abc"), (b"", ""), ("é".encode(), "é"), (None, None)],
-    "varchar(2)": [(b"abc", "ab"), (b"a", "a")],
+    "varchar(2)": [(b"abc", None), (b"ab", "ab"), ("éé".encode(), "éé"), (None, None)],
     "date": [(b"1538209713123", datetime.date(2018, 9, 29)),
              (struct.pack(">q", 1538209713123), datetime.date(2018, 9, 29)), (b"-1", datetime.date(1969, 12, 31)),
              (b"not a day", None), (b"", None), (None, None)],
@@ -97,6 +97,26 @@ def test_decimal_bytes_of_any_width(spark):
         assert [int(g.scaleb(10)) for g in got] == [c[0] for c in cases]
 
 
+def test_long_decimals_that_fit_with_their_scale(spark):
+    cases = [(12345678901234567890 * 10 ** 20, 22, 17), (3 * 10 ** 40, 35, 18), (123 * 10 ** 42, 40, 20), (-(10 ** 60) - 1, 45, 27),
+             (15 * 10 ** 37, 30, 16), (-(1 << 127), 30, 16), (-(1 << 200), 60, 30), (7 * 10 ** 120, 115, 60), (0, 3, 40), (-1, 0, 33)]
+    raw = [struct.pack(">i", scale) + unscaled.to_bytes(size, "big", signed=True) for unscaled, scale, size in cases]
+    got = _decoded(spark, raw, "decimal(38,10)", "binary")
+    with localcontext(prec=200):
+        assert got == [Decimal(u).scaleb(-s).quantize(Decimal(1).scaleb(-10), "ROUND_HALF_UP") for u, s, _ in cases]
+    assert _decoded(spark, [struct.pack(">i", 0) + (10 ** 60).to_bytes(30, "big")], "decimal(38,10)", "binary") == [None]
+
+
+def test_text_above_its_length_is_an_error_or_a_reject(spark):
+    df = spark.createDataFrame([(bytearray(b"abcdefghij"),), (bytearray(b"abc"),), (None,)], "b binary")
+    columns = [ColumnSpec("f", "b", "varchar(3)", "b")]
+    assert [tuple(r) for r in decode_rejects(df, columns).collect()] == [("b", 2, 1)]
+    assert [bytes(r.b) for r in rejected_rows(df, columns).collect()] == [b"abcdefghij"]
+    assert sorted(r.b or "" for r in decode_columns(df, columns, "null").collect()) == ["", "", "abc"]
+    with pytest.raises(PySparkException):
+        decode_columns(df, columns).collect()
+
+
 def test_extreme_decimal_scale_is_harmless(spark):
     raw = [struct.pack(">i", 2_000_000_000) + b"\x05", struct.pack(">i", -2_000_000_000) + b"\x05"]
     assert _decoded(spark, raw, "decimal(10,2)", "binary") == [Decimal("0.00"), None]

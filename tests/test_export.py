@@ -49,15 +49,17 @@ def test_frozen_copy_is_replaced_and_pruned(spark, plan, tmp_path):
         name = freeze(part, root, "ns:Item", "001", ["f", "g"])
     assert name == "SNP_TS_ns_Item_001"
     manifest = read_manifest(spark, root)
-    assert manifest.count() == 2
+    assert {r.family for r in manifest.collect()} == {"f", "g"}
     assert "PartitionFilters: [isnotnull(snapshot" in plan(snapshot_files(manifest, name))
+    assert len(list((tmp_path / "data" / name).iterdir())) == 1
     freeze(both, root, "ns:Item", "002", ["f"])
-    assert read_manifest(spark, root).count() == 3
+    assert {r.snapshot for r in read_manifest(spark, root).collect()} == {name, name.replace("001", "002")}
     assert read_snapshot(spark, manifest, name).count() == 8
     only = read_snapshot(spark, manifest, name, ["f"])
     assert {r.family for r in only.collect()} == {"f"} and only.count() == 4
+    assert read_snapshot(spark, manifest, name, ["h"]).count() == 0
     with pytest.raises(ValueError):
-        read_snapshot(spark, manifest, name, ["h"])
+        read_snapshot(spark, manifest, "other", ["f"])
 
 
 def test_listed_files_do_not_grow(spark, tmp_path):
@@ -83,7 +85,8 @@ def test_export_publishes_dated_partitions(spark, tmp_path):
     table = spark.table("pre_item_base")
     assert dict(table.dtypes) == {"A": "int", "B": "string", "dt": "string"}
     assert rows(table) == [(5, "x", "001"), (5, "x", "002"), (6, None, "002"), (7, None, "001")]
-    assert len(list((tmp_path / "tables" / "pre_item_base" / "dt=001").glob("*.orc"))) == 2
+    assert len(list((tmp_path / "tables" / "pre_item_base" / "dt=001").glob("*/*.orc"))) == 2
+    assert len(list((tmp_path / "tables" / "pre_item_base" / "dt=002").iterdir())) == 1
 
 
 def test_failed_export_publishes_nothing(spark, tmp_path):
@@ -95,6 +98,50 @@ def test_failed_export_publishes_nothing(spark, tmp_path):
     assert {r.dt for r in spark.table("bad_item_base").collect()} == {"001"}
 
 
+def test_failed_export_of_a_published_label_keeps_its_rows(spark, tmp_path):
+    root = str(tmp_path)
+    export(spark, [SPEC], {"ns:Item": cells_frame(spark, CELLS)}, root, "001", table_prefix="kept_")
+    before = rows(spark.table("kept_item_base"))
+    with pytest.raises(PySparkException):
+        export(spark, [SPEC], {"ns:Item": cells_frame(spark, [("1", "a", "x", 0, 0)])}, root, "001", table_prefix="kept_")
+    assert len(before) == 2 and rows(spark.table("kept_item_base")) == before
+
+
+def test_failed_freeze_keeps_the_snapshot(spark, tmp_path):
+    root = str(tmp_path)
+    name = freeze(cells_frame(spark, CELLS), root, "ns:Item", "001", ["f"])
+    broken = cells_frame(spark, CELLS).withColumn("ts", F.raise_error(F.lit("lost")).cast("bigint"))
+    with pytest.raises(PySparkException):
+        freeze(broken, root, "ns:Item", "001", ["f"])
+    assert read_snapshot(spark, read_manifest(spark, root), name).count() == 4
+
+
+def test_family_without_cells_gives_null_columns(spark, tmp_path):
+    spec = ExportSpec("ns:Item", "Empty_Family", (ColumnSpec("f", "a", "int", "A"), ColumnSpec("g", "b", "string", "B")))
+    export(spark, [spec], {"ns:Item": cells_frame(spark, CELLS)}, str(tmp_path), "001")
+    assert rows(spark.table("empty_family")) == [(5, None, "001"), (7, None, "001")]
+    export(spark, [spec], {"ns:Item": cells_frame(spark, CELLS).where("false")}, str(tmp_path), "001")
+    assert spark.table("empty_family").count() == 0
+
+
+def test_snapshot_half_live_half_archived(spark, tmp_path):
+    live, archive, root = tmp_path / "live", tmp_path / "archive", str(tmp_path / "root")
+    cells_frame(spark, CELLS).write.partitionBy("family").parquet(str(live))
+    name = freeze_files(spark, str(live), root, "ns:Item", "001")
+    files = sorted((live / "family=f").glob("*.parquet"))
+    assert len(files) > 1
+    (archive / "family=f").mkdir(parents=True)
+    files[0].rename(archive / "family=f" / files[0].name)
+    cells_frame(spark, [("9", "a", "9", 0, 0)]).drop("family").write.mode("append").parquet(str(archive / "family=f"))
+    manifest = read_manifest(spark, root)
+    moved = manifest.withColumn("archive_path", F.replace("live_path", F.lit(str(live)), F.lit(str(archive))))
+    assert rows(read_snapshot(spark, moved, name).select("row_key", "qualifier", "ts")) == [
+        ("1", "a", 0), ("1", "b", 0), ("2", "a", 0), ("2", "a", 1)]
+    some = read_snapshot(spark, manifest, name).count()
+    assert 0 < some < 4
+    assert len(list((tmp_path / "root" / "manifest").rglob("*.parquet"))) == 1
+
+
 def test_table_statement():
     sql = create_table_sql(SPEC, "/data/it's", "dt", "Pre_")
     assert sql == ("CREATE TABLE IF NOT EXISTS `pre_item_base` (`A` int, `B` string, `dt` string) "
