@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 from ..functions.decode import decode
 from ..functions.text import or_empty
 from ..model import VERSION, ColumnSpec
+from ..session import tasks_for
 from ..sql import name_sql, text_sql
 from .select import map_columns, pick_qualifiers, require, require_nonempty, with_partition
-from .skew import HOT_ROWS, with_salt
 
 # Above this many columns, rows are put together from a map instead of from one
 # filtered aggregate per column, whose cost grows with columns times cells.
@@ -112,14 +112,15 @@ def assemble_tsv(cells: DataFrame, key_qualifier: str, value_qualifier: str, *,
     return rows.select(F.concat_ws("\t", "_key", or_empty(F.col("_value"))).alias("line"))
 
 
-def read_rows(cells: DataFrame, qualifiers: Sequence[str], *, key: str = "row_key",
+def read_rows(cells: DataFrame, qualifiers: Sequence[str] | None = None, *, key: str = "row_key",
               order: Sequence[str] = VERSION) -> DataFrame:
     """Each row key with the list of its newest cells, sorted by version.
 
-    Only the named qualifiers are gathered and older versions are dropped before
-    the lists are built, so a list never grows with the number of cells.
+    Older versions are dropped before the lists are built, so a list has one cell per
+    family and qualifier of its row, however many versions there are. ``qualifiers``,
+    in any letter case, keeps only those; rows without bound on their qualifiers need it.
     """
-    wanted = cells.where(F.lower("qualifier").isin([q.lower() for q in qualifiers]))
+    wanted = cells if qualifiers is None else cells.where(F.lower("qualifier").isin([q.lower() for q in qualifiers]))
     others = [c for c in ("value", *order) if c in cells.columns]
     newest = wanted.groupBy(key, "family", "qualifier").agg(
         F.max_by(F.struct(*others), F.expr(_version(order))).alias("cell"))
@@ -144,15 +145,13 @@ def assemble_from_rows(rows: DataFrame, names: Mapping[str, str], *, key: str =
     return rows.select(key, *[last_value(q).alias(t) for q, t in names.items()])
 
 
-def dump_pairs(cells: DataFrame, num_files: int | None = None, *, key: str = "row_key",
-               hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Every cell's key, qualifier and value text, ordered by key in each file.
+def dump_pairs(cells: DataFrame, num_files: int | None = None, *, key: str = "row_key") -> DataFrame:
+    """Every cell's key, qualifier and value text, ordered by key and version in each file.
 
-    The cells of a key stay together, except that a key above ``hot_rows`` cells is
-    spread over several tasks; ``hot_rows=None`` leaves out that check.
+    Files hold ranges of keys and versions of about equal size, so the cells of a key
+    are in one file or in neighbouring ones.
     """
-    salted = cells.withColumn("_salt", F.lit(0)) if hot_rows is None else with_salt(cells, [key], hot_rows)
-    together = [key, "_salt"]
-    spread = salted.repartition(num_files, *together) if num_files else salted.repartition(*together)
-    return spread.sortWithinPartitions(key).select(
+    order = [key, *(c for c in VERSION if c in cells.columns), "qualifier"]
+    ranged = cells.repartitionByRange(num_files or tasks_for(cells), *order)
+    return ranged.sortWithinPartitions(*order).select(
         key, "qualifier", F.col("value").cast("string").alias("value"))

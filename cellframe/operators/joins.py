@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import java_split, label, or_empty, zip_to_map
 from .select import conform, drop_columns
-from .skew import HOT_ROWS, hot_keys, key_hash, spread_number
+from .skew import hot_keys, key_hash, spread_number
 
 
 def tagged_union(sides: Mapping[str, DataFrame], tag: str = "type") -> DataFrame:
@@ -80,7 +80,7 @@ def override_columns(left: Sequence[str], right: Sequence[str], key: Sequence[st
 
 def inner_join(left: DataFrame, right: DataFrame, key: Sequence[str], *,
                schema: T.StructType | None = None, without: Sequence[str] = ("dt",),
-               text: bool = False, skew: str = "auto", hot_rows: int = HOT_ROWS) -> DataFrame:
+               text: bool = False, skew: str = "auto", hot_rows: int | None = None) -> DataFrame:
     """Every pair of records with equal keys, as one merged row each.
 
     Columns named in ``without`` are left out, the right side wins for a shared
@@ -112,14 +112,14 @@ def _adaptive_skew_join(df: DataFrame) -> bool:
     return all(conf.get(s) == "true" for s in switches)
 
 
-def _salted(left: DataFrame, right: DataFrame, key: list[str], hot_rows: int):
+def _salted(left: DataFrame, right: DataFrame, key: list[str], hot_rows: int | None):
     """Both sides with salt columns ``_a`` and ``_b``, 0 for ordinary keys.
 
     ``_a`` spreads keys that are hot on the left: a left row draws one salt and a
     right row is repeated for each. ``_b`` does the same for the right.
     """
-    hot_left = F.broadcast(hot_keys(left, key, hot_rows).toDF("_hot_left", "_salts_left"))
-    hot_right = F.broadcast(hot_keys(right, key, hot_rows).toDF("_hot_right", "_salts_right"))
+    hot_left = hot_keys(left, key, hot_rows).toDF("_hot_left", "_salts_left")
+    hot_right = hot_keys(right, key, hot_rows).toDF("_hot_right", "_salts_right")
 
     def prepare(df: DataFrame, own: str, own_salt: str, other: str, other_salt: str) -> DataFrame:
         marked = (

@@ -8,62 +8,45 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import VERSION
-from .skew import HOT_ROWS, split_hot
-
-# More chunks than tasks even out their sizes; the bound keeps the rows that
-# travel between chunks, at most half its square, few.
-MAX_CHUNKS = 4096
+from ..session import tasks_for
 
 
 def running_row(cells: DataFrame, names: Mapping[str, str], *, by: Sequence[str] = ("row_key",),
-                order: Sequence[str] = VERSION, hot_rows: int | None = HOT_ROWS,
-                chunks: int | None = None) -> DataFrame:
+                order: Sequence[str] = VERSION, chunks: int | None = None) -> DataFrame:
     """Each cell with the most recently seen value of every named qualifier.
 
-    The scan runs per ``by`` group in ``order``, which must be unique within a
-    group. Groups above ``hot_rows`` cells are cut into ``chunks`` ranges that are
-    scanned side by side; ``hot_rows=None`` leaves out that check.
+    The scan runs per ``by`` group in ``order``, which must be unique within a group.
+    Rows are range-partitioned by group and order into ``chunks`` of about equal size, by
+    default as many as the data needs, so a group of any size spreads over as many tasks
+    as its rows fill. Each chunk is filled on its own. What it knows of the group that
+    may go on in the next chunk is one row; these few rows are filled from chunk to
+    chunk and joined back, so the data moves twice however large its groups are.
     """
-    by, order = list(by), list(order)
-    kept = [c for c in cells.columns if c not in names.values()]
+    by, order, columns = list(by), list(order), list(names.values())
+    kept = [c for c in cells.columns if c not in columns]
     seen = cells.select(*kept, *[
         F.when(F.lower("qualifier") == q.lower(), F.col("value")).alias(t) for q, t in names.items()])
-    columns = list(names.values())
-    if hot_rows is None:
-        return _scan(seen, columns, by, order)
-    hot, cold = split_hot(seen, by, hot_rows)
-    return _scan(cold, columns, by, order).unionByName(
-        _scan_in_chunks(hot, columns, by, order, chunks))
-
-
-def _filled(df: DataFrame, columns: Sequence[str], window) -> DataFrame:
-    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
-
-
-def _scan(df: DataFrame, columns, by, order) -> DataFrame:
-    return _filled(df, columns, Window.partitionBy(*by).orderBy(*order))
+    ranged = seen.repartitionByRange(chunks or tasks_for(cells), *by, *order).withColumn("_chunk", F.spark_partition_id())
+    local = _filled(ranged, columns, Window.partitionBy("_chunk", *by).orderBy(*order))
 
+    # Whole rows, so that both uses of the chunks are one and the same exchange.
+    last = F.max_by(F.struct(*local.columns), F.struct(*by, *order))
+    ends = local.groupBy("_chunk").agg(last.alias("_row")).select(
+        "_chunk", *[F.col(f"_row.`{c}`").alias(f"_by{i}") for i, c in enumerate(by)],
+        *[F.col(f"_row.`{c}`").alias(f"_to{i}") for i, c in enumerate(columns)])
+    groups = [f"_by{i}" for i in range(len(by))]
+    known = _filled(ends, [f"_to{i}" for i in range(len(columns))], Window.partitionBy(*groups).orderBy("_chunk"))
+    following = F.lead("_chunk").over(Window.orderBy("_chunk"))
+    carried = known.withColumn("_next", following).drop("_chunk")
 
-def _scan_in_chunks(df: DataFrame, columns, by, order, chunks: int | None) -> DataFrame:
-    """The same scan for groups too large for one task.
+    # A row per chunk: as many as there are tasks, whatever the data size.
+    match = F.col("_chunk") == F.col("_next")
+    for i, c in enumerate(by):
+        match = match & F.col(f"`{c}`").eqNullSafe(F.col(f"_by{i}"))
+    joined = local.join(F.broadcast(carried), match, "left")
+    return joined.select(*kept, *[F.coalesce(f"`{c}`", f"_to{i}").alias(c) for i, c in enumerate(columns)])
 
-    Rows are range-partitioned by group and order into balanced chunks. Each
-    chunk is filled on its own; then its last row, which holds what the chunk
-    knows about the group it may share with later chunks, is sent to all of
-    those. Only one row per chunk travels, whatever the data size.
-    """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = chunks or min(4 * tasks, MAX_CHUNKS)
-    ranged = df.repartitionByRange(chunks, *by, *order).withColumn("_chunk", F.spark_partition_id())
-    # Both windows need the same distribution and the same sort.
-    local = _filled(ranged, columns, Window.partitionBy("_chunk", *by).orderBy(*order))
-    whole_chunk = Window.partitionBy("_chunk").orderBy(*by, *order)
-    local = local.withColumn("_last", F.lead(F.lit(False), 1, True).over(whole_chunk))
 
-    receivers = F.when(F.col("_last"), F.sequence(F.col("_chunk"), F.lit(chunks - 1)))
-    sent = local.withColumn("_to", F.explode(F.coalesce(receivers, F.array("_chunk"))))
-    # Received rows come from earlier chunks and therefore sort first.
-    window = Window.partitionBy("_to", *by).orderBy("_chunk", *order)
-    filled = _filled(sent, columns, window)
-    return filled.where(F.col("_to") == F.col("_chunk")).drop("_chunk", "_last", "_to")
+def _filled(df: DataFrame, columns: Sequence[str], window) -> DataFrame:
+    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumns({c: F.last(F.col(f"`{c}`"), ignorenulls=True).over(so_far) for c in columns})

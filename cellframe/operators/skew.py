@@ -1,7 +1,6 @@
-"""Finding and spreading keys that hold a large share of all rows.
+"""Salting of keys that hold a large share of all rows, for sessions without adaptive execution.
 
-Keys are compared by a 64-bit hash: a hot set is then a bounded number of longs,
-safe to broadcast, and a hash collision only spreads a key that did not need it.
+Keys are compared by a 64-bit hash: a collision only spreads a key that did not need it.
 """
 
 from __future__ import annotations
@@ -11,37 +10,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with no more rows than this fits one task.
-HOT_ROWS = 5_000_000
-# At most this many keys are treated as hot, so a hot set is at most 64 KiB.
-HOT_KEYS = 4096
-# The most tasks one key is spread over.
-MAX_SALTS = 65_536
-
 
 def key_hash(key: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(f"`{k}`") for k in key])
 
 
-def hot_keys(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS,
-             limit: int = HOT_KEYS) -> DataFrame:
-    """``_hot, _salts``: hashes of the largest keys above ``hot_rows`` rows.
+def hot_keys(df: DataFrame, key: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+    """``_hot, _salts``: hashes of the keys with more than ``hot_rows`` rows.
 
-    ``_salts`` is how many tasks of ``hot_rows`` rows a key needs. Only the key
-    columns are read and counts are combined inside each task. Keys beyond the
-    ``limit`` largest hold less than ``1/limit`` of all rows each.
+    ``_salts`` is how many tasks of ``hot_rows`` rows a key needs. By default a key is
+    hot if it has more than one shuffle partition's share of all rows, so there are
+    never more hot keys, nor more salts for one, than shuffle partitions. Only the key
+    columns are read and counts are combined inside each task.
     """
     counts = df.select(key_hash(key).alias("_hot")).groupBy("_hot").agg(F.count("*").alias("_n"))
-    largest = counts.where(F.col("_n") > hot_rows).orderBy(F.desc("_n"), "_hot").limit(limit)
-    salts = F.least(F.ceil(F.col("_n") / max(hot_rows, 1)), F.lit(MAX_SALTS)).cast("int")
-    return largest.select("_hot", salts.alias("_salts"))
-
-
-def split_hot(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """The rows of hot keys, and all other rows."""
-    hot = F.broadcast(hot_keys(df, key, hot_rows))
-    match = key_hash(key) == F.col("_hot")
-    return df.join(hot, match, "left_semi"), df.join(hot, match, "left_anti")
+    if hot_rows is None:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        hot_rows = -(-df.count() // parts)
+    hot_rows = max(hot_rows, 1)
+    return counts.where(F.col("_n") > hot_rows).select("_hot", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
 
 
 def spread_number(df: DataFrame) -> Column:
@@ -52,12 +39,3 @@ def spread_number(df: DataFrame) -> Column:
     """
     content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     return F.hash(F.spark_partition_id(), content)
-
-
-def with_salt(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS, name: str = "_salt") -> DataFrame:
-    """Add a salt: below the key's number of tasks for a hot key, 0 for others."""
-    hot = F.broadcast(hot_keys(df, key, hot_rows))
-    drawn = df.withColumn("_spread", spread_number(df))
-    marked = drawn.join(hot, key_hash(key) == F.col("_hot"), "left")
-    salt = F.pmod("_spread", F.coalesce("_salts", F.lit(1)))
-    return marked.select(*[F.col(f"`{c}`") for c in df.columns], salt.alias(name))

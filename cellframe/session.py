@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Spark joins the expressions of many decoded columns into one Java method. Above
 # 8000 bytes the JVM never compiles it; with this limit Spark splits it instead.
@@ -28,6 +28,17 @@ def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterat
                 spark.conf.set(name, value)
 
 
+def tasks_for(df: DataFrame, task_bytes: int = 64 << 20) -> int:
+    """Tasks so that each gets about ``task_bytes`` of a frame, by Spark's estimate of it.
+
+    At least as many as the session has shuffle partitions; so many too where Spark knows
+    no size, as of rows that are in no file.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return least if size >= 1 << 60 else max(least, -(-size // task_bytes))
+
+
 def shuffle_into(spark: SparkSession, num_partitions: int | None):
     """Let a job's own shuffle deal its rows into this many partitions.
 

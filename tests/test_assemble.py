@@ -2,6 +2,7 @@ import random
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from cellframe import (
     ColumnSpec, ExportSpec, assemble, assemble_from_rows, assemble_strings, assemble_tsv, dump_pairs, read_rows,
@@ -79,6 +80,7 @@ def test_tsv_needs_a_key_text(spark):
 def test_rows_hold_the_newest_cells(spark):
     cells = _random_cells(3)
     grouped = read_rows(cells_frame(spark, cells), ["a", "b"])
+    assert sum(len(r.cells) for r in read_rows(cells_frame(spark, cells)).collect()) == len({(k, q) for k, q, *_ in cells})
     assert max(len(r.cells) for r in grouped.collect()) <= 2
     got = rows(assemble_from_rows(drop_empty_rows(grouped), {"A": "x", "B": "y"}))
     assert got == sorted(((k, None if x is None else str(x), y) for k, x, y in _expected(cells)), key=repr)
@@ -90,10 +92,11 @@ def test_row_assembly_does_not_shuffle(spark, plan, tmp_path):
     assert "Exchange" not in plan(assemble_from_rows(stored, {"a": "x"}))
 
 
-@pytest.mark.parametrize("hot_rows", [None, 20])
-def test_dump_is_ordered_inside_each_file(spark, tmp_path, hot_rows):
+def test_dump_is_ordered_inside_each_file(spark, plan, tmp_path):
     cells = _random_cells(4)
-    dump_pairs(cells_frame(spark, cells), 4, hot_rows=hot_rows).write.parquet(str(tmp_path / "dump"))
+    dumped = dump_pairs(cells_frame(spark, cells), 4)
+    assert plan(dumped, executed=True).split("== Initial Plan ==")[-1].count("Exchange rangepartitioning") == 1
+    dumped.write.parquet(str(tmp_path / "dump"))
     files = list((tmp_path / "dump").glob("*.parquet"))
     everything = []
     holders = 0
@@ -103,7 +106,7 @@ def test_dump_is_ordered_inside_each_file(spark, tmp_path, hot_rows):
         holders += any(p[0] == "hot" for p in part)
         everything += part
     assert sorted(everything) == sorted((k, q, v) for k, q, v, _, _ in cells)
-    assert holders > 1 if hot_rows else holders == 1
+    assert holders > 1  # a third of all cells do not fit one of four files
 
 
 def _running(cells):
@@ -115,18 +118,27 @@ def _running(cells):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("hot_rows, chunks", [(None, None), (1000, None), (20, 3), (20, 50), (0, 7), (0, 1)])
-def test_running_rows_however_they_are_cut(spark, hot_rows, chunks):
+@pytest.mark.parametrize("chunks", [None, 1, 3, 7, 50])
+def test_running_rows_however_they_are_cut(spark, chunks):
     cells = _random_cells(7)
     text = cells_frame(spark, cells).selectExpr("row_key", "qualifier", "cast(value as string) value", "ts", "seq")
-    got = running_row(text, {"A": "x", "b": "y"}, hot_rows=hot_rows, chunks=chunks)
+    got = running_row(text, {"A": "x", "b": "y"}, chunks=chunks)
     assert rows(got.select("row_key", "seq", "x", "y")) == _running(cells)
 
 
-def test_running_rows_without_large_groups_scan_once(spark, plan):
-    cells = cells_frame(spark, _random_cells(7)).selectExpr("row_key", "qualifier", "cast(value as string) value", "ts", "seq")
-    final = plan(running_row(cells, {"a": "x"}, hot_rows=10_000), executed=True).split("== Initial Plan ==")[0]
-    assert final.count("Window ") == 1 and "rangepartitioning" not in final
+def test_running_rows_of_a_missing_key(spark):
+    cells = [(None, "a", "1", 0, 0), (None, "b", "2", 0, 1), (None, "b", None, 0, 2), ("k", "b", "3", 0, 3)]
+    got = running_row(cells_frame(spark, cells).withColumn("value", F.col("value").cast("string")), {"a": "x", "b": "y"}, chunks=3)
+    assert rows(got.select("row_key", "seq", "x", "y")) == [("k", 3, None, "3"), (None, 0, "1", None), (None, 1, "1", "2"), (None, 2, "1", "2")]
+
+
+def test_running_rows_move_the_data_twice(spark, plan, tmp_path):
+    path = str(tmp_path / "cells")
+    cells_frame(spark, _random_cells(7)).write.parquet(path)
+    text = plan(running_row(spark.read.parquet(path), {"a": "x"}, chunks=3), executed=True).split("== Initial Plan ==")[0]
+    assert text.count("Exchange rangepartitioning") == 1 and "ReusedExchange" in text
+    assert sum("hashpartitioning(_chunk" in line and "row_key" in line for line in text.split("\n")
+               if "Exchange" in line and "Reused" not in line) == 1
 
 
 def test_assembly_combines_before_the_shuffle(spark, plan):

@@ -85,7 +85,7 @@ def assemble_tsv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT CAST(user_id AS VARCHAR) AS row_key, {', '.join(_latest(k, 'CAST({} AS VARCHAR)') for k in EVENT_TYPES)}
 FROM events GROUP BY user_id""")
 def assemble_grouped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_rows(event_cells(spark, sf_dir), EVENT_TYPES)
+    rows = read_rows(event_cells(spark, sf_dir))
     return assemble_from_rows(drop_empty_rows(rows), {k.upper(): k for k in EVENT_TYPES})
 
 
@@ -98,7 +98,7 @@ SELECT CAST(user_id AS VARCHAR) AS row_key, event_type AS qualifier, CAST(value
        CAST(row_number() OVER (PARTITION BY user_id ORDER BY version) - 1 AS INTEGER) AS place
 FROM newest""")
 def grouped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_rows(event_cells(spark, sf_dir), EVENT_TYPES)
+    rows = read_rows(event_cells(spark, sf_dir))
     return rows.select("row_key", F.posexplode("cells").alias("place", "cell")).select(
         "row_key", "cell.qualifier", F.col("cell.value").cast("string").alias("value"), "place")
 
@@ -170,7 +170,7 @@ def running_rows_large_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").cast("string").alias("value"),
         "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    rows = running_row(cells, {"O": "open_part", "F": "filled_part"}, order=order, hot_rows=1000)
+    rows = running_row(cells, {"O": "open_part", "F": "filled_part"}, order=order)
     return rows.select("row_key", "l_orderkey", "l_linenumber", "l_partkey", "open_part", "filled_part")
 
 

@@ -20,8 +20,9 @@ _NAMES = {"CLICK": "click", "Purchase": "purchase"}
 @query("job_cells_to_orc", f"SELECT click, purchase FROM ({ORACLES['assemble_required']})")
 def job_cells_to_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "cells-orc")
-    for label in ("1", "2"):
-        freeze(event_cells(spark, sf_dir), root, "shop:events", label, ["event"])
+    cells = event_cells(spark, sf_dir)
+    freeze(cells.withColumn("value", F.lit("7").cast("binary")), root, "shop:events", "1", ["event"])
+    freeze(cells, root, "shop:events", "2", ["event"])
     cells = jobs.latest_cells(spark, root, "shop:events", ["event"])
     jobs.cells_to_orc(cells, _NAMES, "click", f"{root}/out", num_files=2)
     return read_orc(spark, f"{root}/out")
@@ -51,7 +52,7 @@ def job_running_rows_to_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("job_rows_to_orc", f"SELECT click, purchase FROM ({ORACLES['assemble_from_rows']})")
 def job_rows_to_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "rows-orc")
-    read_rows(event_cells(spark, sf_dir), ["click", "purchase", "view", "error", "signup"]).write.parquet(f"{root}/rows")
+    read_rows(event_cells(spark, sf_dir)).write.parquet(f"{root}/rows")
     jobs.rows_to_orc(spark.read.parquet(f"{root}/rows"), _NAMES, f"{root}/out")
     return read_orc(spark, f"{root}/out")
 
@@ -107,7 +108,7 @@ def job_join_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("itemnumber"), F.col("l_returnflag").alias("countrycode"))
     for name, df in (("ItemBase", base), ("ItemPrice", price)):
         write_partition(df, root, name, "dt", "2018-09-29-08-28-33")
-        write_partition(df.where(F.lit(False)), root, name, "dt", "2018-09-30-08-28-33")
+        write_partition(df.withColumn(df.columns[1], F.lit("other")), root, name, "dt", "2018-09-30-08-28-33")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("itemnumber", "itemgroupid", "countrycode")])
     jobs.join_tables(spark, f"{root}/ItemBase", f"{root}/ItemPrice", "itemnumber", "2018-09-29-08-28-33", schema,
                      f"{root}/out")

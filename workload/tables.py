@@ -12,10 +12,10 @@ from cellframe import (
     ColumnSpec, ExportSpec, compact, decode_columns, decode_rejects, export, parse_delimited, read_cells,
     read_orc, read_sequence, rejected_rows, unpivot_to_cells)
 from cellframe.functions.text import hex_pairs, partition_label, record_to_text, text_to_record
-from cellframe.model import extend_schema
+from cellframe.model import extend_schema, schema_string
 from cellframe.operators.select import conform, show_cells, with_partition
 from cellframe.plans.manifest import (
-    freeze, latest_snapshots, read_manifest, read_snapshot, snapshot_files, snapshot_name)
+    freeze, freeze_files, latest_snapshots, read_manifest, read_snapshot, snapshot_files, snapshot_name)
 from cellframe.scratch import scratch_dir
 from cellframe.sinks.files import write_partition, write_sequence
 from cellframe.sinks.tables import create_table, replace_partition
@@ -72,8 +72,9 @@ def freeze_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "frozen")
     homes = {"c_name": "info", "c_acctbal": "money", "c_mktsegment": "other"}
     cells = unpivot_to_cells(table(spark, sf_dir, "customer"), "c_custkey", homes, list(homes))
-    for _ in range(2):  # the second copy replaces the first
-        name = freeze(cells, root, "shop:customer", "20240101000000000", ["info", "money"])
+    other = cells.withColumn("value", F.lit("old").cast("binary"))
+    for part in (other, cells):  # the second copy replaces the first
+        name = freeze(part, root, "shop:customer", "20240101000000000", ["info", "money"])
     return show_cells(read_snapshot(spark, read_manifest(spark, root), name))
 
 
@@ -220,19 +221,21 @@ def list_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", F.concat_ws(",", "rejects").alias("rejects"))
 
 
-# The order states, each written as one partition.
-_STATES = ("F", "O", "P")
-
-
-@query("orc_partition_prune", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus AS dt FROM orders")
+@query("orc_partition_prune", """
+SELECT o_orderkey, o_totalprice, max(o_custkey) OVER () AS most, o_orderstatus AS dt FROM orders
+WHERE o_orderstatus = (SELECT max(o_orderstatus) FROM orders)""")
 def orc_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partition per state, each with a column of its own; the last one is read."""
     root = scratch_dir(spark, "orc")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
-    for state in _STATES:
-        rows = orders.where(F.col("o_orderstatus") == state).drop("o_orderstatus")
-        write_partition(rows, root, "orders", "dt", state)
-    parts = [read_orc(spark, f"{root}/orders", partition="dt", label=s) for s in _STATES]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    orders = table(spark, sf_dir, "orders")
+    states = [r[0] for r in orders.select("o_orderstatus").distinct().orderBy("o_orderstatus").collect()]
+    for state in states:
+        rows = orders.where(F.col("o_orderstatus").eqNullSafe(F.lit(state)))
+        own = rows.select("o_orderkey", "o_totalprice", F.col("o_custkey").alias(f"o_custkey_{state}"))
+        write_partition(own, root, "orders", "dt", state or "none")
+    last = read_orc(spark, f"{root}/orders", partition="dt", label=states[-1])
+    most = last.agg(F.max(f"o_custkey_{states[-1]}")).first()[0]
+    return last.select("o_orderkey", "o_totalprice", F.lit(most).alias("most"), "dt")
 
 
 @query("sequence_roundtrip", "SELECT c_custkey, c_name, c_acctbal FROM customer")
@@ -263,27 +266,102 @@ def publish_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
-@query("export_many", """
-SELECT 'part' AS name, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS total, '20240103000000000' AS dt FROM part
+_EXPORTED = """
+SELECT 'part' AS name, p_name AS text, p_size AS size, '20240103000000000' AS dt FROM part
 UNION ALL
-SELECT 'supplier', count(*), CAST(sum(s_nationkey) AS BIGINT), '20240103000000000' FROM supplier""")
+SELECT 'supplier', s_name, s_nationkey, '20240103000000000' FROM supplier"""
+
+
+def _supplier_cells(spark: SparkSession, sf_dir: str, root: str) -> str:
+    supplier = unpivot_to_cells(table(spark, sf_dir, "supplier"), "s_suppkey", "s", ["s_name", "s_nationkey"])
+    supplier.write.partitionBy("family").parquet(f"{root}/supplier_cells")
+    return f"{root}/supplier_cells"
+
+
+def _published(spark: SparkSession, names: list[str], prefix: str) -> DataFrame:
+    rows = [spark.table(n).withColumn("name", F.lit(n.removeprefix(prefix))) for n in names]
+    return rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
+
+
+@query("export_many", _EXPORTED)
 def export_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of two tables; the first is exported twice under one label, with other values before."""
     root = scratch_dir(spark, "export")
     prefix = f"t{uuid.uuid4().hex}_"
+    part = ExportSpec("shop:Part", "Part", (
+        ColumnSpec("base", "p_name", "string", "text"), ColumnSpec("detail", "p_size", "int", "size")),
+        num_files=2, max_partition_bytes=64 << 20)
+    supplier = ExportSpec("shop:Supplier", "Supplier", (
+        ColumnSpec("s", "s_name", "string", "text"), ColumnSpec("s", "s_nationkey", "int", "size")))
+    label, cells = "20240103000000000", part_cells(spark, sf_dir, versions=2)
+    export(spark, [part], {"shop:Part": cells.where("ts = 1")}, root, label, table_prefix=prefix)
+    sources = {"shop:Part": cells, "shop:Supplier": _supplier_cells(spark, sf_dir, root)}
+    return _published(spark, export(spark, [part, supplier], sources, root, label, table_prefix=prefix), prefix)
+
+
+@query("export_empty_family", """
+SELECT 'part' AS name, p_name AS text, NULL::INTEGER AS size, '20240103000000000' AS dt FROM part""")
+def export_empty_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mapped family has no cells at all, so its column is NULL."""
+    root = scratch_dir(spark, "export")
+    prefix = f"t{uuid.uuid4().hex}_"
+    spec = ExportSpec("shop:Part", "Part", (
+        ColumnSpec("base", "p_name", "string", "text"), ColumnSpec("absent", "p_size", "int", "size")))
+    names = export(spark, [spec], {"shop:Part": part_cells(spark, sf_dir)}, root, "20240103000000000", table_prefix=prefix)
+    return _published(spark, names, prefix)
+
+
+@query("read_archived_snapshot", """
+SELECT CAST(s_suppkey AS VARCHAR) AS row_key, 's_name' AS qualifier, s_name AS value FROM supplier
+UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 's_nationkey', CAST(s_nationkey AS VARCHAR) FROM supplier""")
+def read_archived_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of a snapshot's files lie in the archive, among files of others."""
+    root = scratch_dir(spark, "archived")
     supplier = unpivot_to_cells(table(spark, sf_dir, "supplier"), "s_suppkey", "s", ["s_name", "s_nationkey"])
-    supplier.write.partitionBy("family").parquet(f"{root}/supplier_cells")
-    specs = [
-        ExportSpec("shop:Part", "Part", (
-            ColumnSpec("base", "p_name", "string", "name"), ColumnSpec("detail", "p_size", "int", "size")),
-            num_files=2, max_partition_bytes=64 << 20),
-        ExportSpec("shop:Supplier", "Supplier", (
-            ColumnSpec("s", "s_name", "string", "name"), ColumnSpec("s", "s_nationkey", "int", "size")))]
-    sources = {"shop:Part": part_cells(spark, sf_dir, versions=2), "shop:Supplier": f"{root}/supplier_cells"}
-    names = export(spark, specs, sources, root, "20240103000000000", table_prefix=prefix)
-    totals = [
-        spark.table(name).groupBy("dt").agg(F.count("name").alias("n"), F.sum("size").alias("total"))
-        .withColumn("name", F.lit(name.removeprefix(prefix))) for name in names]
-    return totals[0].unionByName(totals[1])
+    supplier.where("qualifier = 's_name'").write.partitionBy("family").parquet(f"{root}/live")
+    name = freeze_files(spark, f"{root}/live", root, "shop:Supplier", "1")
+    supplier.where("qualifier = 's_nationkey'").write.partitionBy("family").parquet(f"{root}/archive")
+    moved = freeze_files(spark, f"{root}/archive", root, "shop:Supplier", "2")
+    supplier.withColumn("value", F.lit("later").cast("binary")).write.mode("append").partitionBy("family").parquet(f"{root}/archive")
+    manifest = read_manifest(spark, root)
+    # The second half as it is recorded after it has moved: its live files are gone.
+    archived = manifest.where(F.col("snapshot") == moved).withColumns({
+        "snapshot": F.lit(name), "archive_path": F.col("live_path"),
+        "live_path": F.replace("live_path", F.lit("/archive/"), F.lit("/live/"))})
+    cells = read_snapshot(spark, manifest.unionByName(archived), name)
+    return cells.select("row_key", "qualifier", F.col("value").cast("string").alias("value"))
+
+
+_LONG_DECIMALS = ColumnSpec("o", "amount", "decimal(38,10)", "amount")
+
+
+@query("decode_long_decimals", """
+SELECT o_orderkey, CAST(CAST(o_orderkey % 1000000 AS DECIMAL(38, 10)) AS VARCHAR) AS amount,
+       CASE WHEN length(o_orderpriority) <= 6 THEN o_orderpriority END AS priority FROM orders""")
+def decode_long_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Integers of 17 to 40 bytes that fit with their scale, and text that is too long for its column."""
+    orders = table(spark, sf_dir, "orders").withColumn("n", F.col("o_orderkey") % 1000000)
+    # n * 10**30 as n * 5**30 shifted left by 30 bits, in 12 bytes and as many zero bytes as the key asks for.
+    product = F.col("n").cast("decimal(38,0)") * F.lit(5 ** 21).cast("decimal(38,0)")
+    high, low = F.floor(product / F.lit(2 ** 32)), product % F.lit(2 ** 32)
+    wide = F.concat(F.lpad(F.hex(high.cast("bigint")), 16, "0"), F.lpad(F.hex(low.cast("bigint")), 8, "0"))
+    bits = F.concat(wide, F.lit("0" * 16))  # n * 5**21 * 2**64
+    size = (F.col("o_orderkey") % 20).cast("int")
+    raw = orders.select(
+        "o_orderkey", F.unhex(F.concat(F.lit("00000015"), F.repeat(F.lit("00"), size), bits)).alias("amount"),
+        F.col("o_orderpriority").cast("binary").alias("priority"))
+    decoded = decode_columns(raw, [_LONG_DECIMALS, ColumnSpec("o", "priority", "varchar(6)", "priority")], "null")
+    shown = (F.col("amount") / F.lit(2 ** 43)).cast("decimal(38,10)")
+    return decoded.select("o_orderkey", shown.cast("string").alias("amount"), "priority")
+
+
+@query("schema_string", "SELECT p_partkey AS key, p_name AS name, p_size AS size FROM part")
+def parse_by_schema_string(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON rows parsed by the schema text of a mapping."""
+    specs = [ColumnSpec("base", "k", "bigint", "key"), ColumnSpec("base", "n", "string", "name"), ColumnSpec("detail", "s", "int", "size")]
+    part = table(spark, sf_dir, "part").select(
+        F.to_json(F.struct(F.col("p_partkey").alias("key"), F.col("p_name").alias("name"), F.col("p_size").alias("size"))).alias("row"))
+    return part.select(F.from_json("row", schema_string(specs)).alias("row")).select("row.*")
 
 
 @query("compact_small_files", """
