@@ -10,9 +10,10 @@ words; every candidate must then also share prefix tokens under the other orders
 only those are verified on their whole sets. Rarity comes from counts over all texts
 in a table of fixed size; a collision there changes the order, never the result.
 
-Large groups. Every shared token first links its texts to one of them, a pair per
-text. Texts already connected are never paired again, so a group of near copies gives
-about one pair per member, and all remaining pairs are compared exactly.
+Large groups. Every shared token has a center, one of its texts. Each text is first
+compared with the center that it shares the most tokens with, twice over with different
+centers. Texts already connected are never paired again, so a group of near copies
+gives about one pair per member, and all remaining pairs are compared.
 """
 
 from __future__ import annotations
@@ -64,16 +65,8 @@ def prefixes(tokens: np.ndarray, rank: np.ndarray, order: int, percent: int) ->
 
 def shares_prefix(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, percent: int) -> bool:
     """Whether two prefixes of one order share a token early enough for a link."""
-    _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    if not len(at_a):
-        return False
-    first = at_a.argmin()
-    return overlap_bound(n_a - at_a[first], n_b - at_b[first], n_a, n_b, percent)
-
-
-def overlap_bound(left_a, left_b, n_a, n_b, percent: int) -> bool:
-    """Whether the tokens left in both sets can still reach the threshold."""
-    return (100 + percent) * min(left_a, left_b) >= percent * (n_a + n_b)
+    _, at_a, at_b = np.intersect1d(a, b, return_indices=True)
+    return bool(((100 + percent) * np.minimum(n_a - at_a, n_b - at_b) >= percent * (n_a + n_b)).any())
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -104,34 +97,38 @@ def _verified(files: Scratch, docs: DataFrame, pairs: DataFrame, rank, words: in
     wanted = files.store(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
 
     def sets(batches):
-        ranks = rank.value
         for batch in batches:
             tokens = [shingles(text, words) for text in batch["text"]]
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "tokens": [t.tobytes() for t in tokens],
-                "prefix_1": [prefixes(t, ranks, 1, percent).tobytes() for t in tokens],
-                "prefix_2": [prefixes(t, ranks, 2, percent).tobytes() for t in tokens]})
+                "doc_id": batch["doc_id"], "n": [len(t) for t in tokens], "tokens": [t.tobytes() for t in tokens],
+                # Half of each token is enough for a filter: a false match only lets a pair through.
+                **{f"prefix_{k}": [prefixes(t, rank.value, k, percent).astype(np.uint32).tobytes() for t in tokens] for k in (1, 2)}})
 
-    schema = "doc_id long, tokens binary, prefix_1 binary, prefix_2 binary"
+    schema = "doc_id long, n int, tokens binary, prefix_1 binary, prefix_2 binary"
     found = files.store(docs.join(wanted, "doc_id", "left_semi").mapInPandas(sets, schema), "sets")
-    parts = ("tokens", "prefix_1", "prefix_2")
-    joined = pairs
-    for side in ("a", "b"):
-        joined = joined.join(found.select(F.col("doc_id").alias(side), *(F.col(p).alias(f"{p}_{side}") for p in parts)), side)
 
-    def check(batches):
+    def joined(left: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+        for side in ("b", "a"):
+            own = found.join(left.select(F.col(side).alias("doc_id")).distinct(), "doc_id", "left_semi") if side == "a" else found
+            left = left.join(own.select(F.col("doc_id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)), side)
+        return left
+
+    def other_orders(batches):
+        for batch in batches:
+            kept = [all(shares_prefix(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), row.n_a, row.n_b, percent)
+                        for x, y in ((row.prefix_1_a, row.prefix_1_b), (row.prefix_2_a, row.prefix_2_b)))
+                    for row in batch.itertuples(index=False)]
+            yield batch.loc[np.array(kept, bool), ["a", "b"]]
+
+    def whole_sets(batches):
         for batch in batches:
-            kept = []
-            for row in batch.itertuples(index=False):
-                a, b = np.frombuffer(row.tokens_a, np.uint64), np.frombuffer(row.tokens_b, np.uint64)
-                kept.append(all(
-                    shares_prefix(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), len(a), len(b), percent)
-                    for x, y in ((row.prefix_1_a, row.prefix_1_b), (row.prefix_2_a, row.prefix_2_b))
-                ) and linked(a, b, percent))
+            kept = [linked(np.frombuffer(row.tokens_a, np.uint64), np.frombuffer(row.tokens_b, np.uint64), percent)
+                    for row in batch.itertuples(index=False)]
             yield batch.loc[np.array(kept, bool), ["a", "b"]]
 
-    edges = files.store(joined.mapInPandas(check, "a long, b long"), f"edges-{files.count}")
-    files.drop("sets", "wanted", "pairs")
+    passed = files.store(joined(pairs, ("n", "prefix_1", "prefix_2")).mapInPandas(other_orders, "a long, b long"), "passed")
+    edges = files.store(joined(passed, ("tokens",)).mapInPandas(whole_sets, "a long, b long"), f"edges-{files.count}")
+    files.drop("passed", "sets", "wanted", "pairs")
     return edges
 
 
@@ -208,11 +205,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 def _star(files: Scratch, docs: DataFrame, shared: DataFrame, center: str, rank, words: int, percent: int) -> DataFrame:
-    """Links between the texts of a token and one of them, its center."""
+    """Links between each text and the center that it shares the most tokens with."""
     own = shared.where(f"doc <> {center}.doc").withColumn("own", F.struct("doc", "n", "left")).where(
         _may_link(center, "own", percent))
-    pairs = own.select(F.least("doc", f"{center}.doc").alias("a"), F.greatest("doc", f"{center}.doc").alias("b"))
-    return _verified(files, docs, pairs, rank, words, percent)
+    counts = own.groupBy("doc", F.col(f"{center}.doc").alias("center")).agg(F.count(F.lit(1)).alias("times"))
+    best = counts.groupBy("doc").agg(F.max_by("center", F.struct("times", -F.col("center"))).alias("center"))
+    return _verified(files, docs, best.select(F.col("center").alias("a"), F.col("doc").alias("b")), rank, words, percent)
 
 
 def _still_open(files: Scratch, shared: DataFrame, labels: DataFrame) -> DataFrame:
