@@ -132,13 +132,20 @@ def test_running_rows_of_a_missing_key(spark):
     assert rows(got.select("row_key", "seq", "x", "y")) == [("k", 3, None, "3"), (None, 0, "1", None), (None, 1, "1", "2"), (None, 2, "1", "2")]
 
 
-def test_running_rows_move_the_data_twice(spark, plan, tmp_path):
+def test_running_rows_move_the_data_once(spark, plan, tmp_path):
     path = str(tmp_path / "cells")
     cells_frame(spark, _random_cells(7)).write.parquet(path)
     text = plan(running_row(spark.read.parquet(path), {"a": "x"}, chunks=3), executed=True).split("== Initial Plan ==")[0]
-    assert text.count("Exchange rangepartitioning") == 1 and "ReusedExchange" in text
-    assert sum("hashpartitioning(_chunk" in line and "row_key" in line for line in text.split("\n")
-               if "Exchange" in line and "Reused" not in line) == 1
+    assert "rangepartitioning" not in text and "SortMergeJoin" not in text
+    moved = [line for line in text.split("\n") if "Exchange hashpartitioning(_chunk" in line and "row_key" in line]
+    assert sum("Reused" not in line for line in moved) <= 2
+
+
+def test_chunks_are_of_about_equal_size(spark):
+    from cellframe.operators.running import with_chunk
+    df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    sizes = [r["count"] for r in with_chunk(df, ["k", "id"], 20).groupBy("_chunk").count().collect()]
+    assert 18 <= len(sizes) <= 21 and max(sizes) < 3000
 
 
 def test_assembly_combines_before_the_shuffle(spark, plan):
