@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from .common import query, remainder, stored, table, texts
 from .labelled import MAX_EXAMPLES, examples
 
-NEIGHBOURS, BLOCK = 15, 64
+NEIGHBOURS, BLOCK, FIRST_BLOCKS = 15, 64, 8
+CALIBRATED = 2000
 MAX_WORDS, MIN_Z, MIN_DOCS = 20_000, 4.0, 4
 _SEPARATORS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
 
@@ -50,15 +51,17 @@ class Index:
         self.ids = np.array([r[2] for r in rows], np.int64)
         self.labels = np.array([r[3] for r in rows], float)
         self.vectors = [(r[0], r[1]) for r in rows]
-        blocks = -(-len(rows) // BLOCK)
-        self.most = np.zeros((blocks, len(vocabulary)), np.float32)
-        postings: dict[tuple[int, int], list] = {}
-        for place, (terms, weights) in enumerate(self.vectors):
-            np.maximum.at(self.most[place // BLOCK], terms, weights.astype(np.float32) * np.float32(1 + 1e-6))
-            for term, weight in zip(terms.tolist(), weights.tolist(), strict=True):
-                postings.setdefault((place // BLOCK, term), []).append((place % BLOCK, weight))
-        self.postings = {key: (np.array([p for p, _ in rows_], np.int64), np.array([w for _, w in rows_]))
-                         for key, rows_ in postings.items()}
+        self.blocks = -(-len(rows) // BLOCK)
+        self.most = np.zeros((len(vocabulary), self.blocks), np.float32)
+        terms = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in self.vectors)])
+        weights = np.concatenate([np.zeros(0), *(w for _, w in self.vectors)])
+        places = np.repeat(np.arange(len(rows)), [len(t) for t, _ in self.vectors])
+        # Rounded up, so that a bound is never below a cosine.
+        np.maximum.at(self.most, (terms, places // BLOCK), weights.astype(np.float32) * np.float32(1 + 1e-6))
+        order = np.lexsort((places, terms))
+        self.places, self.weights = places[order], weights[order]
+        lists = terms[order] * self.blocks + self.places // BLOCK
+        self.offsets = np.searchsorted(lists, np.arange(len(vocabulary) * self.blocks + 1))
         self.slope, self.shift = 1.0, 0.0
 
     def bag(self, text: str | None) -> dict[int, int]:
@@ -73,24 +76,37 @@ class Index:
         weights = (1 + np.log([bag[t] for t in terms.tolist()])) * self.idf[terms]
         return terms, weights / np.sqrt((weights ** 2).sum())
 
+    def cosines(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """The cosines of all examples in some blocks, by place; 0 elsewhere."""
+        lists = (terms[:, None] * self.blocks + blocks).ravel()
+        starts = self.offsets[lists]
+        sizes = self.offsets[lists + 1] - starts
+        at = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+        factors = np.repeat(np.repeat(weights, len(blocks)), sizes)
+        return np.bincount(self.places[at], factors * self.weights[at], len(self.ids))
+
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, skip: int = -1):
-        """Places and cosines of the ``k`` nearest examples, ties by place."""
-        bounds = self.most[:, terms] @ weights
-        places, values, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(places) == k and bounds[block] * (1 + 1e-6) < least:
-                break
-            cosine = np.zeros(BLOCK)
-            for term, weight in zip(terms.tolist(), weights.tolist(), strict=True):
-                if (found := self.postings.get((int(block), term))) is not None:
-                    cosine[found[0]] += weight * found[1]
-            hit = np.flatnonzero(cosine > 0)
-            hit = hit[hit + block * BLOCK != skip]
-            places, values = np.append(places, hit + block * BLOCK), np.append(values, cosine[hit])
-            order = np.lexsort((places, -values))[:k]
-            places, values = places[order], values[order]
-            least = values[-1] if len(values) == k else 0.0
-        return places, values
+        """Places and cosines of the ``k`` nearest examples, ties by place.
+
+        The blocks with the highest bounds are scored first; of the others only those
+        whose bound reaches the ``k``-th cosine found there.
+        """
+        bounds = weights @ self.most[terms]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        values = self.cosines(terms, weights, order[:FIRST_BLOCKS])
+        if skip >= 0:
+            values[skip] = 0
+        best = np.partition(values, -k)[-k] if len(values) >= k else 0.0
+        rest = order[FIRST_BLOCKS:]
+        rest = rest[bounds[rest] * (1 + 1e-6) >= best]
+        if len(rest):
+            values += self.cosines(terms, weights, rest)
+            if skip >= 0:
+                values[skip] = 0
+        hit = np.flatnonzero(values > 0) if best <= 0 else np.flatnonzero(values >= best)
+        hit = hit[np.lexsort((hit, -values[hit]))[:k]]
+        return hit, values[hit]
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
         """The distance-weighted rate of label 1 among the neighbours, as log-odds."""
@@ -100,14 +116,19 @@ class Index:
         return float(np.log(rate / (1 - rate)))
 
     def calibrate(self) -> None:
-        """Fit the logistic curve to leave-one-out votes, with a weak pull to the identity."""
+        """Fit the logistic curve to leave-one-out votes, with a weak pull to the identity.
+
+        At most ``CALIBRATED`` examples vote, evenly spread over the index.
+        """
         if len(np.unique(self.labels)) < 2:
             return
-        votes = np.array([self.vote(*self.search(*v, skip=place)) for place, v in enumerate(self.vectors)])
+        chosen = range(0, len(self.vectors), -(-len(self.vectors) // CALIBRATED))
+        votes = np.array([self.vote(*self.search(*self.vectors[place], skip=place)) for place in chosen])
+        labels = self.labels[list(chosen)]
         x, w = np.stack([votes, np.ones_like(votes)], 1), np.array([1.0, 0.0])
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-            gradient = x.T @ (self.labels - p) - (w - [1.0, 0.0])
+            gradient = x.T @ (labels - p) - (w - [1.0, 0.0])
             step = np.linalg.solve((x.T * (p * (1 - p))) @ x + np.eye(2), gradient)
             w = w + step
             if np.abs(step).max() < 1e-9:
