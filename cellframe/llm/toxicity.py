@@ -24,7 +24,7 @@ from .labelled import MAX_EXAMPLES, examples
 
 NEIGHBOURS, BLOCK, FIRST_BLOCKS = 15, 64, 8
 CALIBRATED = 2000
-MAX_WORDS, MIN_Z, MIN_DOCS = 20_000, 4.0, 4
+MAX_WORDS, MIN_Z, MIN_DOCS = 20_000, 5.0, 4
 _SEPARATORS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
 
 
@@ -97,7 +97,8 @@ class Index:
         values = self.cosines(terms, weights, order[:FIRST_BLOCKS])
         if skip >= 0:
             values[skip] = 0
-        best = np.partition(values, -k)[-k] if len(values) >= k else 0.0
+        found = values[values > 0]
+        best = np.partition(found, -k)[-k] if len(found) >= k else 0.0
         rest = order[FIRST_BLOCKS:]
         rest = rest[bounds[rest] * (1 + 1e-6) >= best]
         if len(rest):
