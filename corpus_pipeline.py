@@ -16,6 +16,7 @@ from cellframe.scratch import scratch_dir, stored
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
+    find_package(spark)
     return quality_gam.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -27,21 +28,23 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicate documents the one with the smallest id stays.
 
-    Rows that repeat this id stay too where their texts differ.
+    Rows that repeat this id stay too.
     """
+    find_package(spark)
     found = ngram_jaccard.near_duplicates(docs)
     gone = stored(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")), "near-duplicates")
-    kept = docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
-    return kept
+    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
+    find_package(spark)
     return fm_decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every remaining document's pieces, packed into sequences."""
+    find_package(spark)
     return packing.pack(docs, packing.default_tokenizer())
 
 
@@ -59,7 +62,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the table ``documents``; each one's rows are written and read again."""
-    find_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
