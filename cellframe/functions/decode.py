@@ -92,34 +92,26 @@ def tinyint_sql(value: str, encoding: str) -> str:
     return _when(f"octet_length({value}) = 1", raw, text if encoding == "auto" else "NULL")
 
 
-def _ieee_text(sign: str, exponent: str, fraction: str, bias: int) -> str:
-    """IEEE-754 fields as hexadecimal floating-point text, which reads back exactly."""
-    lead = _when(f"{exponent} = 0", "'0x0.'", "'0x1.'")
-    number = f"concat({lead}, {fraction}, 'p', CAST(greatest({exponent}, 1) - {bias} AS STRING))"
-    special = _when(f"{fraction} RLIKE '^0+$'", "'Infinity'", "'NaN'")
-    return f"concat({sign}, {_when(f'{exponent} = {2 * bias + 1}', special, number)})"
+def _ieee_number(bits: str, size: int, fraction_bits: int) -> str:
+    """The double whose sign, exponent and fraction are in a long; exact, as it only scales by powers of two."""
+    top, bias = (1 << (size - 1 - fraction_bits)) - 1, (1 << (size - 2 - fraction_bits)) - 1
+    exponent = f"(shiftrightunsigned({bits}, {fraction_bits}) & {top})"
+    fraction = f"({bits} & {(1 << fraction_bits) - 1}L)"
+    special = _when(f"{fraction} = 0", "double('Infinity')", "double('NaN')")
+    whole = _when(f"{exponent} = 0", fraction, f"{fraction} + {1 << fraction_bits}L")
+    number = f"CAST({whole} AS DOUBLE) * pow(2D, greatest({exponent}, 1L) - {bias + fraction_bits})"
+    sign = _when(f"{bits} < 0" if size == 64 else f"{bits} >= {1 << (size - 1)}", "-1D", "1D")
+    return f"{sign} * {_when(f'{exponent} = {top}', special, number)}"
 
 
 def _float_bytes(value: str) -> str:
     bits = _number(f"hex(substring({value}, 1, 4))")
-    text = _ieee_text(
-        _when(f"{bits} >= {1 << 31}", "'-'", "''"),
-        f"(shiftright({bits}, 23) & {0xFF})",
-        # 23 fraction bits fill six hexadecimal digits after one shift.
-        f"lpad(hex(shiftleft({bits} & {0x7FFFFF}, 1)), 6, '0')",
-        bias=127)
-    return _when(f"octet_length({value}) >= 4", text)
+    return _when(f"octet_length({value}) >= 4", f"CAST({_ieee_number(bits, 32, 23)} AS FLOAT)")
 
 
 def _double_bytes(value: str) -> str:
-    digits = f"hex(substring({value}, 1, 8))"
-    head = _number(f"substring({digits}, 1, 3)")
-    text = _ieee_text(
-        _when(f"{head} >= {1 << 11}", "'-'", "''"),
-        f"({head} & {0x7FF})",
-        f"substring({digits}, 4, 13)",
-        bias=1023)
-    return _when(f"octet_length({value}) >= 8", text)
+    bits = f"CAST(conv(hex(substring({value}, 1, 8)), 16, -10) AS BIGINT)"
+    return _when(f"octet_length({value}) >= 8", _ieee_number(bits, 64, 52))
 
 
 def _long_integer_text(digits: str) -> str:
@@ -167,11 +159,11 @@ def _from_text(value: str, pattern: str, bytes_text: str, type_name: str, encodi
 
 
 def float_sql(value: str, encoding: str) -> str:
-    return _from_text(value, FLOAT_TEXT, _float_bytes(value), "float", encoding)
+    return _choose(encoding, f"TRY_CAST({_matching_text(value, FLOAT_TEXT)} AS FLOAT)", _float_bytes(value))
 
 
 def double_sql(value: str, encoding: str) -> str:
-    return _from_text(value, FLOAT_TEXT, _double_bytes(value), "double", encoding)
+    return _choose(encoding, f"TRY_CAST({_matching_text(value, FLOAT_TEXT)} AS DOUBLE)", _double_bytes(value))
 
 
 def decimal_sql(value: str, precision: int, scale: int, encoding: str) -> str:

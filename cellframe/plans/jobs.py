@@ -13,6 +13,7 @@ from ..operators.assemble import assemble_from_rows, assemble_strings, assemble_
 from ..operators.joins import inner_join, merge_as_map, merge_by_key
 from ..operators.running import running_row
 from ..operators.select import drop_empty_rows
+from ..session import shuffle_into
 from ..sinks.files import write_orc, write_orc_strings, write_sequence, write_tsv
 from ..sources.cells import read_orc
 from ..sources.lines import parse_delimited, read_lines
@@ -30,9 +31,10 @@ def latest_cells(spark: SparkSession, root: str, table: str, families: Sequence[
 
 def cells_to_orc(cells: DataFrame, names: Mapping[str, str], required: str | None, path: str,
                  num_files: int | None = None) -> None:
-    """Text rows of the picked qualifiers, as ORC."""
-    rows = assemble_strings(cells, names, required)
-    write_orc_strings(rows.select(*names.values()), path, num_files)
+    """Text rows of the picked qualifiers, as ORC; the rows' own shuffle makes the files."""
+    with shuffle_into(cells.sparkSession, num_files):
+        rows = assemble_strings(cells, names, required)
+        write_orc_strings(rows.select(*names.values()), path)
 
 
 def cells_to_sequence(cells: DataFrame, key_qualifier: str, value_qualifier: str, path: str) -> None:

@@ -152,3 +152,14 @@ def test_types_in_any_case():
     assert parse_type("DECIMAL( 10 , 2 )") == T.DecimalType(10, 2)
     assert parse_type("decimal") == T.DecimalType(38, 10)
     assert parse_type("varchar") == T.StringType()
+
+
+def test_every_kind_of_binary_float(spark):
+    rng = random.Random(9)
+    edges = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072009e-308, 2.2250738585072014e-308, 1.7976931348623157e308, math.inf, -math.inf, 1.0]
+    raw = [struct.pack(">d", x) for x in edges] + [rng.randbytes(8) for _ in range(500)]
+    got = _decoded(spark, raw, "double", "binary")
+    assert [repr(g) for g in got] == [repr(struct.unpack(">d", r)[0]) for r in raw]
+    raw = [struct.pack(">f", x) for x in (0.0, -0.0, 1e-45, -1.17549435e-38, 3.4028234e38, math.inf, -math.inf)] + [rng.randbytes(4) for _ in range(500)]
+    got = _decoded(spark, raw, "float", "binary")
+    assert [repr(g) for g in got] == [repr(struct.unpack(">f", r)[0]) for r in raw]
