@@ -142,16 +142,15 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits:
     A text keeps its other lines as they are; where none is left it is empty. A column
     ``n_chars`` is counted again. NULL texts and rows without an id stay as they are.
     """
-    removed = removed_lines(docs, min_chars, max_edits).select(
-        F.col("doc_id").alias("_doc"), F.col("version").alias("_version"), F.col("removed.line_no").alias("_removed"))
-    joined = docs.join(removed, (F.col("doc_id").cast("bigint") == F.col("_doc"))
-                       & (F.xxhash64(F.col("text").cast("string")) == F.col("_version")), "left")
-    kept = F.expr("array_join(filter(split(text, '\n'), (line, i) -> NOT array_contains(_removed, i)), '\n')")
-    joined = joined.withColumn("text", F.when(F.col("_removed").isNull(), F.col("text")).otherwise(kept))
+    removed = removed_lines(docs, min_chars, max_edits).alias("gone")
+    joined = docs.alias("doc").join(removed, (F.col("doc.doc_id").cast("bigint") == F.col("gone.doc_id"))
+                                    & (F.xxhash64(F.col("doc.text").cast("string")) == F.col("gone.version")), "left")
+    kept = F.expr("array_join(filter(split(doc.text, '\n'), (line, i) -> NOT array_contains(gone.removed.line_no, i)), '\n')")
+    whole = F.col("gone.removed").isNull()
+    changed = {"text": F.when(whole, F.col("doc.text")).otherwise(kept)}
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("_removed").isNull(), F.col("n_chars")).otherwise(
-            F.char_length("text")).cast(docs.schema["n_chars"].dataType))
-    return joined.select(*docs.columns)
+        changed["n_chars"] = F.when(whole, F.col("doc.n_chars")).otherwise(F.char_length(kept)).cast(docs.schema["n_chars"].dataType)
+    return joined.select(*[changed.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
 
 @query("op2_line_dedup")
