@@ -32,8 +32,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     find_package(spark)
     found = ngram_jaccard.near_duplicates(docs)
-    gone = stored(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")), "near-duplicates")
-    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
+    gone = stored(found.where("component_id <> doc_id").select("doc_id"), "near-duplicates").alias("gone")
+    return docs.alias("doc").join(gone, F.col("doc.doc_id").cast("bigint") == F.col("gone.doc_id"), "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
