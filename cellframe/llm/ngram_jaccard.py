@@ -11,8 +11,7 @@ only those are verified on their whole sets. Rarity comes from counts over all t
 in a table of fixed size; a collision there changes the order, never the result.
 
 Large groups. Every shared token has a center, one of its texts. Each text is first
-compared with the center that it shares the most tokens with, twice over with different
-centers. Texts already connected are never paired again, so a group of near copies
+compared with the center that it shares the most tokens with. Texts already connected are never paired again, so a group of near copies
 gives about one pair per member, and all remaining pairs are compared.
 """
 
@@ -20,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, components, mixed, query, table, texts, word_hashes
@@ -69,6 +68,25 @@ def shares_prefix(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, percent: int
     return bool(((100 + percent) * np.minimum(n_a - at_a, n_b - at_b) >= percent * (n_a + n_b)).any())
 
 
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """A bit per token, at its hash modulo a power of two of at least eight bits per token."""
+    size = 64 << max(0, (8 * len(tokens) - 1).bit_length() - 6) if len(tokens) else 64
+    bits = np.zeros(size, bool)
+    bits[(tokens >> np.uint64(20)) & np.uint64(size - 1)] = True
+    return np.packbits(bits, bitorder="little")
+
+
+def may_overlap(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, percent: int) -> bool:
+    """Whether sets with these bitmaps can link: a bit of one alone is a token of it alone."""
+    while len(a) != len(b):  # the larger one modulo the smaller size
+        if len(a) > len(b):
+            a = a[:len(a) // 2] | a[len(a) // 2:]
+        else:
+            b = b[:len(b) // 2] | b[len(b) // 2:]
+    most = min(n_a - int(np.bitwise_count(a & ~b).sum()), n_b - int(np.bitwise_count(b & ~a).sum()))
+    return (100 + percent) * most >= percent * (n_a + n_b)
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     common = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * common >= percent * (len(a) + len(b) - common)
@@ -92,7 +110,7 @@ def _bucket_counts(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def _verified(files: Scratch, docs: DataFrame, pairs: DataFrame, rank, words: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that link, by the other orders and then the whole sets."""
+    """The pairs ``a, b`` that link: small bitmaps first, then the other orders and the whole sets."""
     pairs = files.store(pairs.distinct(), "pairs")
     wanted = files.store(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
 
@@ -100,43 +118,44 @@ def _verified(files: Scratch, docs: DataFrame, pairs: DataFrame, rank, words: in
         for batch in batches:
             tokens = [shingles(text, words) for text in batch["text"]]
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "n": [len(t) for t in tokens], "tokens": [t.tobytes() for t in tokens],
+                "doc_id": batch["doc_id"], "n": [len(t) for t in tokens], "bits": [bitmap(t).tobytes() for t in tokens],
+                "tokens": [t.tobytes() for t in tokens],
                 # Half of each token is enough for a filter: a false match only lets a pair through.
                 **{f"prefix_{k}": [prefixes(t, rank.value, k, percent).astype(np.uint32).tobytes() for t in tokens] for k in (1, 2)}})
 
-    schema = "doc_id long, n int, tokens binary, prefix_1 binary, prefix_2 binary"
+    schema = "doc_id long, n int, bits binary, tokens binary, prefix_1 binary, prefix_2 binary"
     found = files.store(docs.join(wanted, "doc_id", "left_semi").mapInPandas(sets, schema), "sets")
 
-    def joined(left: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    def checked(left: DataFrame, columns: tuple[str, ...], test) -> DataFrame:
+        """The pairs of ``left`` that pass a test of both sides' columns."""
         for side in ("b", "a"):
-            own = found.join(left.select(F.col(side).alias("doc_id")).distinct(), "doc_id", "left_semi") if side == "a" else found
+            own = found.join(left.select(F.col(side).alias("doc_id")).distinct(), "doc_id", "left_semi")
             left = left.join(own.select(F.col("doc_id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)), side)
-        return left
 
-    def other_orders(batches):
-        for batch in batches:
-            kept = [all(shares_prefix(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), row.n_a, row.n_b, percent)
-                        for x, y in ((row.prefix_1_a, row.prefix_1_b), (row.prefix_2_a, row.prefix_2_b)))
-                    for row in batch.itertuples(index=False)]
-            yield batch.loc[np.array(kept, bool), ["a", "b"]]
+        def rows(batches):
+            for batch in batches:
+                kept = [test(row) for row in batch.itertuples(index=False)]
+                yield batch.loc[np.array(kept, bool), ["a", "b"]]
+        return left.mapInPandas(rows, "a long, b long")
 
-    def whole_sets(batches):
-        for batch in batches:
-            kept = [linked(np.frombuffer(row.tokens_a, np.uint64), np.frombuffer(row.tokens_b, np.uint64), percent)
-                    for row in batch.itertuples(index=False)]
-            yield batch.loc[np.array(kept, bool), ["a", "b"]]
+    def close(row) -> bool:
+        return may_overlap(np.frombuffer(row.bits_a, np.uint8), np.frombuffer(row.bits_b, np.uint8), row.n_a, row.n_b, percent)
 
-    passed = files.store(joined(pairs, ("n", "prefix_1", "prefix_2")).mapInPandas(other_orders, "a long, b long"), "passed")
-    edges = files.store(joined(passed, ("tokens",)).mapInPandas(whole_sets, "a long, b long"), f"edges-{files.count}")
+    def links(row) -> bool:
+        orders = ((row.prefix_1_a, row.prefix_1_b), (row.prefix_2_a, row.prefix_2_b))
+        return all(shares_prefix(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), row.n_a, row.n_b, percent)
+                   for x, y in orders) and linked(np.frombuffer(row.tokens_a, np.uint64), np.frombuffer(row.tokens_b, np.uint64), percent)
+
+    passed = files.store(checked(pairs, ("n", "bits"), close), "passed")
+    edges = files.store(checked(passed, ("n", "tokens", "prefix_1", "prefix_2"), links), f"edges-{files.count}")
     files.drop("passed", "sets", "wanted", "pairs")
     return edges
 
 
-def _may_link(a: str, b: str, percent: int):
-    """Length and position filter on two prefix rows ``(n, left)`` of a shared token."""
-    n_a, n_b, left_a, left_b = (F.col(f"{side}.{c}") for c in ("n", "left") for side in (a, b))
-    return ((100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b))
-            & ((100 + percent) * F.least(left_a, left_b) >= percent * (n_a + n_b)))
+def _may_link(a: Column, b: Column, percent: int) -> Column:
+    """Length and position filter on the rows ``n, left`` of two texts with a shared token."""
+    return ((100 * F.least(a["n"], b["n"]) >= percent * F.greatest(a["n"], b["n"]))
+            & ((100 + percent) * F.least(a["left"], b["left"]) >= percent * (a["n"] + b["n"])))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -171,26 +190,31 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     rows = sized.select("doc", "n", F.posexplode("prefix").alias("at", "token")).select(
         "token", "doc", "n", (F.col("n") - F.col("at")).alias("left"))
     same = Window.partitionBy("token")
-    entry = F.struct("doc", "n", "left")
     shared = files.store(
-        rows.select("*", F.min(entry).over(same).alias("low"), F.max(entry).over(same).alias("high"))
-        .where("low.doc <> high.doc"), "shared")
+        rows.withColumn("center", F.min(F.struct("doc", "n", "left")).over(same)).withColumn("most", F.max("doc").over(same))
+        .where("center.doc <> most").drop("most"), "shared")
     sized = files.store(sized.select("doc", "n"), "sizes")
     files.drop("prefixes")
 
-    edges = _star(files, firsts, shared, "low", rank, words, percent)
-    labels = components(edges)
-    shared = _still_open(files, shared, labels)
-    more = _star(files, firsts, shared, "high", rank, words, percent)
-    edges = edges.unionByName(more)
+    # Each text with the center that it shares the most tokens with.
+    near = shared.where("doc <> center.doc").where(_may_link(F.struct("n", "left"), F.col("center"), percent))
+    counts = near.groupBy("doc", F.col("center.doc").alias("center")).agg(F.count(F.lit(1)).alias("times"))
+    best = counts.groupBy("doc").agg(F.max_by("center", F.struct("times", -F.col("center"))).alias("center"))
+    edges = _verified(files, firsts, best.select(F.col("center").alias("a"), F.col("doc").alias("b")), rank, words, percent)
+
+    # Then all pairs of texts that share a token and are not connected yet.
     labels = components(edges)
-    shared = _still_open(files, shared.drop("component"), labels)
-    a, b = (shared.select("token", "component", entry.alias("row")).alias(side) for side in ("a", "b"))
-    pairs = a.join(b, F.expr("a.token = b.token AND a.row.doc < b.row.doc AND a.component <> b.component")
-                   & _may_link("a.row", "b.row", percent))
-    pairs = pairs.select(F.col("a.row.doc").alias("a"), F.col("b.row.doc").alias("b"))
+    known = shared.select("token", "doc", "n", "left").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+    known = known.withColumn("component", F.coalesce("component", "doc"))
+    still = files.store(
+        known.withColumn("least", F.min("component").over(same)).withColumn("most", F.max("component").over(same))
+        .where("least <> most").drop("least", "most"), "open")
+    a, b = still.alias("a"), still.alias("b")
+    pairs = a.join(b, F.expr("a.token = b.token AND a.doc < b.doc AND a.component <> b.component")
+                   & _may_link(F.struct("a.n", "a.left"), F.struct("b.n", "b.left"), percent))
+    pairs = pairs.select(F.col("a.doc").alias("a"), F.col("b.doc").alias("b"))
     edges = edges.unionByName(_verified(files, firsts, pairs, rank, words, percent))
-    files.drop("shared")
+    files.drop("shared", "open")
 
     # A copy is a link to the first text, unless the text has no words.
     sizes = sized.groupBy(F.col("doc").alias("rep")).agg(F.max("n").cast("long").alias("n_shingles"))
@@ -204,27 +228,6 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
                     F.coalesce("component", "doc_id").alias("component_id")))
 
 
-def _star(files: Scratch, docs: DataFrame, shared: DataFrame, center: str, rank, words: int, percent: int) -> DataFrame:
-    """Links between each text and the center that it shares the most tokens with."""
-    own = shared.where(f"doc <> {center}.doc").withColumn("own", F.struct("doc", "n", "left")).where(
-        _may_link(center, "own", percent))
-    counts = own.groupBy("doc", F.col(f"{center}.doc").alias("center")).agg(F.count(F.lit(1)).alias("times"))
-    best = counts.groupBy("doc").agg(F.max_by("center", F.struct("times", -F.col("center"))).alias("center"))
-    return _verified(files, docs, best.select(F.col("center").alias("a"), F.col("doc").alias("b")), rank, words, percent)
-
-
-def _still_open(files: Scratch, shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of tokens whose texts are not all connected yet, with their component."""
-    same = Window.partitionBy("token")
-    known = shared.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
-        "component", F.coalesce("component", "doc"))
-    marked = known.select("*", F.min("component").over(same).alias("least"), F.max("component").over(same).alias("most"))
-    still = files.store(marked.where("least <> most").drop("least", "most"), "open")
-    files.drop("shared")
-    files.paths["shared"] = files.paths.pop("open")
-    return still
-
-
 @query("op3_ngram_jaccard")
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
