@@ -151,7 +151,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END,
 
     Rows that repeat an id are documents of their own; rows without an id are left out.
     """
-    return pack_pieces(token_pieces(docs, tokenizer, length, end, with_ids), length)
+    # Written first, so that a task never runs the tokenizer and the packing side by side.
+    return pack_pieces(stored(token_pieces(docs, tokenizer, length, end, with_ids), "pieces"), length)
 
 
 def default_tokenizer() -> str:

@@ -8,11 +8,12 @@ space go to the library whole.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 GROUP = 64
 
 # A run of spaces and line ends with the word after it, a word with one space before
@@ -30,6 +31,7 @@ class Encoder:
     def __init__(self, path: str, drops_space: bool = False, most: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         self.tokenizer = Tokenizer.from_file(path)
         self.pieces = re.compile(r"[^ \n]+") if drops_space else _PIECE
         self.separator = " \x01 " if drops_space else "\n"
@@ -67,8 +69,8 @@ class Encoder:
             known.update(new)
         elif len(known) < self.most:
             known.update(list(new.items())[:self.most - len(known)])
-        lookup = known if all(p in known for p in new) else {**{p: known[p] for part in parts for p in part if p in known}, **new}
-        out = [np.frombuffer(b"".join(map(lookup.__getitem__, part)), np.uint32) for part in parts]
+        find = known.__getitem__ if new.keys() <= known.keys() else lambda p: known[p] if p in known else new[p]
+        out = [np.frombuffer(b"".join(map(find, part)), np.uint32) for part in parts]
         for k, ids in zip(sorted(whole), self._ids([texts[k] for k in sorted(whole)]), strict=True):
             out[k] = np.array(ids, np.uint32)
         return out
