@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import query, stored, table, texts
-from .tokens import Encoder
+from .tokens import encoder
 
 LENGTH, END = 2048, 0
 FAN = 16
@@ -62,11 +62,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int
     NULL counts as empty; every document ends with the id ``end``.
     """
     def cut(batches):
-        encoder = Encoder(tokenizer)
+        known = encoder(tokenizer)
         for batch in batches:
             for low in range(0, len(batch), 256):
                 part, rows = batch.iloc[low:low + 256], []
-                for doc, ids in zip(part["doc_id"], encoder.encode(part["text"].tolist()), strict=True):
+                for doc, ids in zip(part["doc_id"], known.encode(part["text"].tolist()), strict=True):
                     ids = np.append(ids, np.uint32(end)).astype("<u4")
                     first = len(ids) % length or length
                     for piece, start in enumerate([0, *range(first, len(ids), length)]):

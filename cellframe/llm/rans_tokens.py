@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import query, scratch_dir, stored, table, tasks_for, texts
 from .files import fresh_file, open_file
-from .tokens import Encoder
+from .tokens import encoder
 
 END = 1
 MAGIC = b"RANSIDS1"
@@ -184,7 +184,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end: int = E
     gives no file.
     """
     def write(batches):
-        encoder, task = Encoder(tokenizer, drops_space=True), TaskContext.get().partitionId()
+        known, task = encoder(tokenizer, drops_space=True), TaskContext.get().partitionId()
         documents, parts, size, seq = [], [], 0, 0
 
         def file():
@@ -197,7 +197,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end: int = E
         for batch in batches:
             for low in range(0, len(batch), 256):
                 part = batch.iloc[low:low + 256]
-                for doc, ids in zip(part["doc_id"].tolist(), encoder.encode(part["text"].tolist()), strict=True):
+                for doc, ids in zip(part["doc_id"].tolist(), known.encode(part["text"].tolist()), strict=True):
                     documents.append((doc, len(ids) + 1))
                     parts.append(np.append(ids, np.uint32(end)))
                     size += len(ids) + 1

@@ -13,7 +13,7 @@ import re
 
 import numpy as np
 
-CACHE_WORDS = 250_000
+CACHE_WORDS = 200_000
 GROUP = 64
 
 # A run of spaces and line ends with the word after it, a word with one space before
@@ -22,6 +22,17 @@ _PIECE = re.compile(r"[ \n]{2,}[^ \n]*| ?[^ \n]+|[ \n]")
 _OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x01]")
 
 
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+
+
+def encoder(path: str, drops_space: bool = False) -> Encoder:
+    """The encoder of this worker process: what it has learnt serves all its tasks."""
+    if (path, drops_space) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, drops_space] = Encoder(path, drops_space)
+    return _ENCODERS[path, drops_space]
+
+
 class Encoder:
     """``encode(texts)`` gives the ids of each text, as the library gives them.
 
