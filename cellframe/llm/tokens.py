@@ -44,10 +44,10 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces = re.compile(r"[^ \n]+") if drops_space else _PIECE
+        self.drops_space = drops_space
         self.separator = " \x01 " if drops_space else "\n"
         self.mark = self._ids(["\x01" if drops_space else "\n"])[0]
-        self.most, self.known = most, {}
+        self.most, self.known = most, ({}, {})  # of plain pieces, of words after a space
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -69,19 +69,35 @@ class Encoder:
                 out.update((p, np.array(i, np.uint32).tobytes()) for p, i in zip(group, self._ids(group), strict=True))
         return out
 
+    def _split(self, text: str) -> list[tuple[bool, list[str]]]:
+        """The pieces of a text in order, as runs of plain pieces and of words after one space each."""
+        if self.drops_space:
+            return [(False, text.split())]
+        if not text or text[0] in " \n" or text[-1] in " \n" or any(run in text for run in ("  ", " \n", "\n ", "\n\n")):
+            return [(False, _PIECE.findall(text))]
+        runs = []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            runs += [(False, ["\n", first] if runs else [first]), (True, rest)]
+        return runs
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text as 32-bit numbers; NULL counts as empty."""
         texts = [text or "" for text in texts]
-        whole = {k for k, text in enumerate(texts) if _OTHER_SPACE.search(text)}
-        parts = [[] if k in whole else self.pieces.findall(text) for k, text in enumerate(texts)]
-        known = self.known
-        new = self._learn(list(set().union(*parts).difference(known)))
-        if len(known) + len(new) <= self.most:
-            known.update(new)
-        elif len(known) < self.most:
-            known.update(list(new.items())[:self.most - len(known)])
-        find = known.__getitem__ if new.keys() <= known.keys() else lambda p: known[p] if p in known else new[p]
-        out = [np.frombuffer(b"".join(map(find, part)), np.uint32) for part in parts]
-        for k, ids in zip(sorted(whole), self._ids([texts[k] for k in sorted(whole)]), strict=True):
+        whole = [k for k, text in enumerate(texts) if _OTHER_SPACE.search(text)]
+        parts = [[] if k in whole else self._split(text) for k, text in enumerate(texts)]
+        new: tuple[set[str], set[str]] = set(), set()
+        for part in parts:
+            for spaced, keys in part:
+                new[spaced].update(set(keys).difference(self.known[spaced]))
+        learnt = [self._learn(list(new[0])), {p[1:]: ids for p, ids in self._learn([" " + p for p in new[1]]).items()}]
+        find = []
+        for known, more in zip(self.known, learnt, strict=True):
+            room = self.most - sum(map(len, self.known))
+            known.update(more if len(more) <= room else list(more.items())[:max(0, room)])
+            complete = more.keys() <= known.keys()
+            find.append(known.__getitem__ if complete else lambda p, known=known, more=more: known[p] if p in known else more[p])
+        out = [np.frombuffer(b"".join([b"".join(map(find[spaced], keys)) for spaced, keys in part]), np.uint32) for part in parts]
+        for k, ids in zip(whole, self._ids([texts[k] for k in whole]), strict=True):
             out[k] = np.array(ids, np.uint32)
         return out
