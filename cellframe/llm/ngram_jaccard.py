@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import session_settings
 from .common import Scratch, components, mixed, query, table, texts, word_hashes
 
 WORDS = 5
@@ -166,6 +167,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     document (the largest set gives ``n_shingles``); rows without an id are left out;
     other columns are ignored; an empty table gives an empty result.
     """
+    # Rows with whole sets are several KB; tasks hold a batch of them at a time.
+    with session_settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}):
+        return _near_duplicates(docs, words, percent)
+
+
+def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     files = Scratch(spark, "ngram-jaccard")
     docs = texts(docs)
