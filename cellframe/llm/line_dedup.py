@@ -1,13 +1,14 @@
 """Near-duplicate lines by a segment-partition edit-distance join, in SQL functions.
 
 A line of at least ``MIN_CHARS`` characters takes part; two such lines link when their
-edit distance is at most ``MAX_EDITS``. Cut a line into ``MAX_EDITS + 1`` segments: one
-of them occurs unchanged in any line it links to, near its own place. So every line is
-indexed by its segments, and probes the segments of lines as long as itself or up to
-``MAX_EDITS`` shorter at the few places that can matter.
+edit distance is at most what the shorter one allows: one edit per ``CHARS_PER_EDIT``
+characters, from 1 to ``MOST_EDITS``. Cut a line that allows ``e`` edits into ``e + 1``
+segments: one of them occurs unchanged in any line it links to, near its own place. So
+every line is indexed by its segments, and probes the segments of lines as long as
+itself or a few characters shorter at the few places that can matter.
 
 Candidates must agree in a 64-bit signature of their words (one edit flips at most
-three bits of it), which keeps lines that only share one half apart inside the join,
+three bits of it), which keeps lines that only share one segment apart inside the join,
 and are verified with a banded bit-parallel edit distance.
 
 Equal lines are brought together first, by hash and with partial aggregation, so a
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import components, query, stored, table, texts
 
 MIN_CHARS = 20
-MAX_EDITS = 1
+CHARS_PER_EDIT, MOST_EDITS = 16, 4
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -32,23 +33,44 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     return lines.select("doc_id", "version", "line_no", F.trim("line").alias("line")).where(F.char_length("line") >= min_chars)
 
 
-def _segments(edits: int) -> tuple[list[Column], list[Column]]:
-    """Hashes that index a line, and the further ones it probes with."""
-    parts, size = edits + 1, F.char_length("line")
-    index, probes = [], []
-    for shorter in range(edits + 1):
-        length = size - shorter
-        base = F.floor(length / parts).cast("int")
-        for i in range(parts):  # the last ``length % parts`` segments are one longer
-            longer = parts - length % parts
-            start = i * base + F.greatest(F.lit(0), i - longer)
-            width = base + F.when(F.lit(i) >= longer, 1).otherwise(0)
-            after = parts - 1 - i
-            for shift in range(max(-i, shorter - after), min(i, shorter + after) + 1):
-                part = F.substring(F.col("line"), start + 1 + shift, width)
-                target = index if shorter == 0 and shift == 0 else probes
-                target.append(F.xxhash64(length, F.lit(i), part))
-    return index, probes
+def _classes(max_edits: int | None) -> list[tuple[int, int | None, int]]:
+    """``least, end, edits``: the lengths of lines that allow so many edits; a given number holds for all."""
+    if max_edits is not None:
+        return [(0, None, max_edits)]
+    least = [0, *(CHARS_PER_EDIT * edits for edits in range(2, MOST_EDITS + 1))]
+    return list(zip(least, [*least[1:], None], range(1, MOST_EDITS + 1), strict=True))
+
+
+def _within(length: Column, least: int, end: int | None) -> Column:
+    return (length >= least) if end is None else (length >= least) & (length < end)
+
+
+def _allowed(length: Column, max_edits: int | None) -> Column:
+    return F.coalesce(*(F.when(_within(length, least, end), edits) for least, end, edits in _classes(max_edits)))
+
+
+def _segments(max_edits: int | None) -> tuple[Column, Column]:
+    """Hashes that index a line, and the further ones it probes with, as arrays."""
+    size, index, probes = F.char_length("line"), [], []
+    for least, end, edits in _classes(max_edits):
+        parts = edits + 1
+        for shorter in range(edits + 1):
+            length, own, further = size - shorter, [], []
+            base = F.floor(length / parts).cast("int")
+            for i in range(parts):  # the last ``length % parts`` segments are one longer
+                longer = parts - length % parts
+                start = i * base + F.greatest(F.lit(0), i - longer)
+                width = base + F.when(F.lit(i) >= longer, 1).otherwise(0)
+                after = parts - 1 - i
+                for shift in range(max(-i, shorter - after), min(i, shorter + after) + 1):
+                    part = F.substring(F.col("line"), start + 1 + shift, width)
+                    target = own if shorter == 0 and shift == 0 else further
+                    target.append(F.xxhash64(length, F.lit(i), part))
+            for hashes, target in ((own, index), (further, probes)):
+                if hashes:
+                    none = F.array().cast("array<bigint>")
+                    target.append(F.when(_within(length, least, end), F.array(*hashes)).otherwise(none))
+    return tuple(F.concat(*arrays) if arrays else F.array().cast("array<bigint>") for arrays in (index, probes))
 
 
 def _signature() -> Column:
@@ -87,32 +109,33 @@ def edit_distance_at_most(left: str, right: str, edits: int) -> Column:
         THEN levenshtein({left}, {right}) <= {edits} ELSE {walk_on} END""")
 
 
-def line_classes(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int = MAX_EDITS) -> DataFrame:
+def line_classes(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int | None = None) -> DataFrame:
     """The repeated lines: ``doc_id, version, line_no, first`` (doc_id, version, line_no).
 
-    Lines are compared without spaces around them. ``first`` is the earliest line,
+    Lines are compared without spaces around them. A number ``max_edits`` holds for
+    lines of any length; by default it follows the length. ``first`` is the earliest line,
     by document id and line number, of those reachable over links; the first line
     itself gives no row. Shorter lines, empty texts and NULL texts give none; rows
     that repeat an id and text count as one; an empty table gives an empty result.
     """
     docs = texts(docs)
+    most = _classes(max_edits)[-1][2]
     index, probes = _segments(max_edits)
-    hashes = [c.alias(f"h{k}") for k, c in enumerate(index + probes)]
-    names = [f"h{k}" for k in range(len(hashes))]
-    prepared = stored(_lines(docs, max(min_chars, max_edits + 1)).select(
+    prepared = stored(_lines(docs, max(min_chars, most + 1)).select(
         "doc_id", "version", "line_no", F.unhex(F.md5("line")).alias("key"), F.char_length("line").alias("n"),
-        _signature().alias("sig"), *hashes), "lines")
+        _signature().alias("sig"), index.alias("index"), probes.alias("probes")), "lines")
     place = F.struct("doc_id", "version", "line_no")
     firsts = stored(prepared.groupBy("key").agg(
         F.min(place).alias("at"), F.count(F.lit(1)).alias("times"),
-        *(F.first(c).alias(c) for c in ("n", "sig", *names))), "firsts")
+        *(F.first(c).alias(c) for c in ("n", "sig", "index", "probes"))), "firsts")
 
-    def rows(columns: list[str], side: str) -> DataFrame:
-        return firsts.select(F.explode(F.array(*columns)).alias("h"), "at", "n", "sig").alias(side)
+    def rows(hashes: Column, side: str) -> DataFrame:
+        return firsts.select(F.explode(hashes).alias("h"), "at", "n", "sig").alias(side)
 
-    condition = F.expr(f"""a.h = b.h AND b.n - a.n BETWEEN 0 AND {max_edits} AND (a.n < b.n OR a.at < b.at)
-      AND bit_count(a.sig ^ b.sig) <= {3 * max_edits}""")
-    pairs = rows(names[:len(index)], "a").join(rows(names, "b"), condition)
+    allowed = _allowed(F.col("a.n"), max_edits)
+    condition = (F.expr("a.h = b.h AND (a.n < b.n OR a.n = b.n AND a.at < b.at)") & (F.col("b.n") - F.col("a.n") <= allowed)
+                 & (F.bit_count(F.col("a.sig").bitwiseXOR(F.col("b.sig"))) <= 3 * allowed))
+    pairs = rows(F.col("index"), "a").join(rows(F.concat("index", "probes"), "b"), condition)
     pairs = stored(pairs.select(F.col("a.at").alias("a"), F.col("b.at").alias("b")).distinct(), "pairs")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("at")).distinct(), "wanted")
     found = stored(_lines(docs.join(wanted.select("at.doc_id").distinct(), "doc_id", "left_semi"), min_chars)
@@ -120,7 +143,10 @@ def line_classes(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int = M
     both = pairs
     for side in ("a", "b"):
         both = both.join(found.select(F.col("at").alias(side), F.col("line").alias(f"line_{side}")), side)
-    edges = stored(both.where(edit_distance_at_most("line_a", "line_b", max_edits)).select("a", "b"), "edges")
+    shorter = F.least(F.char_length("line_a"), F.char_length("line_b"))
+    linked = F.coalesce(*(F.when(_within(shorter, least, end), edit_distance_at_most("line_a", "line_b", edits))
+                          for least, end, edits in _classes(max_edits)))
+    edges = stored(both.where(linked).select("a", "b"), "edges")
 
     labels = components(edges)
     classes = firsts.join(labels.withColumnRenamed("node", "at"), "at", "left").where("times > 1 OR component IS NOT NULL")
@@ -129,14 +155,14 @@ def line_classes(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int = M
         "doc_id", "version", "line_no", "first").distinct()
 
 
-def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int = MAX_EDITS) -> DataFrame:
+def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int | None = None) -> DataFrame:
     """``doc_id, version, removed``: the repeated lines of each text, with their first lines."""
     entry = F.struct("line_no", F.col("first.doc_id").alias("first_doc"), F.col("first.line_no").alias("first_line"))
     return line_classes(docs, min_chars, max_edits).groupBy("doc_id", "version").agg(
         F.array_sort(F.collect_list(entry)).alias("removed"))  # no longer than the text
 
 
-def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int = MAX_EDITS) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int | None = None) -> DataFrame:
     """The documents, same columns, without the lines that repeat an earlier one.
 
     A text keeps its other lines as they are; where none is left it is empty. A column

@@ -136,6 +136,35 @@ def test_line_classes_equal_brute_force(spark, edits):
     assert got == expected_lines(docs, 5, edits)
 
 
+def test_edits_grow_with_the_length_of_a_line(spark):
+    rng = random.Random(9)
+
+    def allowed(n):
+        return min(max(n // 16, 1), 4)
+
+    docs = []
+    for doc, n in enumerate([20, 24, 31, 32, 33, 47, 48, 49, 63, 64, 65, 66, 70, 90, 150, 300] * 2):
+        base = "".join(rng.choice("abcdefghij ") for _ in range(n - 2))
+        texts = [f"x{base}x"]
+        for _ in range(5):
+            text = list(texts[0])
+            for _ in range(rng.randint(1, allowed(n) + 1)):
+                at = rng.randrange(1, len(text) - 1)
+                text[at:at + rng.randint(0, 1)] = rng.choice((["K"], ["é"], ["L"], []))
+            texts.append("".join(text))
+        docs.append((doc, "\n".join(texts)))
+    lines = {(doc, no): line for doc, text in docs for no, line in enumerate(text.split("\n")) if len(line) >= 20}
+    links = [(a, b) for a, b in combinations(sorted(lines), 2) if a[0] % 16 == b[0] % 16 or a[0] == b[0]
+             if abs(len(lines[a]) - len(lines[b])) <= 4
+             and distance(lines[a], lines[b]) <= allowed(min(len(lines[a]), len(lines[b])))]
+    expected = {at: first for at, first in smallest_reachable(lines, links).items() if at != first}
+    found = line_dedup.line_classes(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {(r["doc_id"], r["line_no"]): (r["first"]["doc_id"], r["first"]["line_no"]) for r in found.collect()} == expected
+    word = "one changed word in tion ntoush lyonen and further words of the same line"
+    docs = spark.createDataFrame([(1, word), (2, word.replace("tion", "er"))], "doc_id long, text string")
+    assert line_dedup.line_classes(docs).count() == 1
+
+
 def test_line_dedup_runs_no_python(documents, plan):
     frame = line_dedup.removed_lines(documents)
     assert not re.search("Python|Pandas|Arrow", plan(frame))
