@@ -1,9 +1,10 @@
 """Secret scans: patterns, and strings that surrounding text and known words cannot explain.
 
 Patterns give the base spans. Besides, every long string that follows a sensitive word
-closely is a candidate: with a zstandard dictionary of the commonest words around such
+closely is a candidate, also where only ``=`` or the joints of a name part it from that
+word: with a zstandard dictionary of the commonest words around such
 places in all documents, its surroundings are compressed without it and with it. The
-bytes it adds, per character, are its novelty; mixed strings that hardly compress are
+bytes it adds, per character, are its novelty; strings that hardly compress are
 reported as ``novel``.
 """
 
@@ -35,7 +36,9 @@ DICTIONARY_WORDS = 2048
 MIN_NOVELTY = 0.7
 _SENSITIVE = re.compile("|".join(SENSITIVE), re.IGNORECASE | re.ASCII)
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
-_MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
+# Behind a sensitive word: the rest of a name up to "=", or else joints and further sensitive words.
+_ASSIGNED = re.compile(rf"[A-Za-z0-9_.-]{{0,{REACH - 1}}}=+([A-Za-z0-9+/_.=-]{{16,}})")
+_JOINED = re.compile(rf"(?:[/_.-]*(?:{'|'.join(SENSITIVE)}))*[/_.-]+([A-Za-z0-9+/_.=-]{{16,}})", re.IGNORECASE | re.ASCII)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -51,18 +54,22 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int, str]]:
-    """``start, end, surroundings`` of long mixed strings close behind a sensitive word, outside base spans."""
+    """``start, end, surroundings`` of long strings close behind a sensitive word, outside base spans."""
     lower = text.lower()
     if not any(word in lower for word in SENSITIVE):
         return []
     seen: dict[tuple[int, int], None] = {}
     for word in _SENSITIVE.finditer(text):
+        found = []
+        if behind := _ASSIGNED.match(text, word.end()) or _JOINED.match(text, word.end()):
+            found.append(behind.span(1))
         for m in _CANDIDATE.finditer(text, word.end()):
             if m.start() > word.end() + REACH:
                 break
-            inside = any(a < m.end() and m.start() < b for _, a, b in base)
-            if not inside and _MIXED.match(m[0]):
-                seen[m.span()] = None
+            found.append(m.span())
+        for start, end in found:
+            if not any(a < end and start < b for _, a, b in base):
+                seen[start, end] = None
     return [(a, b, text[max(0, a - AROUND):a] + "\n" + text[b:b + AROUND]) for a, b in seen]
 
 

@@ -111,6 +111,18 @@ def test_novel_strings_in_sensitive_places(spark, documents, no_documents):
     assert secrets.scan(no_documents).count() == 0
 
 
+@pytest.mark.parametrize("before, value", [
+    ("AWS_SECRET_ACCESS_KEY=", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzQ4v8LkT2a"), ("secret_key=", "Zx9Kq2LmP0vTr8YwB3nHc5Jd"),
+    ("auth=", "Zx9Kq2LmP0vTr8YwB3nHc5Jd"), ("https://a.example/?signature=", "Zx9Kq2LmP0vTr8YwB3nHc5Jd"),
+    ("client-secret-", "Zx9Kq2LmP0vTr8YwB3nHc5Jd"), ("client-secret-key-", "Zx9Kq2LmP0vTr8YwB3nHcg=="),
+    ("auth:", "Zx9Kq2LmP0vTr8YwB3nHc5Jd"), ("auth=", "ZxKqLmPvTrYwBnHcJdGsQe"), ("session_id=", "8305917264401958372615")])
+def test_unquoted_assignments_are_found(spark, before, value):
+    docs = spark.createDataFrame([(1, f"é {before}{value}\nnext line")], "doc_id long, text string")
+    [row] = secrets.digests(secrets.scan(docs)).collect()
+    start = len(before) + 2
+    assert f"novel:{start}:{start + len(value)}" in row["spans"] or f"hex:{start}:{start + len(value)}" in row["spans"]
+
+
 def test_all_ten_are_registered():
     assert {name.partition("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
 
