@@ -1,30 +1,37 @@
-"""Toxicity by the nearest labelled examples, exact TF-IDF cosine over a block-max index.
-
-The index holds the labelled examples (at most ``most``). Its vocabulary are the words
-whose document frequency differs significantly between the labels, so distances follow
-what sets the labels apart. Examples are ordered by their heaviest word and cut into
-blocks; per word and block the index keeps the largest weight. A search bounds every
-block's best cosine from these, visits blocks from the highest bound down, and stops
-where no later block can change the ``NEIGHBOURS`` best: the result is exact.
-
-Neighbours vote with weights that fall with their distance, against a small weight of
-the rate among examples without any such word. A logistic curve fitted to leave-one-out
-votes turns votes into scores. The nearest examples are the evidence.
+"""Toxicity by the nearest labelled examples, exact TF-IDF cosine over an inverted index.
+
+The index holds every word of the labelled examples (at most ``most``). Words that many
+examples hold are rows of a dense matrix, multiplied for many texts at once; all others
+have posting lists. The candidates of both, found in single precision with room for its
+rounding, are compared again in double precision: the result is exact. Block bounds are
+not kept: whole texts share their common words with every example.
+
+Neighbours vote with weights that fall with their distance and grow with the agreement
+in words whose document frequency differs between the labels; so distances are those of
+the whole texts, and the vote follows what sets the labels apart. A logistic curve
+fitted to leave-one-out votes turns votes into scores. The nearest examples are the
+evidence.
 """
 
 from __future__ import annotations
 
+import pickle
+import zlib
+from collections import Counter
+from collections.abc import Iterable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import query, remainder, stored, table, texts
+from .common import query, remainder, table, texts
 from .labelled import MAX_EXAMPLES, examples
 
-NEIGHBOURS, BLOCK, FIRST_BLOCKS = 15, 64, 8
-CALIBRATED = 2000
-MAX_WORDS, MIN_Z, MIN_DOCS = 20_000, 5.0, 4
+NEIGHBOURS, CALIBRATED = 15, 2000
+# The layout of the index, without effect on results: words in a dense matrix, texts at once.
+COMMON_SHARE, COMMON, TOGETHER = 0.05, 512, 64
+ROUNDING = 1e-4  # far above what single precision can lose in a cosine
 _SEPARATORS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
 
 
@@ -34,84 +41,132 @@ def words(text: str | None) -> list[bytes]:
 
 
 class Index:
-    """Examples as unit vectors over a vocabulary, in blocks with their largest weights."""
+    """Examples as unit vectors over all their words, by word and by example."""
 
-    def __init__(self, vocabulary: list[bytes], ids, bags: list[dict[int, int]], labels):
-        self.vocabulary = {word: k for k, word in enumerate(vocabulary)}
-        used = np.array([bool(bag) for bag in bags], bool)
-        labels = np.asarray(labels, float)
-        rest = labels[~used]
-        self.rate = (rest.sum() + 0.5) / (len(rest) + 2)
-        frequency = np.zeros(len(vocabulary))
-        for bag in bags:
-            frequency[list(bag)] += 1
-        self.idf = np.log((1 + len(bags)) / (1 + frequency)) + 1
-        rows = [(*self.vector(bag), int(i), y) for bag, i, y in zip(bags, ids, labels, strict=True) if bag]
-        rows.sort(key=lambda r: (int(r[0][r[1].argmax()]), r[2]))
-        self.ids = np.array([r[2] for r in rows], np.int64)
-        self.labels = np.array([r[3] for r in rows], float)
-        self.vectors = [(r[0], r[1]) for r in rows]
-        self.blocks = -(-len(rows) // BLOCK)
-        self.most = np.zeros((len(vocabulary), self.blocks), np.float32)
-        terms = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in self.vectors)])
-        weights = np.concatenate([np.zeros(0), *(w for _, w in self.vectors)])
-        places = np.repeat(np.arange(len(rows)), [len(t) for t, _ in self.vectors])
-        # Rounded up, so that a bound is never below a cosine.
-        np.maximum.at(self.most, (terms, places // BLOCK), weights.astype(np.float32) * np.float32(1 + 1e-6))
-        order = np.lexsort((places, terms))
-        self.places, self.weights = places[order], weights[order]
-        lists = terms[order] * self.blocks + self.places // BLOCK
-        self.offsets = np.searchsorted(lists, np.arange(len(vocabulary) * self.blocks + 1))
+    def __init__(self, vocabulary: list[bytes], ids, bags: Iterable[dict[int, int]], labels):
+        pairs = [(np.fromiter(bag, np.int32, len(bag)), np.fromiter(bag.values(), np.int32, len(bag))) for bag in bags]
+        sizes = np.array([len(t) for t, _ in pairs], np.int64)
+        terms, counts = (np.concatenate([np.zeros(0, np.int32), *(pair[k] for pair in pairs)]) for k in (0, 1))
+        del pairs
         self.slope, self.shift = 1.0, 0.0
+        self._build(vocabulary, np.asarray(ids, np.int64), np.asarray(labels, float), sizes, terms, counts)
+
+    def __getstate__(self):
+        """What the index is built from; the rest is built again where it is used."""
+        arrays = [zlib.compress(array.tobytes(), 1) for array in self._source]
+        return zlib.compress(b" ".join(self.vocabulary), 1), arrays, self.slope, self.shift
+
+    def __setstate__(self, state):
+        vocabulary, arrays, self.slope, self.shift = state
+        types = np.int64, float, np.int64, np.int32, np.int32
+        self._build(zlib.decompress(vocabulary).split(), *(
+            np.frombuffer(zlib.decompress(array), dtype) for array, dtype in zip(arrays, types, strict=True)))
+
+    def _build(self, vocabulary: list[bytes], ids, labels, sizes, terms, counts) -> None:
+        self._source = ids, labels, sizes, terms, counts
+        self.vocabulary = {word: k for k, word in enumerate(vocabulary)}
+        self.rate = (labels.sum() + 0.5) / (len(labels) + 2)
+        size = len(vocabulary)
+        frequency = np.bincount(terms, minlength=size)
+        self.idf = np.log((1 + len(labels)) / (1 + frequency)) + 1
+        self.contrast = self._contrast(frequency, np.bincount(terms, np.repeat(labels, sizes), size), labels)
+        used = sizes > 0
+        self.ids, self.labels = ids[used], labels[used]
+        self.terms = terms
+        self.starts = np.append(0, np.cumsum(sizes[used]))
+        places = np.repeat(np.arange(len(self.ids), dtype=np.int32), sizes[used])
+        self.weights = (1 + np.log(counts)) * self.idf[terms]
+        self.weights /= np.sqrt(np.bincount(places, self.weights ** 2, len(self.ids)))[places]
+        self.norms = np.sqrt(np.bincount(places, self.weights ** 2 * self.contrast[terms], len(self.ids)))
+        common = np.argsort(-frequency, kind="stable")[:COMMON]
+        common = common[frequency[common] > COMMON_SHARE * len(labels)]
+        self.row = np.full(size, -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), len(self.ids)), np.float32)
+        dense = self.row[terms] >= 0
+        self.dense[self.row[terms[dense]], places[dense]] = self.weights[dense]
+        order = np.flatnonzero(~dense)
+        order = order[np.argsort(terms[order], kind="stable")]
+        self.places, self.listed = places[order], self.weights[order].astype(np.float32)
+        self.offsets = np.searchsorted(terms[order], np.arange(size + 1))
+
+    @staticmethod
+    def _contrast(frequency: np.ndarray, positive: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        """The fourth power of the z-score between the labels, per word; 1 without both labels.
+
+        Both vectors of an agreement have each word multiplied with its squared z-score.
+        """
+        ones, zeros = labels.sum(), len(labels) - labels.sum()
+        if not ones or not zeros:
+            return np.ones(len(frequency))
+        pooled = frequency / len(labels)
+        spread = np.sqrt(pooled * (1 - pooled) * (1 / ones + 1 / zeros))
+        return ((positive / ones - (frequency - positive) / zeros) / np.maximum(spread, 1e-12)) ** 4
+
+    def _unit(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        weights = (1 + np.log(counts)) * self.idf[terms]
+        return weights / np.sqrt((weights ** 2).sum())
+
+    @property
+    def vectors(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [self._vector(place) for place in range(len(self.ids))]
+
+    def _vector(self, place: int) -> tuple[np.ndarray, np.ndarray]:
+        own = slice(self.starts[place], self.starts[place + 1])
+        return self.terms[own], self.weights[own]
 
     def bag(self, text: str | None) -> dict[int, int]:
-        counts: dict[int, int] = {}
-        for word in words(text):
-            if (term := self.vocabulary.get(word)) is not None:
-                counts[term] = counts.get(term, 0) + 1
-        return counts
+        return {self.vocabulary[word]: n for word, n in Counter(words(text)).items() if word in self.vocabulary}
 
     def vector(self, bag: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.array(sorted(bag), np.int64)
-        weights = (1 + np.log([bag[t] for t in terms.tolist()])) * self.idf[terms]
-        return terms, weights / np.sqrt((weights ** 2).sum())
-
-    def cosines(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> np.ndarray:
-        """The cosines of all examples in some blocks, by place; 0 elsewhere."""
-        lists = (terms[:, None] * self.blocks + blocks).ravel()
-        starts = self.offsets[lists]
-        sizes = self.offsets[lists + 1] - starts
-        at = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
-        factors = np.repeat(np.repeat(weights, len(blocks)), sizes)
-        return np.bincount(self.places[at], factors * self.weights[at], len(self.ids))
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, skip: int = -1):
-        """Places and cosines of the ``k`` nearest examples, ties by place.
-
-        The blocks with the highest bounds are scored first; of the others only those
-        whose bound reaches the ``k``-th cosine found there.
-        """
-        bounds = weights @ self.most[terms]
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        values = self.cosines(terms, weights, order[:FIRST_BLOCKS])
-        if skip >= 0:
-            values[skip] = 0
-        found = values[values > 0]
-        best = np.partition(found, -k)[-k] if len(found) >= k else 0.0
-        rest = order[FIRST_BLOCKS:]
-        rest = rest[bounds[rest] * (1 + 1e-6) >= best]
-        if len(rest):
-            values += self.cosines(terms, weights, rest)
-            if skip >= 0:
-                values[skip] = 0
-        hit = np.flatnonzero(values > 0) if best <= 0 else np.flatnonzero(values >= best)
-        hit = hit[np.lexsort((hit, -values[hit]))[:k]]
-        return hit, values[hit]
-
-    def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
-        """The distance-weighted rate of label 1 among the neighbours, as log-odds."""
-        weights = 1 / (1.05 - np.minimum(cosines, 1.0))
+        terms = np.fromiter(bag, np.int32, len(bag))
+        return terms, self._unit(terms, np.fromiter(bag.values(), np.float64, len(bag)))
+
+    def _rough(self, vectors) -> np.ndarray:
+        """The cosines of some texts with all examples, in single precision."""
+        asked = np.zeros((len(vectors), len(self.dense)), np.float32)
+        for own, (terms, weights) in zip(asked, vectors, strict=True):
+            rows = self.row[terms]
+            own[rows[rows >= 0]] = weights[rows >= 0]
+        values = asked @ self.dense
+        for own, (terms, weights) in zip(values, vectors, strict=True):
+            rest = self.row[terms] < 0
+            starts = self.offsets[terms[rest]]
+            sizes = self.offsets[terms[rest] + 1] - starts
+            at = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+            own += np.bincount(self.places[at], np.repeat(weights[rest], sizes) * self.listed[at], len(own)).astype(np.float32)
+        return values
+
+    def search_all(self, vectors, k: int = NEIGHBOURS, skips=None):
+        """For each of some texts: places, cosines and agreements of the ``k`` nearest examples, ties by place."""
+        asked = np.zeros(len(self.idf))
+        for number, (rough, (terms, weights)) in enumerate(zip(self._rough(vectors), vectors, strict=True)):
+            if skips is not None:
+                rough[skips[number]] = 0
+            least = np.partition(rough, -k)[-k] if len(rough) >= k else 0.0
+            near = np.flatnonzero((rough >= least - ROUNDING) & (rough > 0))
+            asked[terms] = weights
+            sizes = self.starts[near + 1] - self.starts[near]
+            firsts = np.cumsum(sizes) - sizes
+            at = np.arange(sizes.sum()) + np.repeat(self.starts[near] - firsts, sizes)
+            shared = asked[self.terms[at]] * self.weights[at]
+            asked[terms] = 0
+            if len(near):
+                values = np.add.reduceat(shared, firsts)
+                norm = np.sqrt((weights ** 2 * self.contrast[terms]).sum())
+                agreed = np.add.reduceat(shared * self.contrast[self.terms[at]], firsts) / np.maximum(self.norms[near] * norm, 1e-300)
+            else:
+                values = agreed = np.zeros(0)
+            best = np.lexsort((near, -values))[:k]
+            yield near[best], values[best], agreed[best]
+
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS):
+        """Places and cosines of the ``k`` nearest examples, ties by place."""
+        return next(self.search_all([(terms, weights)], k))[:2]
+
+    def vote(self, places: np.ndarray, cosines: np.ndarray, agreed: np.ndarray) -> float:
+        """The weighted rate of label 1 among the neighbours, as log-odds."""
+        weights = (agreed + 1e-6) / (1.05 - np.minimum(cosines, 1.0))
         rate = ((weights * self.labels[places]).sum() + self.rate) / (weights.sum() + 1)
         rate = min(max(rate, 1e-6), 1 - 1e-6)
         return float(np.log(rate / (1 - rate)))
@@ -123,9 +178,10 @@ class Index:
         """
         if len(np.unique(self.labels)) < 2:
             return
-        chosen = range(0, len(self.vectors), -(-len(self.vectors) // CALIBRATED))
-        votes = np.array([self.vote(*self.search(*self.vectors[place], skip=place)) for place in chosen])
-        labels = self.labels[list(chosen)]
+        chosen = list(range(0, len(self.ids), -(-len(self.ids) // CALIBRATED)))
+        votes = np.array([self.vote(*found) for k in range(0, len(chosen), TOGETHER) for found in self.search_all(
+            [self._vector(place) for place in chosen[k:k + TOGETHER]], skips=chosen[k:k + TOGETHER])])
+        labels = self.labels[chosen]
         x, w = np.stack([votes, np.ones_like(votes)], 1), np.array([1.0, 0.0])
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
@@ -137,68 +193,72 @@ class Index:
         if w[0] > 0:
             self.slope, self.shift = map(float, w)
 
-    def score(self, text: str | None) -> tuple[float, list[int]]:
-        """The calibrated score of a whole text and the ids of its nearest examples."""
-        bag = self.bag(text)
-        if not bag or not len(self.ids):
-            return float(self.rate), []
-        places, cosines = self.search(*self.vector(bag))
-        if not len(places):
-            return float(self.rate), []
-        logit = self.slope * self.vote(places, cosines) + self.shift
-        return float(1 / (1 + np.exp(-np.clip(logit, -35, 35)))), self.ids[places[:3]].tolist()
+    def scores(self, batch) -> list[tuple[float, list[int]]]:
+        """The calibrated scores of whole texts and the ids of their nearest examples."""
+        out: list[tuple[float, list[int]]] = [(float(self.rate), [])] * len(batch)
+        known = [(k, bag) for k, text in enumerate(batch) if len(self.ids) and (bag := self.bag(text))]
+        for first in range(0, len(known), TOGETHER):
+            part = known[first:first + TOGETHER]
+            for (k, _), (places, cosines, agreed) in zip(part, self.search_all([self.vector(bag) for _, bag in part]), strict=True):
+                if len(places):
+                    logit = self.slope * self.vote(places, cosines, agreed) + self.shift
+                    out[k] = float(1 / (1 + np.exp(-np.clip(logit, -35, 35)))), self.ids[places[:3]].tolist()
+        return out
 
 
-def build_index(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> Index:
-    """Index at most ``most`` labelled rows with crc32(doc_id) mod 5 other than 0."""
-    known = stored(examples(docs, labels, "toxic", 5, 0, most), "toxic")
+class Packed:
+    """A pickled index, which becomes the index where a broadcast of it is read."""
 
-    def pairs(batches):
-        for batch in batches:
-            bags = [set(words(text)) for text in batch["text"]]
-            yield pd.DataFrame({"word": [w for bag in bags for w in bag],
-                                "y": np.repeat(batch["y"].to_numpy(), [len(bag) for bag in bags])})
-
-    totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ones, zeros = totals.get(1, 0), totals.get(0, 0)
-    vocabulary: list[bytes] = []
-    if ones and zeros:
-        counts = known.mapInPandas(pairs, "word binary, y int").groupBy("word").agg(
-            F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("q"))
-        pooled = (F.col("p") + F.col("q")) / (ones + zeros)
-        spread = F.sqrt(pooled * (1 - pooled) * (1 / ones + 1 / zeros))
-        z = F.abs(F.col("p") / ones - F.col("q") / zeros) / F.greatest(spread, F.lit(1e-12))
-        chosen = counts.where(F.col("p") + F.col("q") >= MIN_DOCS).withColumn("z", z).where(F.col("z") >= MIN_Z)
-        vocabulary = sorted(bytes(r["word"]) for r in chosen.orderBy(F.desc("z"), "word").limit(MAX_WORDS).collect())
-    lookup = {word: k for k, word in enumerate(vocabulary)}
-
-    def vectors(batches):
+    def __init__(self, state: bytes):
+        self.state = state
+
+    def __reduce__(self):
+        return pickle.loads, (self.state,)
+
+
+def packed_index(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> Packed:
+    """Index at most ``most`` labelled rows with crc32(doc_id) mod 5 other than 0, in one task."""
+    known = examples(docs, labels, "toxic", 5, 0, most)
+
+    def counted(batches):
         for batch in batches:
-            bags = [pd.Series([lookup[w] for w in words(text) if w in lookup], dtype="int64").value_counts()
-                    for text in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"],
-                                "terms": [b.index.to_numpy(np.int64) for b in bags], "counts": [b.to_numpy(np.int64) for b in bags]})
+            bags = [Counter(words(text)) for text in batch["text"]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "words": [b" ".join(bag) for bag in bags],
+                                "counts": [np.fromiter(bag.values(), np.int32, len(bag)).tobytes() for bag in bags]})
+
+    def built(batches):
+        rows = [row for batch in batches for row in batch.itertuples(index=False)]
+        rows.sort(key=lambda row: row.doc_id)
+        vocabulary: dict[bytes, int] = {}
+        bags = [(np.array([vocabulary.setdefault(word, len(vocabulary)) for word in row.words.split()], np.int32),
+                 np.frombuffer(row.counts, np.int32)) for row in rows]
+        ids, labels = [row.doc_id for row in rows], [row.y for row in rows]
+        del rows
+        index = Index(list(vocabulary), ids, (dict(zip(t.tolist(), n.tolist(), strict=True)) for t, n in bags), labels)
+        index.calibrate()
+        yield pd.DataFrame({"state": [pickle.dumps(index)]})
+
+    # The distinct words of at most ``most`` rows.
+    counts = known.mapInPandas(counted, "doc_id long, y int, words binary, counts binary").repartition(1)
+    found = counts.mapInPandas(built, "state binary").collect()
+    return Packed(bytes(found[0]["state"]) if found else pickle.dumps(Index([], [], [], [])))
 
-    # At most ``most`` rows of words from a bounded vocabulary.
-    rows = known.mapInPandas(vectors, "doc_id long, y int, terms array<long>, counts array<long>").orderBy("doc_id").collect()
-    index = Index(vocabulary, [r["doc_id"] for r in rows],
-                  [dict(zip(r["terms"], r["counts"], strict=True)) for r in rows], [r["y"] for r in rows])
-    index.calibrate()
-    return index
+
+def build_index(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> Index:
+    return pickle.loads(packed_index(docs, labels, most).state)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> DataFrame:
     """``doc_id, held_out, score, predicted, evidence`` for every row with an id.
 
     ``evidence`` are the ids of the nearest examples. Only the text is scored, all of
-    it; texts without an indexed word, empty and NULL ones get the rate of such
-    examples. Repeated rows get equal scores; an empty table gives an empty result.
+    it; texts without any word of an example, empty and NULL ones get the examples' rate. Repeated rows get equal scores; an empty table gives an empty result.
     """
-    index = docs.sparkSession.sparkContext.broadcast(build_index(docs, labels, most))  # bounded by ``most``
+    index = docs.sparkSession.sparkContext.broadcast(packed_index(docs, labels, most))  # bounded by ``most``
 
     def score(batches):
         for batch in batches:
-            found = [index.value.score(text) for text in batch["text"]]
+            found = index.value.scores(batch["text"])
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": [f[0] for f in found], "evidence": [f[1] for f in found]})
 
     scored = texts(docs).mapInPandas(score, "doc_id long, score double, evidence array<long>")

@@ -65,6 +65,19 @@ def test_search_equals_comparing_all_examples():
             assert np.allclose(values, best) and np.allclose(cosines[places], values)
 
 
+def test_rare_words_of_examples_are_searched(spark):
+    """A word that one example holds, and that says nothing about the label, still finds this example."""
+    ids = [k for k in range(60) if zlib.crc32(str(k).encode()) % 5]
+    docs = [(k, f"common text word{k} name{k}") for k in ids] + [(1000, f"word{ids[7]} other"), (1001, "unseen"), (1002, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in ids], "doc_id long, toxic int")
+    index = toxicity.build_index(frame, labels)
+    assert set(index.vocabulary) == {w.encode() for k in ids for w in ("common", "text", f"word{k}", f"name{k}")}
+    rows = {r["doc_id"]: r for r in toxicity.toxicity_scores(frame, labels).collect()}
+    assert rows[1000]["evidence"] == [ids[7]] and rows[1001]["evidence"] == rows[1002]["evidence"] == []
+    assert all(rows[k]["evidence"][0] == k for k in ids)
+
+
 def test_fit_learns_an_interaction():
     rng = np.random.default_rng(2)
     x = np.zeros((4000, len(quality_gam.FEATURES)))
