@@ -1,8 +1,8 @@
 """Quality rules and a hashed n-gram log-likelihood ratio against a trusted target.
 
 Words and word pairs of a text are hashed into ``BUCKETS``. Two multinomials over the
-buckets are estimated with add-one smoothing: one from all documents, one from trusted
-rows (quality 1; at most ``most`` of them). The score of a text is the mean logarithm
+buckets are estimated with add-one smoothing: one from all documents, one from all
+trusted rows (quality 1). The score of a text is the mean logarithm
 of the ratio of its buckets' probabilities, so it does not depend on length; texts at
 ``THRESHOLD`` or above are kept, unless a base rule fails them.
 """
@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import mixed, query, table, texts, word_hashes
-from .labelled import MAX_EXAMPLES, examples
 
 BUCKETS = 1 << 16
 THRESHOLD = -0.15  # mean natural logarithm per n-gram
@@ -77,7 +76,7 @@ def log_ratios(target: np.ndarray, corpus: np.ndarray) -> np.ndarray:
     return np.log((target + 1) / (target.sum() + len(target))) - np.log((corpus + 1) / (corpus.sum() + len(corpus)))
 
 
-def apply_rules(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES, threshold: float = THRESHOLD) -> DataFrame:
+def apply_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Counts, score and verdict for every row with an id.
 
     ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
@@ -86,7 +85,8 @@ def apply_rules(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES, th
     empty table gives an empty result; other columns are ignored.
     """
     docs = texts(docs)
-    trusted = examples(docs, labels.where("quality = 1"), "quality", 1, -1, most)
+    known = labels.where("quality = 1").select(F.col("doc_id").cast("bigint")).distinct()
+    trusted = docs.join(known, "doc_id", "left_semi")
     ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(gram_counts(trusted), gram_counts(docs)))  # BUCKETS numbers
 
     def rate(batches):

@@ -118,6 +118,12 @@ def test_rules_equal_brute_force(spark, tables, documents, no_documents):
     assert quality_rules.apply_rules(documents, labels.where("false")).where("score <> 0").count() == 0
 
 
+def test_all_trusted_rows_are_counted(spark):
+    docs = spark.range(20_200).selectExpr("id AS doc_id", "concat('word', id) AS text")
+    rows = quality_rules.apply_rules(docs, docs.selectExpr("doc_id", "1 AS quality"))
+    assert rows.where("abs(score) > 1e-12").count() == 0 and rows.count() == 20_200
+
+
 def test_log_ratio_equals_counting_by_hand():
     target, corpus = np.array([3, 1, 0]), np.array([4, 4, 2])
     expected = [math.log((t + 1) / 7) - math.log((c + 1) / 13) for t, c in zip(target, corpus, strict=True)]
