@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (  # noqa: F401
-    fm_decontaminate, line_dedup, ngram_jaccard, packing, quality_gam, quality_rules, rans_tokens, secrets, toxicity, warc)
+    conversation_repair, fm_decontaminate, line_dedup, ngram_jaccard, packing, quality_gam, quality_rules, rans_tokens, secrets, toxicity, warc)
 from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
