@@ -18,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,9 +28,12 @@ from pyspark.sql import functions as F
 
 from .common import query, stored, table, texts
 
-# Pieces a worker remembers, the longest of them, and pair numbers counted at a time.
-KNOWN, KNOWN_CHARACTERS = 300_000, 48
-COUNTED = 1 << 22
+# Pieces of a generation that a worker remembers, the longest of them, pieces encoded as one
+# text, documents and characters taken at a time, and pair numbers counted at a time.
+KNOWN, KNOWN_CHARACTERS = 150_000, 48
+TOGETHER = 256
+DOCUMENTS, CHARACTERS = 256, 1 << 20
+COUNTED = 1 << 21
 
 # White space with the word behind it; a space or line end behind a word starts the next.
 _PIECE = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+")
@@ -70,11 +73,15 @@ class Rows:
         ends = np.cumsum(sizes)
         places = np.arange(len(rows)) - np.repeat(ends - sizes, sizes) + np.repeat(other.starts[self.columns], sizes)
         products = np.repeat(self.values, sizes) * other.values[places]
-        keys, inverse = np.unique(rows * max(1, other.width) + other.columns[places], return_inverse=True)
-        sums = np.zeros(len(keys), np.int64)
-        np.add.at(sums, inverse, products)
-        starts = np.searchsorted(keys // max(1, other.width), np.arange(self.height + 1))
-        return Rows(starts, keys % max(1, other.width), sums, other.width)
+        width = max(1, other.width)
+        keys = rows * width + other.columns[places]
+        order = np.argsort(keys, kind="stable")
+        keys, products = keys[order], products[order]
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        sums = np.add.reduceat(products, first) if len(first) else products
+        keys = keys[first]
+        starts = np.searchsorted(keys // width, np.arange(self.height + 1))
+        return Rows(starts, keys % width, sums, other.width)
 
 
 def token_bytes(ends: np.ndarray) -> Rows:
@@ -113,6 +120,23 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+@dataclass
+class Encoded:
+    """Parts of texts in some order, the byte offsets where they end, and both sides' ids and ends.
+
+    ``good`` tells of all given parts whether both tokenizers give their bytes back; the
+    others are not in the order.
+    """
+
+    order: list[int]
+    ends: np.ndarray
+    a: np.ndarray
+    a_ends: np.ndarray
+    b: np.ndarray
+    b_ends: np.ndarray
+    good: np.ndarray
+
+
 class Tokens:
     """Ids and byte lengths of texts, each led by a space."""
 
@@ -129,6 +153,8 @@ class Tokens:
         for token, number in self.a.get_vocab().items():
             self.a_bytes[number] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
         self.b_bytes = [self._piece(self.b.id_to_piece(k)) for k in range(self.b.get_piece_size())]
+        self.a_sizes = np.array([len(self.a_bytes.get(k, b"")) for k in range(max(self.a_bytes) + 1)], np.int64)
+        self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
 
     @staticmethod
     def _piece(piece: str) -> bytes:
@@ -136,21 +162,51 @@ class Tokens:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def encode(self, parts: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Ids of both sides for parts that start with white space; ``None`` where bytes differ."""
-        a = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
-        # A line end before the part takes the space that the library adds, and joins nothing.
-        b = [ids[2:] for ids in self.b.encode(["\n" + p for p in parts], num_threads=1)]
+    def _strings(self, strings: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """Ids of both sides for texts that start with white space; ``None`` where bytes differ."""
+        a = [e.ids for e in self.a.encode_batch_fast(strings, add_special_tokens=False)]
+        # A line end before the text takes the space that the library adds, and joins nothing.
+        b = [ids[2:] for ids in self.b.encode(["\n" + s for s in strings], num_threads=1)]
         out = []
-        for part, x, y in zip(parts, a, b, strict=True):
-            raw = part.encode()
+        for text, x, y in zip(strings, a, b, strict=True):
+            raw = text.encode()
             same = b"".join(map(self.a_bytes.__getitem__, x)) == raw == b"".join(map(self.b_bytes.__getitem__, y))
             out.append((x, y) if same else None)
         return out
 
-    def ends(self, a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        return (np.cumsum([len(self.a_bytes[k]) for k in a], dtype=np.int64),
-                np.cumsum([len(self.b_bytes[k]) for k in b], dtype=np.int64))
+    def encode(self, parts: list[str]) -> Encoded:
+        """Both sides' ids of parts that start with white space, side by side.
+
+        Parts that end in a character follow one another in one text, as they do in
+        documents; the libraries are slow to call.
+        """
+        joined, alone = [], []
+        for k, part in enumerate(parts):
+            (alone if part[-1].isspace() or "▁" in part else joined).append(k)
+        groups = [joined[low:low + TOGETHER] for low in range(0, len(joined), TOGETHER)]
+        found = []  # the parts of a text, and its ids
+        for low in range(0, len(groups), 16):
+            some = groups[low:low + 16]
+            for group, ids in zip(some, self._strings(["".join([parts[k] for k in g]) for g in some])):
+                if ids is None:
+                    alone += group
+                else:
+                    found.append((group, ids))
+        good = np.zeros(len(parts), bool)
+        for low in range(0, len(alone), 512):
+            some = alone[low:low + 512]
+            found += [([k], ids) for k, ids in zip(some, self._strings([parts[k] for k in some])) if ids is not None]
+        order = [k for group, _ in found for k in group]
+        good[order] = True
+        a = np.array([i for _, (x, _) in found for i in x], np.int64)
+        b = np.array([i for _, (_, y) in found for i in y], np.int64)
+        ends = np.cumsum([len(parts[k].encode()) for k in order], dtype=np.int64)
+        return Encoded(order, ends, a, np.cumsum(self.a_sizes[a]), b, np.cumsum(self.b_sizes[b]), good)
+
+    def encode_whole(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
+        """Both sides' ids of one text, led by a space; ``None`` where there are no tokens."""
+        found = self._strings([" " + text])[0] if text else None
+        return None if found is None else (np.array(found[0], np.int64), np.array(found[1], np.int64))
 
     @property
     def most_pairs(self) -> int:
@@ -159,77 +215,76 @@ class Tokens:
 
 
 class Aligner:
-    """Aligned pieces of one worker process, and documents put together from them."""
+    """Aligned pieces of one worker process, and documents put together from them.
+
+    What a piece comes to is remembered in two generations: when the younger is full it
+    becomes the older one, and pieces that are met again move to the new younger one.
+    """
 
     def __init__(self, byte_level: str, pieces: str, most: int = KNOWN):
         self.tokens, self.most = Tokens(byte_level, pieces), most
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.sizes = np.zeros((1024, 4), np.int64)  # A tokens, B tokens, groups, whether bytes agree
-        self.texts: list[str] = []
-        self.pairs: list[bytes] = []
-
-    def _add(self, sizes: tuple, text: str, pairs: bytes) -> int:
-        at = len(self.texts)
-        if at == len(self.sizes):
-            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-        self.sizes[at] = sizes
-        self.texts.append(text)
-        self.pairs.append(pairs)
-        return at
-
-    def _learn(self, parts: list[str]) -> None:
-        """Align new pieces: all of them side by side in one pair of matrices."""
-        found = self.tokens.encode(parts)
-        good = [f for f in found if f is not None]
-        a_ids, b_ids = [k for a, _ in good for k in a], [k for _, b in good for k in b]
-        a_ends, b_ends = self.tokens.ends(a_ids, b_ids)
-        shared = overlaps(a_ends, b_ends)
+        self.young: dict[str, tuple] = {}
+        self.old: dict[str, tuple] = {}
+        n_a, n_b = len(self.tokens.a_sizes), len(self.tokens.b_sizes)
+        # How ids are written inside a group, and where their side of it ends.
+        self.inside = [f"{k}," for k in range(max(n_a, n_b))]
+        self.last_a = [f"{k}|" for k in range(n_a)]
+        self.last_b = [f"{k};" for k in range(n_b)]
+
+    def align(self, parts: list[str]) -> list[tuple]:
+        """``A tokens, B tokens, groups, groups text, pair numbers`` of pieces, side by side in one pair of matrices."""
+        e = self.tokens.encode(parts)
+        shared = overlaps(e.a_ends, e.b_ends)
         a, b = shared.row_numbers(), shared.columns
-        together = a_ends[a] == b_ends[b]  # overlapping tokens whose ranges end together
+        together = e.a_ends[a] == e.b_ends[b]  # overlapping tokens whose ranges end together
         a, b = a[together], b[together]
-        numbers = (np.array(a_ids, np.int64)[a] * len(self.tokens.b_bytes) + np.array(b_ids, np.int64)[b]).astype("<u4")
-        at_a = at_b = at_link = 0
-        links, a_at, b_at = len(a), a.tolist(), b.tolist()
-        for part, ids in zip(parts, found):
-            if ids is None:
-                self.known[part] = self._add((0, 0, 0, 0), "", b"")
-                continue
-            own_a, own_b = ids
-            end_a, first, rows, x, y = at_a + len(own_a), at_link, [], 0, 0
-            # Every common end closes a group, and the last one closes the piece.
-            while at_link < links and a_at[at_link] < end_a:
-                to_a, to_b = a_at[at_link] - at_a + 1, b_at[at_link] - at_b + 1
-                rows.append(",".join(map(str, own_a[x:to_a])) + "|" + ",".join(map(str, own_b[y:to_b])))
-                x, y, at_link = to_a, to_b, at_link + 1
-            self.known[part] = self._add((len(own_a), len(own_b), len(rows), 1), ";".join(rows), numbers[first:at_link].tobytes())
-            at_a, at_b = end_a, at_b + len(own_b)
+        pairs = (e.a[a] * len(self.tokens.b_sizes) + e.b[b]).astype("<u4").tobytes()
+        # Each common end closes a group of tokens of both sides.
+        a_group, b_group = np.searchsorted(a, np.arange(len(e.a))), np.searchsorted(b, np.arange(len(e.b)))
+        written = [self.inside[k] for k in e.a.tolist()] + [self.inside[k] for k in e.b.tolist()]
+        for k in a.tolist():
+            written[k] = self.last_a[e.a[k]]
+        for k in b.tolist():
+            written[len(e.a) + k] = self.last_b[e.b[k]]
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable").tolist()
+        written = [written[k] for k in order]
+        to_a, to_b = (np.searchsorted(x, e.ends, side="right").tolist() for x in (e.a_ends, e.b_ends))
+        to_link = np.searchsorted(e.a_ends[a], e.ends, side="right").tolist()
+        out: list = [None] * len(parts)
+        x = y = z = 0
+        for k, x2, y2, z2 in zip(e.order, to_a, to_b, to_link):
+            out[k] = x2 - x, y2 - y, z2 - z, "".join(written[x + y:x2 + y2])[:-1], pairs[4 * z:4 * z2]
+            x, y, z = x2, y2, z2
+        return out
+
+    def _pieces(self, parts: list[list[str]]) -> dict[str, tuple]:
+        """Everything that is known of the pieces of some documents."""
+        wanted = set().union(*parts)
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        missing = wanted.difference(self.young)
+        again = missing.intersection(self.old)
+        self.young.update((p, self.old[p]) for p in again)
+        fresh = list(missing.difference(again))
+        if not fresh:
+            return self.young
+        made = dict(zip(fresh, self.align(fresh)))
+        long = {p: made.pop(p) for p in fresh if len(p) > KNOWN_CHARACTERS}
+        self.young.update(made)
+        return {**self.young, **long} if long else self.young
 
     def documents(self, docs: list[str | None]) -> Iterator[tuple[int, int, int, int, str, bytes]]:
         """``n_a, n_b, n_groups, n_links, groups, pair numbers`` of each text."""
         parts = [_PIECE.findall(" " + text) if text else [] for text in docs]
-        new: set[str] = set()
-        for own in parts:
-            new.update(own)
-        if len(self.known) + len(new.difference(self.known)) > self.most:
-            self.forget()
-        fresh = list(new.difference(self.known))
-        if fresh:
-            self._learn(fresh)
+        known = self._pieces(parts)
         for own in parts:
-            at = list(map(self.known.__getitem__, own))
-            sizes = self.sizes[at]
-            if not own or not sizes[:, 3].all():
+            found = [known[p] for p in own]
+            if not found or None in found:
                 yield 0, 0, 0, 0, "", b""
                 continue
-            n_a, n_b, n_groups, _ = sizes.sum(axis=0).tolist()
-            pairs = b"".join(map(self.pairs.__getitem__, at))
-            yield n_a, n_b, n_groups, len(pairs) // 4, ";".join(map(self.texts.__getitem__, at)), pairs
-        for part in [p for p in fresh if len(p) > KNOWN_CHARACTERS]:
-            at = self.known.pop(part)
-            self.texts[at], self.pairs[at] = "", b""
+            n_a, n_b, n_groups, texts, pairs = zip(*found)
+            links = b"".join(pairs)
+            yield sum(n_a), sum(n_b), sum(n_groups), len(links) // 4, ";".join(texts), links
 
 
 _ALIGNERS: dict[tuple, Aligner] = {}
@@ -258,14 +313,14 @@ def links(docs: DataFrame, byte_level: str, pieces: str, kind: str = "overlap")
         known = aligner(byte_level, pieces).tokens
         for batch in batches:
             for doc, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
-                found = known.encode(_PIECE.findall(" " + text)) if text else []
-                if not found or None in found:
+                found = known.encode_whole(text)
+                if found is None:
                     continue
-                a, b = [k for x, _ in found for k in x], [k for _, y in found for k in y]
-                product = (overlaps if kind == "overlap" else shared_groups)(*known.ends(a, b))
+                a, b = found
+                product = (overlaps if kind == "overlap" else shared_groups)(np.cumsum(known.a_sizes[a]), np.cumsum(known.b_sizes[b]))
                 rows = product.row_numbers()
-                yield pd.DataFrame({"doc_id": doc, "a": rows, "a_id": np.array(a)[rows], "b": product.columns,
-                                    "b_id": np.array(b)[product.columns], "weight": product.values})
+                yield pd.DataFrame({"doc_id": doc, "a": rows, "a_id": a[rows], "b": product.columns,
+                                    "b_id": b[product.columns], "weight": product.values})
 
     return texts(docs).mapInPandas(run, "doc_id long, a long, a_id long, b long, b_id long, weight long")
 
@@ -279,16 +334,31 @@ def aligned(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     repeat an id are documents of their own; rows without an id are left out; other columns
     play no part.
     """
+    return _aligned(docs, byte_level, pieces, "groups", lambda n, groups: groups)
+
+
+def _digest(n: int, groups: str) -> str:
+    return hashlib.sha256(groups.encode()).hexdigest() if n else ""
+
+
+def _aligned(docs: DataFrame, byte_level: str, pieces: str, name: str, shown: Callable[[int, str], str]) -> DataFrame:
+    columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", name, "pairs"]
+
     def run(batches):
         known = aligner(byte_level, pieces)
         for batch in batches:
-            for low in range(0, len(batch), 256):
-                part = batch.iloc[low:low + 256]
-                rows = [(doc, *row) for doc, row in zip(part["doc_id"].tolist(), known.documents(part["text"].tolist()), strict=True)]
-                yield pd.DataFrame(rows, columns=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs"])
+            ids, held, low = batch["doc_id"].tolist(), batch["text"].tolist(), 0
+            while low < len(ids):
+                high, size = low, 0
+                while high < len(ids) and high - low < DOCUMENTS and (size < CHARACTERS or high == low):
+                    size, high = size + len(held[high] or ""), high + 1
+                rows = [(doc, a, b, g, n, shown(a, groups), pairs) for doc, (a, b, g, n, groups, pairs)
+                        in zip(ids[low:high], known.documents(held[low:high]), strict=True)]
+                yield pd.DataFrame(rows, columns=columns)
+                low = high
 
     return texts(docs).mapInPandas(
-        run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, pairs binary")
+        run, f"doc_id long, n_a long, n_b long, n_groups long, n_links long, {name} string, pairs binary")
 
 
 def pair_counts(alignments: DataFrame) -> DataFrame:
@@ -322,14 +392,7 @@ def pair_counts(alignments: DataFrame) -> DataFrame:
 def digests(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     """Per document the sizes of its alignment, how its links fare in the whole corpus, and the hash of its groups."""
     spark = docs.sparkSession
-
-    def hashed(batches):
-        for batch in batches:
-            digest = [hashlib.sha256(g.encode()).hexdigest() if n else "" for g, n in zip(batch["groups"], batch["n_a"].tolist())]
-            yield batch.drop(columns="groups").assign(groups_sha256=digest)
-
-    columns = "doc_id long, n_a long, n_b long, n_groups long, n_links long, pairs binary, groups_sha256 string"
-    kept = stored(aligned(docs, byte_level, pieces).mapInPandas(hashed, columns), "alignments")
+    kept = stored(_aligned(docs, byte_level, pieces, "groups_sha256", _digest), "alignments")
     width = len(Tokens(byte_level, pieces).b_bytes)
     counts = pair_counts(kept).toPandas().sort_values("pair")  # at most Tokens.most_pairs rows
     numbers, n = counts["pair"].to_numpy(np.int64), counts["n"].to_numpy(np.int64)
@@ -344,7 +407,8 @@ def digests(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
             yield batch.drop(columns="pairs").assign(
                 n_best=[int(best[k].sum()) for k in at], count_sum=[int(n[k].sum()) for k in at])
 
-    return kept.mapInPandas(scored, columns.replace("pairs binary, ", "") + ", n_best long, count_sum long")
+    return kept.mapInPandas(scored, "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
+                                    "n_best long, count_sum long")
 
 
 @query("op11_token_alignment")

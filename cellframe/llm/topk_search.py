@@ -179,9 +179,9 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K, query_block: int = QU
 
 _SQL = f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor({SCALE} * CAST(x AS DOUBLE))) AS e FROM embeddings
+  SELECT vec_id, [floor({SCALE} * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % {EVERY} = 0 AND q.vec_id <> c.vec_id)
