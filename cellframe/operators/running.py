@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..model import VERSION
-from ..session import tasks_for
-
-# Sampled keys between two bounds: chunks are of equal size within about a quarter.
-PER_CHUNK = 16
+from .ordered import scan
 
 
 def running_row(cells: DataFrame, names: Mapping[str, str], *, by: Sequence[str] = ("row_key",),
@@ -21,54 +18,10 @@ def running_row(cells: DataFrame, names: Mapping[str, str], *, by: Sequence[str]
     The scan runs per ``by`` group in ``order``, which must be unique within a group.
     Groups and order are cut into ``chunks`` ranges of about equal size, by default as
     many as the data needs, so a group of any size spreads over as many tasks as its
-    rows fill. Each chunk is filled on its own. What it knows of the group that may go on
-    in the next chunk is one row; these few rows are filled from chunk to chunk and
-    joined back, so only the rows themselves move, once.
+    rows fill.
     """
-    by, order, columns = list(by), list(order), list(names.values())
+    columns = list(names.values())
     kept = [c for c in cells.columns if c not in columns]
     seen = cells.select(*kept, *[
         F.when(F.lower("qualifier") == q.lower(), F.col("value")).alias(t) for q, t in names.items()])
-    cut = with_chunk(seen, [*by, *order], chunks or tasks_for(cells))
-    local = _filled(cut, columns, Window.partitionBy("_chunk", *by).orderBy(*order))
-
-    last = F.max_by(F.struct(*by, *columns), F.struct(*by, *order))
-    ends = local.groupBy("_chunk").agg(last.alias("_row")).select(
-        "_chunk", *[F.col(f"_row.`{c}`").alias(f"_by{i}") for i, c in enumerate(by)],
-        *[F.col(f"_row.`{c}`").alias(f"_to{i}") for i, c in enumerate(columns)])
-    groups = [f"_by{i}" for i in range(len(by))]
-    known = _filled(ends, [f"_to{i}" for i in range(len(columns))], Window.partitionBy(*groups).orderBy("_chunk"))
-    following = F.lead("_chunk").over(Window.orderBy("_chunk"))
-    carried = known.withColumn("_next", following).drop("_chunk")
-
-    # A row per chunk: as many as there are tasks, whatever the data size.
-    match = F.col("_chunk") == F.col("_next")
-    for i, c in enumerate(by):
-        match = match & F.col(f"`{c}`").eqNullSafe(F.col(f"_by{i}"))
-    joined = local.join(F.broadcast(carried), match, "left")
-    return joined.select(*kept, *[F.coalesce(f"`{c}`", f"_to{i}").alias(c) for i, c in enumerate(columns)])
-
-
-def with_chunk(df: DataFrame, key: Sequence[str], chunks: int) -> DataFrame:
-    """Add ``_chunk``, a row's range: how many of about ``chunks`` bounds are not above its key.
-
-    Bounds come from the rows with the smallest hashes, a sample of bounded size that is
-    the same whenever it is drawn, so a row's chunk depends on nothing but its key.
-    """
-    sample = df.select(*key).orderBy(F.xxhash64(*key)).limit(PER_CHUNK * chunks)
-    sorted_keys = F.array_sort(F.collect_list(F.struct(*key)))
-    bounds = sample.agg(sorted_keys.alias("keys")).select(
-        F.filter("keys", lambda _, i: i % PER_CHUNK == PER_CHUNK - 1)).scalar()
-    steps = [1 << level for level in reversed(range(chunks.bit_length()))]
-
-    def step(place: Column, size: Column) -> Column:
-        further = (place + size <= F.size("_bounds")) & (F.try_element_at("_bounds", place + size) <= F.struct(*key))
-        return place + F.when(further, size).otherwise(0)
-
-    found = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
-    return df.withColumn("_bounds", bounds).withColumn("_chunk", found).drop("_bounds")
-
-
-def _filled(df: DataFrame, columns: Sequence[str], window) -> DataFrame:
-    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns({c: F.last(F.col(f"`{c}`"), ignorenulls=True).over(so_far) for c in columns})
+    return scan(seen, by, order, fill=columns, chunks=chunks)

@@ -7,11 +7,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import count_matches, flat_name
-from ..model import CELL, MANIFEST
-from ..scratch import path_exists, remove_dir, stored, subdirs
+from ..model import CELL, MANIFEST, VERSION
+from ..operators.select import key_range
+from ..scratch import path_exists, stored
 from ..sources.cells import read_cells
+from .commits import GRACE, clean_up, commit, committed, retire
+
+# Columns of ``read_manifest`` besides ``MANIFEST``: a file's smallest and largest row key, if known.
+KEY_RANGE = ("low_key", "high_key")
+
+# Files of one scan where a directory is not read as a whole.
+SCAN_FILES = 10_000
 
 # Fixed value: how names of scheduled snapshots begin.
 SNAPSHOT_PREFIX = "SNP_TS_"
@@ -68,18 +77,30 @@ def snapshot_files(manifest: DataFrame, snapshot: str | DataFrame,
     return files.select("snapshot", "family", path.alias("path")).where(F.col("path").isNotNull())
 
 
-def _record(files: DataFrame, root: str, name: str, table: str) -> None:
-    """Write a snapshot's manifest rows; a snapshot without them does not exist.
+def _record(files: DataFrame, root: str, name: str, table: str, run: str) -> list[str]:
+    """Write a run's manifest rows and commit it as the snapshot's newest; gives the older runs.
 
-    Each snapshot of a table is a partition of the manifest, and only its own is
-    replaced. Rows are gathered into as few files as Spark's target size allows.
+    Rows go to a directory of the run, and the snapshot is what its last commit names, so
+    runs of one name at the same time leave one of them, whole. A snapshot without a commit
+    does not exist. Rows are gathered into as few files as Spark's target size allows.
     """
+    spark = files.sparkSession
+    place = f"table_name={_escaped(spark, table)}/snapshot={_escaped(spark, name)}"
     rows = files.hint("rebalance").select(
-        F.lit(name).alias("snapshot"), F.lit(table).alias("table_name"),
-        F.current_timestamp().alias("creation_time"),
-        "family", "live_path", F.lit(None).cast("string").alias("archive_path"))
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("table_name", "snapshot").parquet(_manifest_path(root)))
+        F.current_timestamp().alias("creation_time"), "family", "live_path", F.lit(None).cast("string").alias("archive_path"),
+        *[(F.col(c) if c in files.columns else F.lit(None).cast("string")).alias(c) for c in KEY_RANGE])
+    rows.write.parquet(f"{_manifest_path(root)}/{place}/run={run}")
+    log = f"{_commits_path(root)}/{place}"
+    commit(spark, log, run)
+    return [f"{_manifest_path(root)}/{place}/run={r}" for r in committed(spark, log)[:-1]]
+
+
+def _escaped(spark: SparkSession, name: str) -> str:
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(name)
+
+
+def _commits_path(root: str) -> str:
+    return f"{root.rstrip('/')}/commits"
 
 
 def _manifest_path(root: str) -> str:
@@ -97,48 +118,72 @@ def _listing(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return files.select(F.nullif(_unescaped(family), F.lit("")).alias("family"), F.col("path").alias("live_path"))
 
 
+def _with_key_ranges(spark: SparkSession, files: DataFrame, path: str) -> DataFrame:
+    """Each listed file with its smallest and largest row key; only keys are read."""
+    if files.isEmpty():
+        return files
+    keys = read_cells(spark, path).select("row_key", _plain(_unescaped(F.col("_metadata.file_path"))).alias("_path"))
+    ranges = keys.groupBy("_path").agg(F.min("row_key").alias("low_key"), F.max("row_key").alias("high_key"))
+    return files.join(ranges, _plain("live_path") == F.col("_path"), "left").drop("_path")
+
+
 def freeze(cells: DataFrame, root: str, table: str, label: str, families: Sequence[str] = (), *,
-           prefix: str = SNAPSHOT_PREFIX) -> str:
+           prefix: str = SNAPSHOT_PREFIX, grace: float = GRACE, key_files: int | None = None) -> str:
     """Copy a frame into a snapshot, replacing one of the same name; gives its name.
 
     With ``families`` only those are copied, one directory each, so later reads
     open what they need; families without cells have no files. The copy goes to a new
-    directory; the manifest names it once it is complete, and then older copies go, so a
-    name must not be frozen twice at the same time. Use ``freeze_files`` where the files
-    never change.
+    directory, and the snapshot is that copy once it is complete and committed. Copies that
+    it replaces stay for ``grace`` seconds. Use ``freeze_files`` where the files never change.
+
+    With ``key_files`` the copy is cut into about so many ranges of row keys, in order, and
+    the manifest knows each file's range, so that reads of a range of keys open few files.
     """
-    spark, name = cells.sparkSession, _name(table, label, prefix)
+    spark, name, run = cells.sparkSession, _name(table, label, prefix), uuid.uuid4().hex
     copies = f"{root.rstrip('/')}/data/{name}"
-    data = f"{copies}/{uuid.uuid4().hex}"
+    data = f"{copies}/{run}"
     if families:
-        cells.where(F.col("family").isin(list(families))).write.partitionBy("family").parquet(data)
-    else:
-        cells.write.parquet(data)
+        cells = cells.where(F.col("family").isin(list(families)))
+    if key_files:
+        order = ["family"] * bool(families) + ["row_key", *VERSION]
+        cells = cells.repartitionByRange(key_files, "row_key", *VERSION).sortWithinPartitions(*order)
+    (cells.write.partitionBy("family") if families else cells.write).parquet(data)
     files = _listing(spark, data)
-    none = spark.createDataFrame([(None, None)], files.schema)
-    _record(none if files.isEmpty() else files, root, name, table)
-    for path in subdirs(spark, copies):
-        if not path.endswith(data.rpartition("/")[2]):
-            remove_dir(spark, path)
+    if key_files:
+        files = _with_key_ranges(spark, files, data)
+    none = spark.createDataFrame([(None,) * len(files.columns)], files.schema)
+    old = _record(none if files.isEmpty() else files, root, name, table, run)
+    retire(spark, root, [*old, *(f"{copies}/{path.rpartition('run=')[2]}" for path in old)])
+    clean_up(spark, root, grace)
     return name
 
 
 def freeze_files(spark: SparkSession, path: str, root: str, table: str, label: str, *,
-                 prefix: str = SNAPSHOT_PREFIX) -> str:
+                 prefix: str = SNAPSHOT_PREFIX, grace: float = GRACE) -> str:
     """Snapshot a directory of immutable files by listing them; copies no data.
 
     Files added later are not in the snapshot. ``family=…`` in a path gives the
     file's family.
     """
     name = _name(table, label, prefix)
-    _record(_listing(spark, path), root, name, table)
+    retire(spark, root, _record(_listing(spark, path), root, name, table, uuid.uuid4().hex))
+    clean_up(spark, root, grace)
     return name
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """All recorded snapshots; filters on ``table_name`` and ``snapshot`` open only their files."""
-    manifest = spark.read.schema(MANIFEST).parquet(_manifest_path(root))
-    return manifest.select(*MANIFEST.names)
+    """All snapshots as last committed, with the files' ranges of row keys where they are known.
+
+    Filters on ``table_name`` and ``snapshot`` open only their files.
+    """
+    place = T.StructType([MANIFEST["table_name"], MANIFEST["snapshot"]])
+    runs = T.StructType([f for f in MANIFEST if f not in place.fields]
+                        + [T.StructField(c, T.StringType()) for c in KEY_RANGE]
+                        + place.fields + [T.StructField("run", T.StringType())])
+    commits = spark.read.schema(T.StructType([T.StructField("run", T.StringType()), *place])).text(_commits_path(root))
+    newest = commits.groupBy("table_name", "snapshot").agg(F.max_by("run", F.col("_metadata.file_name")).alias("run"))
+    rows = spark.read.schema(runs).parquet(_manifest_path(root))
+    return rows.join(newest, ["table_name", "snapshot", "run"], "left_semi").select(*MANIFEST.names, *KEY_RANGE)
 
 
 def _unescaped(text: Column) -> Column:
@@ -154,36 +199,66 @@ def _directory(path: Column) -> Column:
     return F.regexp_extract(path, "^(.*)/[^/]*$", 1)
 
 
-def read_snapshot(spark: SparkSession, manifest: DataFrame, snapshot: str,
-                  families: Sequence[str] | None = None) -> DataFrame:
-    """The cells of a snapshot, from the files of the wanted families only.
+def _files_now(spark: SparkSession, entries: DataFrame) -> tuple[DataFrame | None, list[str]]:
+    """``directory, path, whole`` of the files that entries stand for, and their directories.
 
-    A file that has gone from its live path is read from the archive; files that are in
-    neither place are left out, and so are families without files. Only the names of
-    directories come to the driver; they are read as a whole, and files in them that the
-    snapshot does not name are taken out by a join, if there are any.
+    ``whole`` tells that the directory holds no other files.
     """
-    entries = manifest.where(F.col("snapshot") == snapshot)
-    if entries.isEmpty():
-        raise ValueError(f"no snapshot {snapshot!r}")
-    if families is not None:
-        entries = entries.where(F.col("family").isin(list(families)))
     entries = entries.select(_plain("live_path").alias("live"), _plain("archive_path").alias("archive"))
     places = entries.select(F.explode(F.array("live", "archive")).alias("path")).where("path IS NOT NULL")
     found = [r.d for r in places.select(_directory(F.col("path")).alias("d")).distinct().orderBy("d").collect()]
     found = [d for d in found if path_exists(spark, d)]
     if not found:
-        return spark.createDataFrame([], CELL)
+        return None, []
     present = spark.read.format("binaryFile").load(found).select(_plain("path").alias("path"))
     live = present.select(F.col("path").alias("live"), F.lit(True).alias("is_live"))
     chosen = entries.join(live, "live", "left").select(
-        F.when(F.col("is_live"), F.col("live")).otherwise(F.col("archive")).alias("path"))
-    others = stored(present.join(chosen, "path", "left_anti"), "other-files")
-    cells = None
-    for base in sorted({d.split("/family=")[0] if "/family=" in d else d for d in found}):
-        own = [d for d in found if d == base or d.startswith(f"{base}/family=")]
-        rows = read_cells(spark, own, base=base).select("*", _plain(_unescaped(F.col("_metadata.file_path"))).alias("_path"))
-        cells = rows if cells is None else cells.unionByName(rows)
-    if not others.isEmpty():
-        cells = cells.join(others.withColumnRenamed("path", "_path"), "_path", "left_anti")
-    return cells.select(*CELL.names)
+        F.when(F.col("is_live"), F.col("live")).otherwise(F.col("archive")).alias("path")).distinct()
+    listed = present.join(chosen.withColumn("chosen", F.lit(True)), "path", "left")
+    directory = _directory(F.col("path"))
+    whole = listed.groupBy(directory.alias("directory")).agg((F.count_if(F.col("chosen").isNull()) == 0).alias("whole"))
+    files = listed.where("chosen").select(directory.alias("directory"), "path").join(whole, "directory")
+    return stored(files, "snapshot-files"), found
+
+
+def read_snapshot(spark: SparkSession, manifest: DataFrame, snapshot: str,
+                  families: Sequence[str] | None = None, lo: str | None = None, hi: str | None = None) -> DataFrame:
+    """The cells of a snapshot with ``lo <= row_key < hi``, from the files of the wanted families only.
+
+    Files whose range of keys is known and lies outside are not opened. A file that has
+    gone from its live path is read from the archive; files that are in neither place are
+    left out, and so are families without files. A directory that holds nothing but wanted
+    files is read as a whole, only its name comes to the driver; of others the wanted files
+    are scanned by name, ``SCAN_FILES`` at a time. Cells are never joined or shuffled.
+    """
+    entries = manifest.where(F.col("snapshot") == snapshot)
+    if entries.isEmpty():
+        raise ValueError(f"no snapshot {snapshot!r}")
+    if families is not None:
+        entries = entries.where(F.col("family").isin(list(families)))
+    if set(KEY_RANGE) <= set(manifest.columns):
+        if lo is not None:
+            entries = entries.where(F.col("high_key").isNull() | (F.col("high_key") >= lo))
+        if hi is not None:
+            entries = entries.where(F.col("low_key").isNull() | (F.col("low_key") < hi))
+    files, found = _files_now(spark, entries)
+    cells = spark.createDataFrame([], CELL)
+    if files is None:
+        return cells
+
+    def base(directory: str) -> str:
+        return directory.split("/family=")[0]
+
+    scans: dict[str, list[list[str]]] = {}
+    for row in files.where("whole").select("directory").distinct().orderBy("directory").toLocalIterator():
+        scans.setdefault(base(row.directory), [[]])[0].append(row.directory)
+    for row in files.where("NOT whole").orderBy("path").toLocalIterator():
+        lists = scans.setdefault(base(row.directory), [[]])
+        if len(lists) == 1 or len(lists[-1]) == SCAN_FILES:
+            lists.append([])
+        lists[-1].append(row.path)
+    for top, lists in sorted(scans.items()):
+        for paths in lists:
+            if paths:
+                cells = cells.unionByName(key_range(read_cells(spark, paths, base=top).select(*CELL.names), lo, hi))
+    return cells

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -35,15 +36,57 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    system, target = _file_system(spark, path)
+    system.mkdirs(target)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     system, target = _file_system(spark, path)
     return system.exists(target)
 
 
-def subdirs(spark: SparkSession, path: str) -> list[str]:
-    """The folders right below a folder."""
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """The names right below a folder; none if there is no such folder."""
+    system, target = _file_system(spark, path)
+    return [f.getPath().getName() for f in system.listStatus(target)] if system.exists(target) else []
+
+
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if it exists already. Of several callers one is told true."""
+    system, target = _file_system(spark, path)
+    system.mkdirs(target.getParent())
+    if system.getScheme() == "file":  # Hadoop's own check and creation are two steps here
+        return spark.sparkContext._jvm.java.io.File(target.toUri().getPath()).createNewFile()
+    try:
+        system.create(target, False).close()
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in str(error.java_exception):
+            raise
+        return False
+    return True
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    system, target = _file_system(spark, path)
+    stream = system.create(target, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file; nothing if it has gone meanwhile."""
     system, target = _file_system(spark, path)
-    return [f.getPath().toString() for f in system.listStatus(target) if f.isDirectory()]
+    try:
+        stream = system.open(target)
+    except Py4JJavaError as error:
+        if "FileNotFound" not in str(error.java_exception):
+            raise
+        return ""
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def replace_dir(spark: SparkSession, fresh: str, path: str) -> None:
@@ -51,8 +94,9 @@ def replace_dir(spark: SparkSession, fresh: str, path: str) -> None:
     system, target = _file_system(spark, path)
     _, source = _file_system(spark, fresh)
     _, aside = _file_system(spark, f"{fresh}-old")
-    if system.exists(target):
-        system.rename(target, aside)
+    if system.exists(target) and not system.rename(target, aside):
+        # Else the fresh folder would end up inside the old one.
+        raise OSError(f"cannot move {path} aside")
     if not system.rename(source, target):
         system.rename(aside, target)
         raise OSError(f"cannot move {fresh} to {path}")

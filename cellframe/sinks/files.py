@@ -57,14 +57,15 @@ def partition_path(root: str, table: str, partition: str, label: str) -> str:
 
 
 def write_run(df: DataFrame, root: str, table: str, partition: str, label: str,
-              num_files: int | None = None) -> str:
+              num_files: int | None = None, by: str | None = None) -> str:
     """Write one partition's rows into a directory of this run alone; gives its path.
 
     Nothing that an earlier run wrote is touched. The label lives in the directory name
-    only, not in the files.
+    only, not in the files. With ``by`` each value of that column has a directory in it.
     """
     path = f"{partition_path(root, table, partition, label)}/run-{uuid.uuid4().hex}"
-    write_orc(df.drop(partition), path, num_files)
+    rows = into_files(df.drop(partition), num_files).write.mode("overwrite")
+    (rows if by is None else rows.partitionBy(by)).orc(path)
     return path
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from cellframe import (
     ColumnSpec, ExportSpec, assemble, assemble_from_rows, assemble_strings, assemble_tsv, dump_pairs, read_rows,
-    running_row)
+    running_row, session_settings)
 from cellframe.model import distinct_families, extend_schema, schema_of, schema_string
+from cellframe.operators import ordered
 from cellframe.operators.select import conform, drop_columns, drop_empty_rows, families, key_range, require_nonempty
 
 from helpers import cells_frame, rows
@@ -136,16 +137,41 @@ def test_running_rows_move_the_data_once(spark, plan, tmp_path):
     path = str(tmp_path / "cells")
     cells_frame(spark, _random_cells(7)).write.parquet(path)
     text = plan(running_row(spark.read.parquet(path), {"a": "x"}, chunks=3), executed=True).split("== Initial Plan ==")[0]
-    assert "rangepartitioning" not in text and "SortMergeJoin" not in text
-    moved = [line for line in text.split("\n") if "Exchange hashpartitioning(_chunk" in line and "row_key" in line]
-    assert sum("Reused" not in line for line in moved) <= 2
+    # Only the small rows between ranges are shuffled besides, and nothing is gathered.
+    assert text.count("Exchange rangepartitioning(row_key") - text.count("ReusedExchange") <= 1
+    assert "BroadcastHashJoin" in text and "collect_list" not in text and "SinglePartition" not in text
+    assert not any("seq" in line for line in text.split("\n") if "Exchange hashpartitioning" in line)
 
 
-def test_chunks_are_of_about_equal_size(spark):
-    from cellframe.operators.running import with_chunk
-    df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
-    sizes = [r["count"] for r in with_chunk(df, ["k", "id"], 20).groupBy("_chunk").count().collect()]
-    assert 18 <= len(sizes) <= 21 and max(sizes) < 3000
+def test_running_rows_do_not_rely_on_reused_exchanges(spark):
+    cells = _random_cells(8)
+    text = cells_frame(spark, cells).selectExpr("row_key", "qualifier", "cast(value as string) value", "ts", "seq")
+    with session_settings(spark, {"spark.sql.exchange.reuse": "false"}):
+        got = running_row(text, {"A": "x", "b": "y"}, chunks=5)
+        assert rows(got.select("row_key", "seq", "x", "y")) == _running(cells)
+
+
+@pytest.mark.parametrize("block, limit", [(1024, 4096), (2, 0), (3, 4096)])
+def test_scans_number_rows_over_blocks_of_ranges(spark, monkeypatch, block, limit):
+    monkeypatch.setattr(ordered, "BLOCK", block)
+    monkeypatch.setattr(ordered, "BROADCAST_RANGES", limit)
+    rng = random.Random(block)
+    data = [(rng.choice((None, "hot", "hot", f"k{rng.randrange(40)}")), k, rng.choice((None, None, None, k))) for k in range(3000)]
+    df = spark.createDataFrame(data, "g string, o long, v long").repartition(5)
+    got = ordered.scan(df, ["g"], ["o"], fill=["v"], number="n", chunks=40)
+    state, expected = {}, []
+    for g, o, v in data:
+        n, last = state.get(g, (0, None))
+        state[g] = n + 1, last if v is None else v
+        expected.append((g, o, state[g][1], n + 1))
+    assert rows(got) == sorted(expected, key=repr)
+
+
+def test_scans_of_odd_groups(spark):
+    df = spark.createDataFrame([(float("nan"), 1, 5), (float("nan"), 2, None), (None, 1, None), (0.5, 1, None)], "g double, o int, v int")
+    got = ordered.scan(df, ["g"], ["o"], fill=["v"], number="n", chunks=4)
+    assert repr(rows(got)) == "[(0.5, 1, None, 1), (None, 1, None, 1), (nan, 1, 5, 1), (nan, 2, 5, 2)]"
+    assert ordered.scan(df.where("false"), ["g"], ["o"], number="n").collect() == []
 
 
 def test_assembly_combines_before_the_shuffle(spark, plan):

@@ -46,7 +46,7 @@ def test_frozen_copy_is_replaced_and_pruned(spark, plan, tmp_path):
     cells = cells_frame(spark, CELLS)
     both = cells.unionByName(cells.withColumn("family", F.lit("g")))
     for part in (both.limit(0), both):
-        name = freeze(part, root, "ns:Item", "001", ["f", "g"])
+        name = freeze(part, root, "ns:Item", "001", ["f", "g"], grace=0)
     assert name == "SNP_TS_ns_Item_001"
     manifest = read_manifest(spark, root)
     assert {r.family for r in manifest.collect()} == {"f", "g"}
@@ -78,7 +78,7 @@ def test_export_publishes_dated_partitions(spark, tmp_path):
     root = str(tmp_path)
     cells = cells_frame(spark, CELLS)
     newer = cells.where("ts = 0")
-    args = dict(table_prefix="pre_")
+    args = dict(table_prefix="pre_", grace=0)
     assert export(spark, [SPEC], {"ns:Item": cells}, root, "001", **args) == ["pre_item_base"]
     export(spark, [SPEC], {"ns:Item": newer}, root, "002", **args)
     export(spark, [SPEC], {"ns:Item": newer}, root, "002", **args)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellframe import (
-    ColumnSpec, assemble, assemble_from_rows, assemble_strings, assemble_tsv, dump_pairs, last_per_key,
-    read_rows, running_row, word_count)
+    ColumnSpec, assemble, assemble_from_pieces, assemble_from_rows, assemble_keyed, assemble_strings, assemble_tsv,
+    dump_pairs, last_per_key, read_keyed_cells, read_row_pieces, read_rows, running_row, scan, word_count,
+    write_keyed_cells)
 from cellframe.operators.select import (
     cells_to_pairs, drop_empty_rows, families, key_range, map_columns, show_cells)
+from cellframe.scratch import scratch_dir
 
 from .registry import PART_FAMILIES, event_cells, part_cells, query, table
 
@@ -103,6 +107,77 @@ def grouped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row_key", "cell.qualifier", F.col("cell.value").cast("string").alias("value"), "place")
 
 
+def _keyed(spark: SparkSession, cells: DataFrame, buckets: int):
+    """Cells written as a table by row key, and read again."""
+    name = f"cells_{uuid.uuid4().hex}"
+    write_keyed_cells(cells, name, scratch_dir(spark, "keyed"), buckets)
+    return read_keyed_cells(spark, name)
+
+
+@query("assemble_keyed", f"""
+SELECT CAST(user_id AS VARCHAR) AS row_key, {', '.join(_latest(k) for k in EVENT_TYPES)}
+FROM events GROUP BY user_id""")
+def assemble_keyed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows from a table by row key, without a shuffle where no key is larger than a bucket."""
+    specs = [ColumnSpec("event", k, "double", k) for k in EVENT_TYPES]
+    return assemble_keyed(_keyed(spark, event_cells(spark, sf_dir), 8), specs)
+
+
+_LINE_KEY = "CASE WHEN l_returnflag = 'N' THEN 'N' ELSE CAST(l_orderkey AS {}) END"
+_LINE_VERSION = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
+
+
+@query("assemble_keyed_large_keys", f"""
+SELECT {_LINE_KEY.format('VARCHAR')} AS row_key,
+       arg_max(l_partkey, row({_LINE_VERSION})) FILTER (WHERE l_linestatus = 'O') AS open_part,
+       arg_max(l_partkey, row({_LINE_VERSION})) FILTER (WHERE l_linestatus = 'F') AS filled_part
+FROM lineitem GROUP BY ALL""")
+def assemble_keyed_large_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row key holds about half of all cells."""
+    order = _LINE_VERSION.split(", ")
+    cells = table(spark, sf_dir, "lineitem").select(
+        F.expr(_LINE_KEY.format("STRING")).alias("row_key"), F.lit("line").alias("family"),
+        F.col("l_linestatus").alias("qualifier"), F.col("l_partkey").cast("string").cast("binary").alias("value"), *order)
+    specs = [ColumnSpec("line", "O", "bigint", "open_part"), ColumnSpec("line", "F", "bigint", "filled_part")]
+    return assemble_keyed(_keyed(spark, cells, 8), specs, order=order)
+
+
+_EVENTS_BY_TYPE = """
+newest AS (
+  SELECT event_type, user_id, max(row(ts, event_id)) AS version, arg_max(value, row(ts, event_id)) AS value
+  FROM events GROUP BY event_type, user_id),
+placed AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY version) - 1 AS place FROM newest)"""
+
+
+@query("read_row_pieces", f"""
+WITH {_EVENTS_BY_TYPE}
+SELECT event_type AS row_key, place // 40 AS piece, CAST(place % 40 AS INTEGER) AS place,
+       CAST(user_id AS VARCHAR) AS qualifier, CAST(value AS VARCHAR) AS value FROM placed""")
+def row_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five rows hold all cells, a qualifier per user, in pieces of 40 cells."""
+    cells = event_cells(spark, sf_dir).select(
+        F.col("qualifier").alias("row_key"), "family", F.col("row_key").alias("qualifier"), "value", "ts", "seq")
+    pieces = read_row_pieces(cells, 40)
+    return pieces.select("row_key", "piece", F.posexplode("cells").alias("place", "cell")).select(
+        "row_key", "piece", "place", "cell.qualifier", F.col("cell.value").cast("string").alias("value"))
+
+
+@query("assemble_from_pieces", f"""
+SELECT CAST(user_id AS VARCHAR) AS row_key, {', '.join(_latest(k, 'CAST({} AS VARCHAR)') for k in EVENT_TYPES)}
+FROM events GROUP BY user_id""")
+def assemble_row_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assemble_from_pieces(read_row_pieces(event_cells(spark, sf_dir), 2), {k.upper(): k for k in EVENT_TYPES})
+
+
+@query("numbered_rows", """
+SELECT o_orderstatus, o_orderkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) AS place
+FROM orders""")
+def numbered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places within three groups that hold all rows."""
+    orders = table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey", "o_orderdate")
+    return scan(orders, ["o_orderstatus"], ["o_orderdate", "o_orderkey"], number="place").drop("o_orderdate")
+
+
 _PART_PAIRS = " UNION ALL ".join(
     f"SELECT CAST(p_partkey AS VARCHAR) AS row_key, '{f}' AS family, '{c}' AS qualifier, "
     f"CAST({c} AS VARCHAR) AS value FROM part" for c, f in PART_FAMILIES.items())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellframe import (
-    inner_join, merge_as_map, merge_by_key, parse_delimited, read_lines, side_counts, tag_source,
+    collect_sides, inner_join, merge_as_map, merge_by_key, parse_delimited, read_lines, side_counts, tag_source,
     tagged_union)
 from cellframe.scratch import scratch_dir
 from cellframe.sinks.files import write_tsv
@@ -96,6 +96,41 @@ def count_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return side_counts(tagged_union(sides), ["id"], "type", "info", "score")
 
 
+@query("collect_sides", """
+WITH sides AS (
+  SELECT c_custkey AS id, 'info' AS type, c_name AS name, NULL::BIGINT AS number FROM customer
+  UNION ALL SELECT o_custkey, 'score', NULL, o_orderkey FROM orders),
+placed AS (SELECT *, row_number() OVER (PARTITION BY id, type ORDER BY number NULLS FIRST, name) - 1 AS n FROM sides)
+SELECT id, type, n // 5 AS part, CAST(n % 5 AS INTEGER) AS place, name, number FROM placed""")
+def list_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides' records of every customer in lists of five."""
+    sides = {
+        "info": table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")),
+        "score": table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("number"))}
+    lists = collect_sides(tagged_union(sides), ["id"], "type", ["number", "name"], list_size=5)
+    return lists.select("id", "type", "part", F.posexplode("records").alias("place", "r")).select(
+        "id", "type", "part", "place", "r.name", "r.number")
+
+
+@query("collect_sides_large_keys", """
+WITH placed AS (
+  SELECT l_linestatus, l_returnflag, l_orderkey, l_partkey,
+         row_number() OVER (PARTITION BY l_linestatus, l_returnflag
+           ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS n FROM lineitem)
+SELECT l_linestatus, l_returnflag, n // 1000 AS part, count(*) AS n_records, min(l_orderkey) AS first_order,
+       max(l_orderkey) AS last_order, CAST(sum(l_partkey) AS BIGINT) AS parts
+FROM placed GROUP BY l_linestatus, l_returnflag, n // 1000""")
+def list_large_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two keys hold all records, in lists of a thousand."""
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    lines = table(spark, sf_dir, "lineitem").select("l_linestatus", "l_returnflag", *order)
+    lists = collect_sides(lines, ["l_linestatus"], "l_returnflag", order)
+    return lists.select(
+        "l_linestatus", "l_returnflag", "part", F.size("records").cast("bigint").alias("n_records"),
+        F.element_at("records", 1)["l_orderkey"].alias("first_order"), F.element_at("records", -1)["l_orderkey"].alias("last_order"),
+        F.aggregate("records", F.lit(0).cast("bigint"), lambda s, r: s + r["l_partkey"]).alias("parts"))
+
+
 @query("tag_source_union", """
 SELECT 'info' AS type, c_custkey AS id, c_name AS name, NULL::DOUBLE AS price FROM customer
 UNION ALL SELECT 'score', o_custkey, NULL, o_totalprice FROM orders""")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellframe import (
-    ColumnSpec, ExportSpec, compact, decode_columns, decode_rejects, export, parse_delimited, read_cells,
+    ColumnSpec, ExportSpec, compact, decode_columns, decode_rejects, export, export_reports, parse_delimited, read_cells,
     read_orc, read_sequence, rejected_rows, unpivot_to_cells)
 from cellframe.functions.text import hex_pairs, partition_label, record_to_text, text_to_record
 from cellframe.model import extend_schema, schema_string
@@ -311,6 +311,43 @@ def export_empty_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(spark, names, prefix)
 
 
+@query("export_rejects", """
+SELECT CAST(o_orderkey AS VARCHAR) AS row_key, CASE WHEN o_orderstatus <> 'F' THEN o_custkey END AS customer,
+       o_orderpriority AS priority, CASE WHEN o_orderstatus = 'F' THEN 'customer=' || o_orderpriority ELSE '' END AS rejects,
+       CASE WHEN o_orderstatus = 'F' THEN count(*) FILTER (WHERE o_orderstatus = 'F') OVER ()
+            ELSE count(*) FILTER (WHERE o_orderstatus <> 'F') OVER () END AS counted
+FROM orders""")
+def export_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published rows and rejected ones of one export, with what it counted while it wrote."""
+    root = scratch_dir(spark, "export")
+    orders = table(spark, sf_dir, "orders").withColumn("customer", F.when(
+        F.col("o_orderstatus") == "F", F.col("o_orderpriority")).otherwise(F.col("o_custkey").cast("string")))
+    cells = unpivot_to_cells(orders.withColumnRenamed("o_orderpriority", "priority"), "o_orderkey", "o", ["customer", "priority"])
+    spec = ExportSpec("shop:Orders", f"Orders_{uuid.uuid4().hex}", (
+        ColumnSpec("o", "customer", "bigint", "customer", "text"), ColumnSpec("o", "priority", "string", "priority")))
+    report, = export_reports(spark, [spec], {"shop:Orders": cells}, root, "1", on_error="reject")
+    good = spark.read.orc(report.path).withColumn("counted", F.lit(report.rows).cast("bigint"))
+    bad = spark.read.schema(good.drop("counted").schema).orc(report.rejects_path).withColumn(
+        "counted", F.lit(report.rejected["customer"]).cast("bigint"))
+    shown = F.concat_ws(",", F.transform(F.coalesce("rejects", F.array()), lambda r: F.concat(
+        r["column"], F.lit("="), r["value"].cast("string"))))
+    return good.unionByName(bad).withColumn("rejects", shown)
+
+
+@query("read_key_range", """
+SELECT CAST(s_suppkey AS VARCHAR) AS row_key, 's_name' AS qualifier, s_name AS value FROM supplier
+WHERE CAST(s_suppkey AS VARCHAR) >= '2' AND CAST(s_suppkey AS VARCHAR) < '5'
+UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 's_nationkey', CAST(s_nationkey AS VARCHAR) FROM supplier
+WHERE CAST(s_suppkey AS VARCHAR) >= '2' AND CAST(s_suppkey AS VARCHAR) < '5'""")
+def read_snapshot_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of row keys of a snapshot that lies in order of its keys."""
+    root = scratch_dir(spark, "ranges")
+    supplier = unpivot_to_cells(table(spark, sf_dir, "supplier"), "s_suppkey", "s", ["s_name", "s_nationkey"])
+    name = freeze(supplier, root, "shop:Supplier", "1", ["s"], key_files=8)
+    cells = read_snapshot(spark, read_manifest(spark, root), name, lo="2", hi="5")
+    return cells.select("row_key", "qualifier", F.col("value").cast("string").alias("value"))
+
+
 @query("read_archived_snapshot", """
 SELECT CAST(s_suppkey AS VARCHAR) AS row_key, 's_name' AS qualifier, s_name AS value FROM supplier
 UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 's_nationkey', CAST(s_nationkey AS VARCHAR) FROM supplier""")
