@@ -98,24 +98,26 @@ def _scanning(by: Sequence[str], fill: Sequence[str], names: Sequence[str], sche
     return run
 
 
-def _inherited(edges: DataFrame, by: Sequence[str], fill: Sequence[str]) -> DataFrame:
+def _inherited(edges: DataFrame, by: Sequence[str], fill: Sequence[str], chunks: int) -> DataFrame:
     """``_to, _f0.., _before``: what the first group of each range knows from earlier ranges.
 
     ``edges`` are the first and the last row of every range. Within a block of ranges the
-    last rows are scanned by group; then the blocks' own last rows are. No window is over
-    more rows than a block has ranges, or than there are blocks.
+    last rows are scanned by group; where there are several blocks, the blocks' own last
+    rows are, too. No window is over more rows than a block has ranges, or than there are
+    blocks.
     """
-    groups = [F.col(f"`{c}`").alias(f"_by{i}") for i, c in enumerate(by)]
     keys = [f"_by{i}" for i in range(len(by))]
     known = [f"_f{i}" for i in range(len(fill))]
-    block = F.floor(F.col("_chunk") / BLOCK).alias("_block")
-    ends = edges.where(F.col("_edge").bitwiseAND(_LAST) > 0).select(
-        block, F.col("_chunk"), F.lit(1).alias("_kind"), *groups,
-        *[F.col(f"`{c}`").alias(k) for c, k in zip(fill, known)], F.col("_number").alias("_before"))
-    needs = edges.where(F.col("_edge").bitwiseAND(_FIRST) > 0).select(
-        block, F.col("_chunk"), F.lit(0).alias("_kind"), *groups,
-        *[F.lit(None).cast(edges.schema[c].dataType).alias(k) for c, k in zip(fill, known)], F.lit(0).cast("bigint").alias("_before"))
-    both = ends.unionByName(needs)
+
+    def entry(edge: int, kind: int, values: Sequence[Column], before: Column) -> Column:
+        return F.when(F.col("_edge").bitwiseAND(edge) > 0, F.struct(
+            F.lit(kind).alias("_kind"), *[v.alias(k) for v, k in zip(values, known)], before.cast("bigint").alias("_before")))
+
+    needs = entry(_FIRST, 0, [F.lit(None).cast(edges.schema[c].dataType) for c in fill], F.lit(0))
+    ends = entry(_LAST, 1, [F.col(f"`{c}`") for c in fill], F.col("_number"))
+    both = edges.select(
+        F.floor(F.col("_chunk") / BLOCK).alias("_block"), "_chunk", *[F.col(f"`{c}`").alias(k) for c, k in zip(by, keys)],
+        F.explode(F.array_compact(F.array(needs, ends))).alias("_e")).select("_block", "_chunk", *keys, "_e.*")
 
     def over(column: str, window, what) -> Column:
         return what(column).over(window.rowsBetween(Window.unboundedPreceding, -1))
@@ -126,6 +128,8 @@ def _inherited(edges: DataFrame, by: Sequence[str], fill: Sequence[str]) -> Data
     inside = Window.partitionBy("_block", *keys).orderBy("_chunk", "_kind")
     near = both.select("_block", "_chunk", "_kind", *keys, *[over(k, inside, latest).alias(k) for k in known],
                        over("_before", inside, F.sum).alias("_before")).where("_kind = 0")
+    if chunks <= BLOCK:
+        return near.select(F.col("_chunk").alias("_to"), *known, F.coalesce("_before", F.lit(0)).alias("_before"))
     # First rows count nothing here, but give their block a row for every group it inherits.
     whole = both.groupBy("_block", *keys).agg(
         *[F.max_by(k, F.when(F.col(k).isNotNull(), F.col("_chunk"))).alias(k) for k in known], F.sum("_before").alias("_before"))
@@ -136,8 +140,9 @@ def _inherited(edges: DataFrame, by: Sequence[str], fill: Sequence[str]) -> Data
     on = F.col("_block") == F.col("_far")
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"{k}_far"))
-    return near.join(far, on, "left").select(F.col("_chunk").alias("_to"), *[F.coalesce(k, f"{k}_far").alias(k) for k in known],
-                          (F.coalesce("_before", F.lit(0)) + F.coalesce("_before_far", F.lit(0))).alias("_before"))
+    return near.join(far, on, "left").select(
+        F.col("_chunk").alias("_to"), *[F.coalesce(k, f"{k}_far").alias(k) for k in known],
+        (F.coalesce("_before", F.lit(0)) + F.coalesce("_before_far", F.lit(0))).alias("_before"))
 
 
 def scan(df: DataFrame, by: Sequence[str], order: Sequence[str], *, fill: Sequence[str] = (),
@@ -158,7 +163,7 @@ def scan(df: DataFrame, by: Sequence[str], order: Sequence[str], *, fill: Sequen
     local = numbered.mapInArrow(_scanning(by, fill, names, to_arrow_schema(schema)), schema)
     if df.sparkSession.conf.get("spark.sql.exchange.reuse") != "true":
         local = stored(local, "ranges")  # both uses below must see the same ranges
-    carried = _inherited(local.where("_edge > 0"), by, fill)
+    carried = _inherited(local.where("_edge > 0"), by, fill, chunks)
     if chunks <= BROADCAST_RANGES:
         carried = F.broadcast(carried)
     joined = local.join(carried, F.col("_head") & (F.col("_chunk") == F.col("_to")), "left")

@@ -5,14 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import count_matches, flat_name
 from ..model import CELL, MANIFEST, VERSION
 from ..operators.select import key_range
-from ..scratch import path_exists, stored
+from ..scratch import entries, path_exists
 from ..sources.cells import read_cells
 from .commits import GRACE, clean_up, commit, committed, retire
 
@@ -199,26 +199,35 @@ def _directory(path: Column) -> Column:
     return F.regexp_extract(path, "^(.*)/[^/]*$", 1)
 
 
-def _files_now(spark: SparkSession, entries: DataFrame) -> tuple[DataFrame | None, list[str]]:
-    """``directory, path, whole`` of the files that entries stand for, and their directories.
+def _listed_here(spark: SparkSession, files: list[Row]) -> list[tuple[str, str | None]]:
+    """The same as ``_files_now`` for a bounded number of files, by listing their directories."""
+    places = {path.rpartition("/")[0] for file in files for path in (file.live, file.archive) if path}
+    present = {f"{d}/{name}" for d in places for name in entries(spark, d) if name[0] not in "_."}
+    chosen = {path for file in files if (path := file.live if file.live in present else file.archive) in present}
+    strays = {path.rpartition("/")[0] for path in present - chosen}
+    return sorted({(d, path if d in strays else None) for path in chosen for d in [path.rpartition("/")[0]]},
+                  key=lambda r: (r[0], r[1] or ""))
 
-    ``whole`` tells that the directory holds no other files.
+
+def _files_now(spark: SparkSession, files: DataFrame) -> list[tuple[str, str | None]]:
+    """``directory, path`` of the files that ``live, archive`` stand for now.
+
+    A directory that holds no other files is named alone.
     """
-    entries = entries.select(_plain("live_path").alias("live"), _plain("archive_path").alias("archive"))
-    places = entries.select(F.explode(F.array("live", "archive")).alias("path")).where("path IS NOT NULL")
-    found = [r.d for r in places.select(_directory(F.col("path")).alias("d")).distinct().orderBy("d").collect()]
+    places = files.select(F.explode(F.array("live", "archive")).alias("path")).where("path IS NOT NULL")
+    found = [r.d for r in places.select(_directory(F.col("path")).alias("d")).distinct().collect()]
     found = [d for d in found if path_exists(spark, d)]
     if not found:
-        return None, []
+        return []
     present = spark.read.format("binaryFile").load(found).select(_plain("path").alias("path"))
     live = present.select(F.col("path").alias("live"), F.lit(True).alias("is_live"))
-    chosen = entries.join(live, "live", "left").select(
+    chosen = files.join(live, "live", "left").select(
         F.when(F.col("is_live"), F.col("live")).otherwise(F.col("archive")).alias("path")).distinct()
-    listed = present.join(chosen.withColumn("chosen", F.lit(True)), "path", "left")
-    directory = _directory(F.col("path"))
-    whole = listed.groupBy(directory.alias("directory")).agg((F.count_if(F.col("chosen").isNull()) == 0).alias("whole"))
-    files = listed.where("chosen").select(directory.alias("directory"), "path").join(whole, "directory")
-    return stored(files, "snapshot-files"), found
+    listed = present.join(chosen.withColumn("chosen", F.lit(True)), "path", "left").select(
+        "path", "chosen", _directory(F.col("path")).alias("directory"))
+    whole = F.count_if(F.col("chosen").isNull()).over(Window.partitionBy("directory")) == 0
+    named = listed.withColumn("whole", whole).where("chosen").select("directory", F.when(~F.col("whole"), F.col("path")).alias("path"))
+    return sorted((tuple(r) for r in named.distinct().collect()), key=lambda r: (r[0], r[1] or ""))
 
 
 def read_snapshot(spark: SparkSession, manifest: DataFrame, snapshot: str,
@@ -229,36 +238,30 @@ def read_snapshot(spark: SparkSession, manifest: DataFrame, snapshot: str,
     gone from its live path is read from the archive; files that are in neither place are
     left out, and so are families without files. A directory that holds nothing but wanted
     files is read as a whole, only its name comes to the driver; of others the wanted files
-    are scanned by name, ``SCAN_FILES`` at a time. Cells are never joined or shuffled.
+    are scanned by name, ``SCAN_FILES`` at a time, as Spark's own list of a table's files
+    would name them. Cells are never joined or shuffled.
     """
-    entries = manifest.where(F.col("snapshot") == snapshot)
-    if entries.isEmpty():
-        raise ValueError(f"no snapshot {snapshot!r}")
+    named, wanted = manifest.where(F.col("snapshot") == snapshot), F.lit(True)
     if families is not None:
-        entries = entries.where(F.col("family").isin(list(families)))
+        wanted = wanted & F.coalesce(F.col("family").isin(list(families)), F.lit(False))
     if set(KEY_RANGE) <= set(manifest.columns):
         if lo is not None:
-            entries = entries.where(F.col("high_key").isNull() | (F.col("high_key") >= lo))
+            wanted = wanted & (F.col("high_key").isNull() | (F.col("high_key") >= lo))
         if hi is not None:
-            entries = entries.where(F.col("low_key").isNull() | (F.col("low_key") < hi))
-    files, found = _files_now(spark, entries)
-    cells = spark.createDataFrame([], CELL)
-    if files is None:
-        return cells
-
-    def base(directory: str) -> str:
-        return directory.split("/family=")[0]
-
-    scans: dict[str, list[list[str]]] = {}
-    for row in files.where("whole").select("directory").distinct().orderBy("directory").toLocalIterator():
-        scans.setdefault(base(row.directory), [[]])[0].append(row.directory)
-    for row in files.where("NOT whole").orderBy("path").toLocalIterator():
-        lists = scans.setdefault(base(row.directory), [[]])
-        if len(lists) == 1 or len(lists[-1]) == SCAN_FILES:
+            wanted = wanted & (F.col("low_key").isNull() | (F.col("low_key") < hi))
+    files = named.select(wanted.alias("wanted"), _plain("live_path").alias("live"), _plain("archive_path").alias("archive"))
+    few = files.limit(SCAN_FILES + 1).collect()
+    if not few:
+        raise ValueError(f"no snapshot {snapshot!r}")
+    found = (_listed_here(spark, [f for f in few if f.wanted]) if len(few) <= SCAN_FILES
+             else _files_now(spark, files.where("wanted").drop("wanted")))
+    cells, scans = spark.createDataFrame([], CELL), {}
+    for directory, path in found:
+        lists = scans.setdefault(directory.split("/family=")[0], [[]])
+        if path is not None and (len(lists) == 1 or len(lists[-1]) == SCAN_FILES):
             lists.append([])
-        lists[-1].append(row.path)
-    for top, lists in sorted(scans.items()):
-        for paths in lists:
-            if paths:
-                cells = cells.unionByName(key_range(read_cells(spark, paths, base=top).select(*CELL.names), lo, hi))
+        (lists[0] if path is None else lists[-1]).append(path or directory)
+    for base, lists in sorted(scans.items()):
+        for paths in filter(None, lists):
+            cells = cells.unionByName(key_range(read_cells(spark, paths, base=base).select(*CELL.names), lo, hi))
     return cells

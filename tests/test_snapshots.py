@@ -131,9 +131,11 @@ def test_ranges_of_files_without_known_keys(spark, tmp_path):
     assert _keys(read_snapshot(spark, read_manifest(spark, root), name, lo="2")) == ["2"]
 
 
-def test_stray_files_cost_no_shuffle_of_cells(spark, plan, tmp_path, monkeypatch):
+@pytest.mark.parametrize("scan_files", [2, 10_000])
+def test_stray_files_cost_no_shuffle_of_cells(spark, plan, tmp_path, monkeypatch, scan_files):
+    """Files chosen by a job, and by listing their few directories."""
     from cellframe.plans import manifest as module
-    monkeypatch.setattr(module, "SCAN_FILES", 2)
+    monkeypatch.setattr(module, "SCAN_FILES", scan_files)
     source, root = str(tmp_path / "cells"), str(tmp_path / "root")
     cells_frame(spark, CELLS * 3, 5).write.partitionBy("family").parquet(source)
     name = freeze_files(spark, source, root, "ns:Item", "001")
