@@ -52,6 +52,35 @@ def base_counts(text: str, hashes: np.ndarray) -> tuple[int, int, int, int, int]
             len(lines) - len(set(lines)), repeat_words(hashes))
 
 
+def packed(buckets: np.ndarray) -> bytes:
+    """Bucket numbers as the differences of their sorted order, seven bits a byte."""
+    steps = np.diff(np.sort(buckets), prepend=0)
+    out = np.empty((len(steps), 3), np.uint8)  # BUCKETS needs at most 17 bits
+    used = np.ones((len(steps), 3), bool)
+    for k in range(3):
+        left = steps >> (7 * k)
+        out[:, k] = (left & 127) | np.where(left >> 7 > 0, 128, 0)
+        used[:, k] = (left > 0) | (k == 0)
+    return out[used].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    """The sorted bucket numbers again."""
+    raw = np.frombuffer(data, np.uint8).astype(np.int64)
+    ends = np.flatnonzero(raw < 128)
+    starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+    place = np.arange(len(raw)) - np.repeat(starts, ends - starts + 1)
+    return np.cumsum(np.add.reduceat((raw & 127) << (7 * place), starts)) if len(ends) else ends
+
+
+def _summed(counts: DataFrame) -> np.ndarray:
+    """All tasks' counts of buckets: one row per bucket."""
+    out = np.zeros(BUCKETS, np.int64)
+    for bucket, n in counts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # at most BUCKETS rows
+        out[bucket] = n
+    return out
+
+
 def gram_counts(docs: DataFrame) -> np.ndarray:
     """How many n-grams of all texts fall in each bucket: a task sends at most one row per bucket."""
     def count(batches):
@@ -62,11 +91,31 @@ def gram_counts(docs: DataFrame) -> np.ndarray:
         hit = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": hit, "n": total[hit]})
 
-    counts = np.zeros(BUCKETS, np.int64)
-    summed = docs.select("text").mapInPandas(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    for bucket, n in summed.collect():  # at most BUCKETS rows
-        counts[bucket] = n
-    return counts
+    return _summed(docs.select("text").mapInPandas(count, "bucket long, n long"))
+
+
+def trusted_counts(docs: DataFrame, ids: DataFrame) -> np.ndarray:
+    """The same for the rows whose id is among ``ids``.
+
+    Not the texts are joined with the ids, but each text's packed bucket numbers. The join
+    is by sorting at every size, so it grows with the input alone.
+    """
+    def pack(batches):
+        for batch in batches:
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "buckets": [
+                packed(grams(word_hashes((text or "").encode()))) for text in batch["text"]]})
+
+    def count(batches):
+        total = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for data in batch["buckets"]:
+                np.add.at(total, unpacked(data), 1)
+        hit = np.flatnonzero(total)
+        yield pd.DataFrame({"bucket": hit, "n": total[hit]})
+
+    narrow = docs.mapInPandas(pack, "doc_id long, buckets binary")
+    trusted = narrow.join(ids.hint("merge"), "doc_id", "left_semi")
+    return _summed(trusted.select("buckets").mapInPandas(count, "bucket long, n long"))
 
 
 def log_ratios(target: np.ndarray, corpus: np.ndarray) -> np.ndarray:
@@ -86,8 +135,8 @@ def apply_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD
     """
     docs = texts(docs)
     known = labels.where("quality = 1").select(F.col("doc_id").cast("bigint")).distinct()
-    trusted = docs.join(known, "doc_id", "left_semi")
-    ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(gram_counts(trusted), gram_counts(docs)))  # BUCKETS numbers
+    target, corpus = trusted_counts(docs, known), gram_counts(docs)
+    ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(target, corpus))  # BUCKETS numbers
 
     def rate(batches):
         for batch in batches:

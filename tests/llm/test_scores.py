@@ -136,3 +136,20 @@ def test_word_hashes_depend_on_the_word_alone():
     assert len(words) == len(hashes) == 7
     assert len(set(hashes.tolist())) == len(set(words)) == len(set(zip(words, hashes.tolist(), strict=True)))
     assert len(word_hashes(b"")) == len(word_hashes(b" \n")) == 0
+
+
+def test_packed_buckets_come_back():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 500):
+        buckets = rng.integers(0, quality_rules.BUCKETS, n)
+        assert quality_rules.unpacked(quality_rules.packed(buckets)).tolist() == sorted(buckets.tolist())
+    ends = np.array([0, 0, 127, 128, 16383, 16384, quality_rules.BUCKETS - 1])
+    assert quality_rules.unpacked(quality_rules.packed(ends)).tolist() == ends.tolist()
+
+
+def test_trusted_counts_equal_counts_of_trusted_texts(spark, documents):
+    ids = spark.createDataFrame([(4,), (6,), (7,), (99,)], "doc_id long")
+    docs = quality_rules.texts(documents)
+    trusted = quality_rules.gram_counts(docs.join(ids, "doc_id", "left_semi"))
+    assert trusted.sum() > 0 and (quality_rules.trusted_counts(docs, ids) == trusted).all()
+    assert quality_rules.trusted_counts(docs, ids.where("false")).sum() == 0
