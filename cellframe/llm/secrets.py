@@ -2,16 +2,17 @@
 
 Patterns give the base spans. Besides, every long string that follows a sensitive word
 closely is a candidate, also where only ``=`` or the joints of a name part it from that
-word: with a zstandard dictionary of the commonest words around such
-places in all documents, its surroundings are compressed without it and with it. The
+word: with a zstandard dictionary of the commonest words around such places, and in names
+at such places, in all documents, its surroundings are compressed without it and with it. The
 bytes it adds, per character, are its novelty; strings that hardly compress are
 reported as ``novel``.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pandas as pd
 import zstandard
@@ -33,12 +34,14 @@ KINDS = ("assign", "access", "hex", "novel")
 
 REACH, AROUND = 40, 160
 DICTIONARY_WORDS = 2048
-MIN_NOVELTY = 0.7
+MIN_NOVELTY = 0.88  # random strings cost 0.89 to 1.0, names of known words 0.3 to 0.8
+NAME_PARTS = 3  # different strings that hold a part of a name at least
 _SENSITIVE = re.compile("|".join(SENSITIVE), re.IGNORECASE | re.ASCII)
-_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
-# Behind a sensitive word: the rest of a name up to "=", or else joints and further sensitive words.
-_ASSIGNED = re.compile(rf"[A-Za-z0-9_.-]{{0,{REACH - 1}}}=+([A-Za-z0-9+/_.=-]{{16,}})")
-_JOINED = re.compile(rf"(?:[/_.-]*(?:{'|'.join(SENSITIVE)}))*[/_.-]+([A-Za-z0-9+/_.=-]{{16,}})", re.IGNORECASE | re.ASCII)
+_RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+# Behind a sensitive word: the rest of a name up to "=", or else joints.
+_ASSIGNED = re.compile(rf"[A-Za-z0-9_.-]{{0,{REACH - 1}}}(=+)")
+_JOINTS = re.compile(r"[/_.-]+")
+LEAST = 16
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -53,24 +56,75 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
+def _joint_words(text: str, words: list[tuple[int, int]]) -> list[list[int]]:
+    """The ends of sensitive words, those that only joints part from one another together."""
+    chains: list[list[int]] = []
+    for k, (start, end) in enumerate(words):
+        before = words[k - 1][1] if k else -1
+        joint = _JOINTS.match(text, before, start) if k else None
+        if k and (start == before or (joint and joint.end() == start)):
+            chains[-1].append(end)
+        else:
+            chains.append([end])
+    return chains
+
+
+def _behind(text: str, end: int, last: int, pattern: re.Pattern, group: int) -> int | None:
+    """Where the value begins that a sensitive word, a pattern and at least ``LEAST`` characters make."""
+    found = pattern.match(text, end, last)
+    if found is None:
+        return None
+    start = min(found.end(), last - LEAST)  # the value may begin with some of the pattern's own characters
+    return start if start > found.start(group) else None
+
+
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int, str]]:
-    """``start, end, surroundings`` of long strings close behind a sensitive word, outside base spans."""
+    """``start, end, surroundings`` of long strings close behind a sensitive word, outside base spans.
+
+    Runs of ``LEAST`` characters or more that a secret may have are listed once. Each gives
+    itself, if a word ends at most ``REACH`` characters before it, the part behind the first
+    word and ``=`` in it, and the part behind its first chain of words and joints. So a text
+    has at most three candidates a run, and takes time in line with its length.
+    """
     lower = text.lower()
     if not any(word in lower for word in SENSITIVE):
         return []
+    words = [m.span() for m in _SENSITIVE.finditer(text)]
+    chains = _joint_words(text, words)
     seen: dict[tuple[int, int], None] = {}
-    for word in _SENSITIVE.finditer(text):
-        found = []
-        if behind := _ASSIGNED.match(text, word.end()) or _JOINED.match(text, word.end()):
-            found.append(behind.span(1))
-        for m in _CANDIDATE.finditer(text, word.end()):
-            if m.start() > word.end() + REACH:
+    at = chain = 0
+    for run in _RUN.finditer(text):
+        first, last = run.span()
+        while at < len(words) and words[at][1] <= first:
+            at += 1
+        if at and words[at - 1][1] >= first - REACH:
+            seen[first, last] = None
+        assigned = joined = None
+        # A word that ends where the run begins stands before it, but "=" or a joint may follow.
+        for k in range(max(0, at - 1), len(words)):
+            end = words[k][1]
+            if end >= last or assigned is not None:
+                break
+            if end >= first:
+                assigned = _behind(text, end, last, _ASSIGNED, 1)
+        while chain < len(chains) and chains[chain][-1] < first:
+            chain += 1
+        for own in chains[chain:]:
+            if own[0] >= last or joined is not None:
                 break
-            found.append(m.span())
-        for start, end in found:
-            if not any(a < end and start < b for _, a, b in base):
-                seen[start, end] = None
-    return [(a, b, text[max(0, a - AROUND):a] + "\n" + text[b:b + AROUND]) for a, b in seen]
+            for end in reversed(own):
+                if first <= end < last and joined is None:
+                    joined = _behind(text, end, last, _JOINTS, 0)
+        for start in (assigned, joined):
+            if start is not None:
+                seen[start, last] = None
+    starts, furthest = [a for _, a, _ in base], list(accumulate((b for *_, b in base), max))
+
+    def outside(start: int, end: int) -> bool:
+        before = bisect_left(starts, end)
+        return not before or furthest[before - 1] <= start
+
+    return [(a, b, text[max(0, a - AROUND):a] + "\n" + text[b:b + AROUND]) for a, b in seen if outside(a, b)]
 
 
 def novelty(candidate: str, surroundings: str, compressor: zstandard.ZstdCompressor) -> float:
@@ -106,7 +160,12 @@ def scan(docs: DataFrame) -> DataFrame:
     scanned = stored(texts(docs).mapInPandas(first, f"doc_id long, base {_SPAN}, more {_CANDIDATES}"), "scanned")
     near = scanned.select(F.explode("more.around").alias("around")).select(
         F.explode(F.split("around", r"[^A-Za-z0-9_]+")).alias("word")).where("char_length(word) BETWEEN 3 AND 64")
-    common = near.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS)
+    # Parts of names in the strings themselves, each string counted once: copies of a secret make no word common.
+    parts = scanned.select(F.explode("more.text").alias("text")).distinct().select(
+        "text", F.explode(F.array_distinct(F.split("text", "[^A-Za-z]+"))).alias("word")).where("char_length(word) BETWEEN 3 AND 12")
+    parts = parts.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= NAME_PARTS)
+    counted = near.groupBy("word").agg(F.count(F.lit(1)).alias("n")).unionByName(parts)
+    common = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS)
     words = [r["word"] for r in common.collect()]  # the size of the dictionary
     # zstandard finds the end of a dictionary most cheaply: the commonest words come last.
     primer = " ".join(reversed(words)).encode() or b"key = "
