@@ -2,8 +2,10 @@
 
 Both tokenizers used here cut a text before a space or line end that follows another
 character, whatever comes later, so ids of a text are the ids of its pieces in order.
-Pieces repeat; their ids are kept in a table of bounded size. Texts with other white
-space go to the library whole.
+Pieces repeat; their ids are kept in two tables of bounded size: when the younger is full
+it becomes the older one, and pieces that are met again move to the new one. So common
+pieces stay known, however many rare ones pass. Texts with other white space go to the
+library whole.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import re
 
 import numpy as np
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 GROUP = 64
 
 # A run of spaces and line ends with the word after it, a word with one space before
@@ -47,7 +49,7 @@ class Encoder:
         self.drops_space = drops_space
         self.separator = " \x01 " if drops_space else "\n"
         self.mark = self._ids(["\x01" if drops_space else "\n"])[0]
-        self.most, self.known = most, ({}, {})  # of plain pieces, of words after a space
+        self.most, self.known, self.old = most, ({}, {}), ({}, {})  # of plain pieces, of words after a space
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -85,18 +87,20 @@ class Encoder:
         """The ids of each text as 32-bit numbers; NULL counts as empty."""
         texts = [text or "" for text in texts]
         whole = [k for k, text in enumerate(texts) if _OTHER_SPACE.search(text)]
+        if sum(map(len, self.known)) > self.most:
+            self.known, self.old = ({}, {}), self.known
         parts = [[] if k in whole else self._split(text) for k, text in enumerate(texts)]
         new: tuple[set[str], set[str]] = set(), set()
         for part in parts:
             for spaced, keys in part:
                 new[spaced].update(set(keys).difference(self.known[spaced]))
-        learnt = [self._learn(list(new[0])), {p[1:]: ids for p, ids in self._learn([" " + p for p in new[1]]).items()}]
-        find = []
-        for known, more in zip(self.known, learnt, strict=True):
-            room = self.most - sum(map(len, self.known))
-            known.update(more if len(more) <= room else list(more.items())[:max(0, room)])
-            complete = more.keys() <= known.keys()
-            find.append(known.__getitem__ if complete else lambda p, known=known, more=more: known[p] if p in known else more[p])
+        for known, old, keys in zip(self.known, self.old, new, strict=True):
+            again = keys.intersection(old)
+            known.update((p, old[p]) for p in again)
+            keys -= again
+        self.known[0].update(self._learn(list(new[0])))
+        self.known[1].update((p[1:], ids) for p, ids in self._learn([" " + p for p in new[1]]).items())
+        find = [known.__getitem__ for known in self.known]
         out = [np.frombuffer(b"".join([b"".join(map(find[spaced], keys)) for spaced, keys in part]), np.uint32) for part in parts]
         for k, ids in zip(whole, self._ids([texts[k] for k in whole]), strict=True):
             out[k] = np.array(ids, np.uint32)
