@@ -15,6 +15,7 @@ block is searched in all documents.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -22,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import query, table, texts
+from .common import query, stored, table, texts
 
 WINDOW = 10
 SHARD_WORDS, SHARD_DOCS = 1 << 20, 1 << 14
@@ -213,13 +214,14 @@ def _found_by(windows, batches, passed: list[str]):
         yield shard()
 
 
-def _blocks(benchmark: DataFrame, window: int) -> list[Windows]:
+def _blocks(benchmark: DataFrame, window: int) -> tuple[int, Iterator[Windows]]:
+    """How many blocks of items there are, and their windows, one block in memory at a time."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string")).where(
         "item_id IS NOT NULL")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = 1 + total // BLOCK_BYTES
-    return [Windows([tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).distinct()
-                     .orderBy("item_id", "text").collect()], window) for k in range(blocks)]
+    return blocks, (Windows([tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).distinct()
+                             .orderBy("item_id", "text").collect()], window) for k in range(blocks))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -234,13 +236,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     spark = docs.sparkSession
     keyed = texts(docs).select("doc_id", F.xxhash64("text").alias("version"), "text")
     found = None
-    for windows in _blocks(benchmark, window):
+    blocks, each = _blocks(benchmark, window)
+    for windows in each:
         shared = spark.sparkContext.broadcast(windows)  # windows of at most about BLOCK_BYTES of text
 
         def search(batches, shared=shared):
             return _found_by(shared.value, batches, ["doc_id", "version"])
 
         block = keyed.mapInPandas(search, f"doc_id long, version long, {_FOUND}")
+        if blocks > 1:  # finished before the next is built
+            block = stored(block, "contamination")
+            shared.destroy()
         found = block if found is None else _combined(found, block)
     return found.drop("version")
 
@@ -275,8 +281,13 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
 
     NULL and empty texts stay, and so do rows without an id whose text is clean.
     """
-    for windows in _blocks(benchmark, window):
-        docs = docs.where(_clean(docs.sparkSession.sparkContext.broadcast(windows))(F.col("text").cast("string")))
+    blocks, each = _blocks(benchmark, window)
+    for windows in each:
+        shared = docs.sparkSession.sparkContext.broadcast(windows)
+        docs = docs.where(_clean(shared)(F.col("text").cast("string")))
+        if blocks > 1:
+            docs = stored(docs, "clean")
+            shared.destroy()
     return docs
 
 
