@@ -24,4 +24,7 @@ def examples(docs: DataFrame, labels: DataFrame, label: str, divisor: int, held_
     known = known.join(texts(docs).select("doc_id"), "doc_id", "left_semi")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     chosen = stored(chosen, "examples")
-    return texts(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])  # at most ``most`` rows
+    found = texts(docs).join(F.broadcast(chosen), "doc_id")  # at most ``most`` ids
+    # Of an id with several texts that with the smallest hash, whichever arrives first.
+    return found.groupBy("doc_id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select(
+        "doc_id", "text", "y")

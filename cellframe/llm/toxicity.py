@@ -1,10 +1,14 @@
-"""Toxicity by the nearest labelled examples, exact TF-IDF cosine over an inverted index.
-
-The index holds every word of the labelled examples (at most ``most``). Words that many
-examples hold are rows of a dense matrix, multiplied for many texts at once; all others
-have posting lists. The candidates of both, found in single precision with room for its
-rounding, are compared again in double precision: the result is exact. Block bounds are
-not kept: whole texts share their common words with every example.
+"""Toxicity by the nearest labelled examples, exact TF-IDF cosine over a block-max index.
+
+The index holds every word of the labelled examples (at most ``most``). Examples are put in
+an order that keeps similar ones together and cut into blocks. Words that many examples
+hold are rows of a dense matrix, multiplied for many texts at once; words of a few
+examples are added up posting by posting. All others have posting lists in blocks, each
+with its largest weight: with a text's weights these bound what a block's examples can
+still gain. Blocks are visited in falling order of their bounds, and once a bound is below
+the k-th cosine so far, all that follow are left out. The search runs in single precision
+with room for its rounding; what it finds is compared again in double precision: the
+result is exact.
 
 Neighbours vote with weights that fall with their distance and grow with the agreement
 in words whose document frequency differs between the labels; so distances are those of
@@ -19,6 +23,7 @@ import pickle
 import zlib
 from collections import Counter
 from collections.abc import Iterable
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -29,8 +34,11 @@ from .common import query, remainder, table, texts
 from .labelled import MAX_EXAMPLES, examples
 
 NEIGHBOURS, CALIBRATED = 15, 2000
-# The layout of the index, without effect on results: words in a dense matrix, texts at once.
+# The layout of the index, without effect on results: words in a dense matrix, texts at once,
+# examples of a block, blocks visited first, the most examples of a word added up at once, and
+# groups of similar examples.
 COMMON_SHARE, COMMON, TOGETHER = 0.05, 512, 64
+BLOCK, FIRST_BLOCKS, FEW, GROUPS = 512, 6, 24, 64
 ROUNDING = 1e-4  # far above what single precision can lose in a cosine
 _SEPARATORS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
 
@@ -40,6 +48,20 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_SEPARATORS).split()
 
 
+def _alike(dense: np.ndarray) -> np.ndarray:
+    """An order of the columns that keeps similar ones together: groups around a few of them, drawn nearer in turns."""
+    columns = np.ascontiguousarray(dense.T)
+    columns /= np.maximum(np.linalg.norm(columns, axis=1, keepdims=True), 1e-9)
+    n = len(columns)
+    centers = columns[np.linspace(0, max(0, n - 1), min(GROUPS, n)).astype(int)].copy()
+    for _ in range(5):
+        group = np.argmax(columns @ centers.T, axis=1) if n else np.zeros(0, int)
+        for k in range(len(centers)):
+            total = columns[group == k].sum(axis=0)
+            centers[k] = total / max(np.linalg.norm(total), 1e-9)
+    return np.argsort(group, kind="stable").astype(np.int32)
+
+
 class Index:
     """Examples as unit vectors over all their words, by word and by example."""
 
@@ -49,7 +71,7 @@ class Index:
         terms, counts = (np.concatenate([np.zeros(0, np.int32), *(pair[k] for pair in pairs)]) for k in (0, 1))
         del pairs
         self.slope, self.shift = 1.0, 0.0
-        self._build(vocabulary, np.asarray(ids, np.int64), np.asarray(labels, float), sizes, terms, counts)
+        self._build(vocabulary, np.asarray(ids, np.int64), np.asarray(labels, float), sizes, terms, counts, None)
 
     def __getstate__(self):
         """What the index is built from; the rest is built again where it is used."""
@@ -58,12 +80,12 @@ class Index:
 
     def __setstate__(self, state):
         vocabulary, arrays, self.slope, self.shift = state
-        types = np.int64, float, np.int64, np.int32, np.int32
+        types = np.int64, float, np.int64, np.int32, np.int32, np.int32
         self._build(zlib.decompress(vocabulary).split(), *(
             np.frombuffer(zlib.decompress(array), dtype) for array, dtype in zip(arrays, types, strict=True)))
+        del self._source
 
-    def _build(self, vocabulary: list[bytes], ids, labels, sizes, terms, counts) -> None:
-        self._source = ids, labels, sizes, terms, counts
+    def _build(self, vocabulary: list[bytes], ids, labels, sizes, terms, counts, order) -> None:
         self.vocabulary = {word: k for k, word in enumerate(vocabulary)}
         self.rate = (labels.sum() + 0.5) / (len(labels) + 2)
         size = len(vocabulary)
@@ -82,13 +104,33 @@ class Index:
         common = common[frequency[common] > COMMON_SHARE * len(labels)]
         self.row = np.full(size, -1, np.int32)
         self.row[common] = np.arange(len(common))
-        self.dense = np.zeros((len(common), len(self.ids)), np.float32)
-        dense = self.row[terms] >= 0
-        self.dense[self.row[terms[dense]], places[dense]] = self.weights[dense]
-        order = np.flatnonzero(~dense)
-        order = order[np.argsort(terms[order], kind="stable")]
-        self.places, self.listed = places[order], self.weights[order].astype(np.float32)
-        self.offsets = np.searchsorted(terms[order], np.arange(size + 1))
+        n, dense = len(self.ids), self.row[terms] >= 0
+        table = np.zeros((len(common), n), np.float32)
+        table[self.row[terms[dense]], places[dense]] = self.weights[dense]
+        # From here on examples are numbered in the order that keeps similar ones together.
+        self.order = _alike(table) if order is None else order
+        self._source = ids, labels, sizes, terms, counts, self.order
+        self.place = np.empty(n, np.int32)
+        self.place[self.order] = np.arange(n, dtype=np.int32)
+        self.dense = table[:, self.order]
+        rest = np.flatnonzero(~dense)
+        places = self.place[places[rest]]
+        by = np.lexsort((places, terms[rest]))
+        self.places, self.listed = places[by], self.weights[rest[by]].astype(np.float32)
+        listed = terms[rest[by]]
+        self.offsets = np.searchsorted(listed, np.arange(size + 1))
+        self.few = np.diff(self.offsets) <= FEW
+        # Posting lists of the other words in blocks: where they start, which block, largest weight.
+        starts = np.flatnonzero(np.diff(listed.astype(np.int64) * (n + 1) + self.places // BLOCK, prepend=-1))
+        starts = starts[~self.few[listed[starts]]]
+        ends = np.append(starts[1:], len(listed))
+        ends = np.minimum(ends, self.offsets[listed[starts] + 1])
+        self.pieces = starts, ends - starts
+        self.piece_block = self.places[starts] // BLOCK
+        self.piece_most = np.array([], np.float32) if not len(starts) else np.maximum.reduceat(
+            np.append(self.listed, np.float32(0)), np.column_stack((starts, ends)).ravel())[::2]
+        self.piece_offsets = np.searchsorted(listed[starts], np.arange(size + 1))
+        self.blocks = np.arange(0, n, BLOCK)
 
     @staticmethod
     def _contrast(frequency: np.ndarray, positive: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -118,37 +160,81 @@ class Index:
     def bag(self, text: str | None) -> dict[int, int]:
         return {self.vocabulary[word]: n for word, n in Counter(words(text)).items() if word in self.vocabulary}
 
+    def counted(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The same as arrays of words and counts."""
+        found = map(self.vocabulary.get, words(text), repeat(-1))
+        numbers, n = np.unique(np.fromiter(found, np.int32), return_counts=True)
+        known = numbers >= 0
+        return numbers[known], n[known]
+
     def vector(self, bag: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         terms = np.fromiter(bag, np.int32, len(bag))
         return terms, self._unit(terms, np.fromiter(bag.values(), np.float64, len(bag)))
 
-    def _rough(self, vectors) -> np.ndarray:
-        """The cosines of some texts with all examples, in single precision."""
-        asked = np.zeros((len(vectors), len(self.dense)), np.float32)
-        for own, (terms, weights) in zip(asked, vectors, strict=True):
+    def _ranges(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """All numbers of some ranges."""
+        return np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+
+    def _near(self, own: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int, skip: int | None, tally: Counter | None) -> np.ndarray:
+        """The places, in the index's order, of all examples that can be among the ``k`` nearest.
+
+        ``own`` has the cosines' share of the dense matrix.
+        """
+        rest = self.row[terms] < 0
+        terms, weights = terms[rest], weights[rest].astype(np.float32)
+        few = self.few[terms]
+        starts = self.offsets[terms[few]]
+        sizes = self.offsets[terms[few] + 1] - starts
+        at = self._ranges(starts, sizes)
+        np.add.at(own, self.places[at].astype(np.intp), np.repeat(weights[few], sizes) * self.listed[at])
+        if skip is not None:
+            own[skip] = -2
+        terms, weights = terms[~few], weights[~few]
+        starts = self.piece_offsets[terms]
+        sizes = self.piece_offsets[terms + 1] - starts
+        pieces, factors = self._ranges(starts, sizes), np.repeat(weights, sizes)
+        block = self.piece_block[pieces]
+        bounds = np.maximum.reduceat(own, self.blocks) + np.bincount(block, factors * self.piece_most[pieces], len(self.blocks))
+        order = np.argsort(-bounds, kind="stable")
+        least, low, step, found = -np.inf, 0, FIRST_BLOCKS, []
+        while low < len(order) and bounds[order[low]] >= max(least, 0) - ROUNDING:
+            now = order[low:low + step]
+            now = now[bounds[now] >= max(least, 0) - ROUNDING]
+            visited = np.zeros(len(self.blocks), bool)
+            visited[now] = True
+            mine = visited[block]
+            starts, sizes = self.pieces[0][pieces[mine]], self.pieces[1][pieces[mine]]
+            at = self._ranges(starts, sizes)
+            own += np.bincount(self.places[at], np.repeat(factors[mine], sizes) * self.listed[at], len(own)).astype(np.float32)
+            places = self._ranges(self.blocks[now], np.minimum(BLOCK, len(own) - self.blocks[now]))
+            places = places[own[places] >= least - ROUNDING]
+            found = np.concatenate([found, places]).astype(np.int64)
+            if len(found) >= k:
+                least = np.partition(own[found], -k)[-k]
+            low += len(now)
+            if len(now) < step:
+                break
+            # With enough found, what is left above their bound is visited together.
+            step = len(order) if len(found) >= k else 2 * step
+        if tally is not None:
+            tally.update(visited=low, blocks=len(order))
+        found = np.asarray(found, np.int64)
+        return found[(own[found] >= least - ROUNDING) & (own[found] > 0)]
+
+    def search_all(self, vectors, k: int = NEIGHBOURS, skips=None, tally: Counter | None = None):
+        """For each of some texts: places, cosines and agreements of the ``k`` nearest examples, ties by place."""
+        sums, asked = np.zeros((len(vectors), len(self.dense)), np.float32), np.zeros(len(self.idf))
+        for own, (terms, weights) in zip(sums, vectors, strict=True):
             rows = self.row[terms]
             own[rows[rows >= 0]] = weights[rows >= 0]
-        values = asked @ self.dense
-        for own, (terms, weights) in zip(values, vectors, strict=True):
-            rest = self.row[terms] < 0
-            starts = self.offsets[terms[rest]]
-            sizes = self.offsets[terms[rest] + 1] - starts
-            at = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
-            own += np.bincount(self.places[at], np.repeat(weights[rest], sizes) * self.listed[at], len(own)).astype(np.float32)
-        return values
-
-    def search_all(self, vectors, k: int = NEIGHBOURS, skips=None):
-        """For each of some texts: places, cosines and agreements of the ``k`` nearest examples, ties by place."""
-        asked = np.zeros(len(self.idf))
-        for number, (rough, (terms, weights)) in enumerate(zip(self._rough(vectors), vectors, strict=True)):
-            if skips is not None:
-                rough[skips[number]] = 0
-            least = np.partition(rough, -k)[-k] if len(rough) >= k else 0.0
-            near = np.flatnonzero((rough >= least - ROUNDING) & (rough > 0))
+        sums = sums @ self.dense
+        for number, (own, (terms, weights)) in enumerate(zip(sums, vectors, strict=True)):
+            skip = None if skips is None else self.place[skips[number]]
+            near = self.order[self._near(own, terms, weights, k, skip, tally)]
             asked[terms] = weights
             sizes = self.starts[near + 1] - self.starts[near]
             firsts = np.cumsum(sizes) - sizes
-            at = np.arange(sizes.sum()) + np.repeat(self.starts[near] - firsts, sizes)
+            at = self._ranges(self.starts[near], sizes)
             shared = asked[self.terms[at]] * self.weights[at]
             asked[terms] = 0
             if len(near):
@@ -171,14 +257,14 @@ class Index:
         rate = min(max(rate, 1e-6), 1 - 1e-6)
         return float(np.log(rate / (1 - rate)))
 
-    def calibrate(self) -> None:
+    def calibrate(self, calibrated: int = CALIBRATED) -> None:
         """Fit the logistic curve to leave-one-out votes, with a weak pull to the identity.
 
-        At most ``CALIBRATED`` examples vote, evenly spread over the index.
+        At most ``calibrated`` examples vote, evenly spread over the index.
         """
         if len(np.unique(self.labels)) < 2:
             return
-        chosen = list(range(0, len(self.ids), -(-len(self.ids) // CALIBRATED)))
+        chosen = list(range(0, len(self.ids), -(-len(self.ids) // calibrated)))
         votes = np.array([self.vote(*found) for k in range(0, len(chosen), TOGETHER) for found in self.search_all(
             [self._vector(place) for place in chosen[k:k + TOGETHER]], skips=chosen[k:k + TOGETHER])])
         labels = self.labels[chosen]
@@ -196,10 +282,10 @@ class Index:
     def scores(self, batch) -> list[tuple[float, list[int]]]:
         """The calibrated scores of whole texts and the ids of their nearest examples."""
         out: list[tuple[float, list[int]]] = [(float(self.rate), [])] * len(batch)
-        known = [(k, bag) for k, text in enumerate(batch) if len(self.ids) and (bag := self.bag(text))]
+        known = [(k, own) for k, text in enumerate(batch) if len(self.ids) and len((own := self.counted(text))[0])]
         for first in range(0, len(known), TOGETHER):
             part = known[first:first + TOGETHER]
-            for (k, _), (places, cosines, agreed) in zip(part, self.search_all([self.vector(bag) for _, bag in part]), strict=True):
+            for (k, _), (places, cosines, agreed) in zip(part, self.search_all([(terms, self._unit(terms, n)) for _, (terms, n) in part]), strict=True):
                 if len(places):
                     logit = self.slope * self.vote(places, cosines, agreed) + self.shift
                     out[k] = float(1 / (1 + np.exp(-np.clip(logit, -35, 35)))), self.ids[places[:3]].tolist()
@@ -216,7 +302,7 @@ class Packed:
         return pickle.loads, (self.state,)
 
 
-def packed_index(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> Packed:
+def packed_index(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES, calibrated: int = CALIBRATED) -> Packed:
     """Index at most ``most`` labelled rows with crc32(doc_id) mod 5 other than 0, in one task."""
     known = examples(docs, labels, "toxic", 5, 0, most)
 
@@ -235,7 +321,7 @@ def packed_index(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -
         ids, labels = [row.doc_id for row in rows], [row.y for row in rows]
         del rows
         index = Index(list(vocabulary), ids, (dict(zip(t.tolist(), n.tolist(), strict=True)) for t, n in bags), labels)
-        index.calibrate()
+        index.calibrate(calibrated)
         yield pd.DataFrame({"state": [pickle.dumps(index)]})
 
     # The distinct words of at most ``most`` rows.
@@ -248,13 +334,13 @@ def build_index(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) ->
     return pickle.loads(packed_index(docs, labels, most).state)
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, most: int = MAX_EXAMPLES, calibrated: int = CALIBRATED) -> DataFrame:
     """``doc_id, held_out, score, predicted, evidence`` for every row with an id.
 
     ``evidence`` are the ids of the nearest examples. Only the text is scored, all of
     it; texts without any word of an example, empty and NULL ones get the examples' rate. Repeated rows get equal scores; an empty table gives an empty result.
     """
-    index = docs.sparkSession.sparkContext.broadcast(packed_index(docs, labels, most))  # bounded by ``most``
+    index = docs.sparkSession.sparkContext.broadcast(packed_index(docs, labels, most, calibrated))  # bounded by ``most``
 
     def score(batches):
         for batch in batches:

@@ -1,6 +1,7 @@
 """Classifiers and rules: held-out accuracy, exact search, counts against brute force."""
 
 import math
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -65,6 +66,51 @@ def test_search_equals_comparing_all_examples():
             assert np.allclose(values, best) and np.allclose(cosines[places], values)
 
 
+@pytest.mark.parametrize("block, first, few", [(4, 1, 0), (16, 2, 3), (512, 6, 24)])
+def test_blocks_are_left_out_and_nothing_is_lost(monkeypatch, block, first, few):
+    """Examples of a few kinds: blocks of other kinds are never visited, and the nearest are those of a whole search."""
+    for name, value in (("BLOCK", block), ("FIRST_BLOCKS", first), ("FEW", few), ("COMMON_SHARE", 0.2)):
+        monkeypatch.setattr(toxicity, name, value)
+    rng = np.random.default_rng(5)
+    bags = []
+    for k in range(600):
+        own = rng.choice(80, rng.integers(3, 12), replace=False) + 100 * (k // 100)
+        bags.append({int(t): int(rng.integers(1, 4)) for t in (*own, 600 + int(rng.integers(0, 40)), 650)})
+    index = toxicity.Index([b"%d" % k for k in range(651)], range(600), bags, rng.integers(0, 2, 600))
+    index = pickle.loads(pickle.dumps(index))
+    dense = np.zeros((600, 651))
+    for row, (terms, weights) in zip(dense, index.vectors, strict=True):
+        row[terms] = weights
+    tally = Counter()
+    asked = [index.vector(bag) for bag in bags[:120]]
+    for skips in (None, list(range(120))):
+        for k, ((terms, weights), (places, values, _)) in enumerate(zip(asked, index.search_all(asked, skips=skips, tally=tally), strict=True)):
+            cosines = dense[:, terms] @ weights
+            if skips:
+                cosines[k] = -1
+            assert np.allclose(values, np.sort(cosines)[::-1][:toxicity.NEIGHBOURS]) and np.allclose(cosines[places], values)
+    assert tally["visited"] <= tally["blocks"]
+    if block < 512:
+        assert tally["visited"] < 0.6 * tally["blocks"]
+
+
+def test_toxic_held_out_rows_are_found(tables):
+    docs, labels = tables
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    rows = [r for r in toxicity.toxicity_scores(docs, labels).collect() if r["held_out"] and r["doc_id"] in truth]
+    toxic = [r["predicted"] for r in rows if truth[r["doc_id"]] == 1]
+    clean = [r["predicted"] for r in rows if truth[r["doc_id"]] == 0]
+    assert sum(toxic) >= 0.7 * len(toxic) and sum(clean) <= 0.05 * len(clean), (sum(toxic), len(toxic), sum(clean), len(clean))
+
+
+def test_an_id_with_two_texts_gives_one_example_every_time(spark):
+    rows = [(1, "first text", "x"), (1, "second text", "y"), (2, None, "z")]
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    found = {tuple(labelled.examples(spark.createDataFrame(order, "doc_id long, text string, y string").repartition(n), labels, "toxic", 1, -1)
+                   .orderBy("doc_id").collect()) for order in (rows, rows[::-1]) for n in (1, 3)}
+    assert len(found) == 1
+
+
 def test_rare_words_of_examples_are_searched(spark):
     """A word that one example holds, and that says nothing about the label, still finds this example."""
     ids = [k for k in range(60) if zlib.crc32(str(k).encode()) % 5]
