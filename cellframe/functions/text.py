@@ -78,10 +78,6 @@ def flat_name(name: Column) -> Column:
     return F.replace(name, F.lit(":"), F.lit("_"))
 
 
-def lower_name(name: Column) -> Column:
-    return F.lower(name)
-
-
 def zip_to_map(names: Sequence[str], values: Column) -> Column:
     """Positional values under their names; missing trailing values have no entry."""
     keys = F.array(*[F.lit(n) for n in names])

@@ -39,7 +39,6 @@ def test_small_expressions(spark):
     assert _one(spark, tx.partition_label(F.lit(datetime.datetime(2018, 9, 29, 8, 28, 33, 123000)))) == "20180929082833123"
     assert _one(spark, tx.count_matches(F.lit("a=b=c"), "=")) == 2
     assert _one(spark, tx.flat_name(F.lit("ns:t"))) == "ns_t"
-    assert _one(spark, tx.lower_name(F.lit("AbC"))) == "abc"
     assert _one(spark, tx.key_text(F.lit("é".encode()))) == "é"
     assert _one(spark, tx.qualified_name(F.lit("f"), F.lit("q"))) == "f:q"
     assert _one(spark, tx.zip_to_map(["a", "b", "c"], F.array(F.lit("1"), F.lit("2")))) == {"a": "1", "b": "2"}
