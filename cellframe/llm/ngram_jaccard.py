@@ -111,7 +111,7 @@ def _bucket_counts(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def _verified(files: Scratch, docs: DataFrame, pairs: DataFrame, rank, words: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that link: small bitmaps first, then the other orders and the whole sets."""
+    """The pairs ``a, b`` that link: bitmaps and prefixes of the other orders first, then whole sets of what all let through."""
     pairs = files.store(pairs.distinct(), "pairs")
     wanted = files.store(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
 
@@ -140,15 +140,15 @@ def _verified(files: Scratch, docs: DataFrame, pairs: DataFrame, rank, words: in
         return left.mapInPandas(rows, "a long, b long")
 
     def close(row) -> bool:
-        return may_overlap(np.frombuffer(row.bits_a, np.uint8), np.frombuffer(row.bits_b, np.uint8), row.n_a, row.n_b, percent)
+        orders = ((row.prefix_1_a, row.prefix_1_b), (row.prefix_2_a, row.prefix_2_b))
+        return may_overlap(np.frombuffer(row.bits_a, np.uint8), np.frombuffer(row.bits_b, np.uint8), row.n_a, row.n_b, percent) and all(
+            shares_prefix(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), row.n_a, row.n_b, percent) for x, y in orders)
 
     def links(row) -> bool:
-        orders = ((row.prefix_1_a, row.prefix_1_b), (row.prefix_2_a, row.prefix_2_b))
-        return all(shares_prefix(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), row.n_a, row.n_b, percent)
-                   for x, y in orders) and linked(np.frombuffer(row.tokens_a, np.uint64), np.frombuffer(row.tokens_b, np.uint64), percent)
+        return linked(np.frombuffer(row.tokens_a, np.uint64), np.frombuffer(row.tokens_b, np.uint64), percent)
 
-    passed = files.store(checked(pairs, ("n", "bits"), close), "passed")
-    edges = files.store(checked(passed, ("n", "tokens", "prefix_1", "prefix_2"), links), f"edges-{files.count}")
+    passed = files.store(checked(pairs, ("n", "bits", "prefix_1", "prefix_2"), close), "passed")
+    edges = files.store(checked(passed, ("tokens",), links), f"edges-{files.count}")
     files.drop("passed", "sets", "wanted", "pairs")
     return edges
 
@@ -167,8 +167,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     document (the largest set gives ``n_shingles``); rows without an id are left out;
     other columns are ignored; an empty table gives an empty result.
     """
-    # Rows with whole sets are several KB; tasks hold a batch of them at a time.
-    with session_settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}):
+    # Rows with whole sets are several KB; tasks hold a batch of them at a time. Every step is
+    # written before the next one starts, so its shuffle files can go when it has ended.
+    with session_settings(docs.sparkSession, {
+            "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+            "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
         return _near_duplicates(docs, words, percent)
 
 
