@@ -13,7 +13,7 @@ import re
 
 import numpy as np
 
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 1_500_000
 GROUP = 64
 
 # A run of spaces and line ends with the word after it, a word with one space before
