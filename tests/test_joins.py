@@ -154,3 +154,13 @@ def test_join_of_one_partition_of_two_tables(spark, tmp_path):
     out = str(tmp_path / "joined")
     jobs.join_tables(spark, str(tmp_path / "ItemBase"), str(tmp_path / "ItemPrice"), "itemnumber", label, schema, out)
     assert rows(spark.read.orc(out)) == [("n1", "5", "CAN"), ("n1", "5", "USA")]
+
+
+def test_small_files_of_many_rows_are_not_broadcast(spark, tmp_path, plan):
+    frames = []
+    for name, column in (("left", "group"), ("right", "country")):
+        spark.range(200_000).select(F.col("id").alias("item"), F.lit("same").alias(column)).write.orc(str(tmp_path / name))
+        frames.append(spark.read.orc(str(tmp_path / name)))
+    joined = inner_join(*frames, ["item"], text=True)
+    assert "Broadcast" not in plan(joined) and "SortMergeJoin" in plan(joined)
+    assert joined.count() == 200_000
