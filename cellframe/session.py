@@ -39,6 +39,16 @@ def tasks_for(df: DataFrame, task_bytes: int = 64 << 20) -> int:
     return least if size >= 1 << 60 else max(least, -(-size // task_bytes))
 
 
+def spread_rows(df: DataFrame, times: int, task_rows: int = 1_000_000) -> DataFrame:
+    """The same rows dealt over tasks, so that each has about ``task_rows`` once a row is ``times`` rows.
+
+    Scans are cut by the bytes of files, and a few MB of well-compressed rows can become more
+    cells than a task should sort. Rows move before they multiply; the files' footers count them.
+    """
+    tasks = -(-df.count() * times // task_rows)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def shuffle_into(spark: SparkSession, num_partitions: int | None):
     """Let a job's own shuffle deal its rows into this many partitions.
 

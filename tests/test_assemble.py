@@ -11,6 +11,8 @@ from cellframe.model import distinct_families, extend_schema, schema_of, schema_
 from cellframe.operators import ordered
 from cellframe.operators.select import conform, drop_columns, drop_empty_rows, families, key_range, require_nonempty
 
+from workload.registry import PART_FAMILIES, part_cells
+
 from helpers import cells_frame, rows
 
 SPECS = [ColumnSpec("f", "a", "int", "x"), ColumnSpec("f", "b", "string", "y")]
@@ -211,3 +213,12 @@ def test_conform_and_drop(spark):
     assert drop_columns(df, "dt").columns == ["a", "B"]
     schema = extend_schema(schema_of([ColumnSpec("f", "b", "string", "b"), ColumnSpec("f", "n", "int", "n")]), "a")
     assert conform(df, schema).collect() == [("x", None, "1")]
+
+
+def test_cells_of_small_files_are_spread_over_tasks(spark, tmp_path):
+    id = F.col("id")
+    spark.range(0, 150_000, 1, 1).select(id.alias("p_partkey"), *[F.lit("same").alias(n) for n in PART_FAMILIES]).write.parquet(
+        str(tmp_path / "part.parquet"))
+    cells = part_cells(spark, str(tmp_path), versions=3)
+    sizes = [r["n"] for r in cells.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 150_000 * 15 and max(sizes) <= 1_000_000

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellframe import unpivot_to_cells
+from cellframe.session import spread_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,7 +48,7 @@ PART_FAMILIES = {
 
 def part_cells(spark: SparkSession, sf_dir: str, versions: int = 1) -> DataFrame:
     """Parts as cells in two families; earlier versions hold other values."""
-    part = table(spark, sf_dir, "part")
+    part = spread_rows(table(spark, sf_dir, "part"), len(PART_FAMILIES) * versions)
     newest = unpivot_to_cells(part, "p_partkey", PART_FAMILIES, list(PART_FAMILIES), ts=F.lit(versions))
     if versions == 1:
         return newest
