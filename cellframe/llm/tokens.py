@@ -2,24 +2,37 @@
 
 Both tokenizers used here cut a text before a space or line end that follows another
 character, whatever comes later, so ids of a text are the ids of its pieces in order.
-Pieces repeat; their ids are kept in a table of bounded size. Texts with other white
-space go to the library whole.
+Pieces repeat; their ids are kept in a table of bounded size. Both also cut between Latin
+letters and the signs behind them, so the ids of a new piece are put together from those
+of its word, in lower case where the tokenizer lowers it, and of its signs, which repeat
+more often. Texts with other white space go to the library whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from itertools import islice
 
 import numpy as np
 
-CACHE_WORDS = 1_500_000
+CACHE_WORDS, CACHE_PARTS = 800_000, 700_000
 GROUP = 64
 
 # A run of spaces and line ends with the word after it, a word with one space before
 # it, or a single separator.
 _PIECE = re.compile(r"[ \n]{2,}[^ \n]*| ?[^ \n]+|[ \n]")
 _OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x01]")
+_ASCII_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x01"  # those of them in ASCII
+# Latin-1 letters after at most a space, then ASCII signs; an apostrophe can belong to both sides.
+_WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_CAPITALS = " ".join("ABCDEFGHIJKLMNOPQRSTUVWXYZÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ")
+
+
+def _has_other_space(text: str) -> bool:
+    if text.isascii():
+        return any(c in text for c in _ASCII_SPACE)
+    return _OTHER_SPACE.search(text) is not None
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
@@ -39,7 +52,8 @@ class Encoder:
     ``drops_space`` tells that the tokenizer ignores white space altogether.
     """
 
-    def __init__(self, path: str, drops_space: bool = False, most: int = CACHE_WORDS):
+    def __init__(self, path: str, drops_space: bool = False, most: int = CACHE_WORDS,
+                 most_parts: int = CACHE_PARTS):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
@@ -47,11 +61,32 @@ class Encoder:
         self.drops_space = drops_space
         self.separator = " \x01 " if drops_space else "\n"
         self.mark = self._ids(["\x01" if drops_space else "\n"])[0]
+        self.lowers = self._ids([_CAPITALS]) == self._ids([_CAPITALS.lower()])
         self.most, self.known = most, ({}, {})  # of plain pieces, of words after a space
+        self.most_parts, self.parts = most_parts, {"": b""}  # of words and signs in pieces
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _put_together(self, new: list[str]) -> dict[str, bytes]:
+        """The ids of new pieces from those of their parts."""
+        whole, words = [], []
+        for piece in new:
+            match = _WORD.fullmatch(piece)
+            if match is None:
+                whole.append(piece)
+            else:
+                words.append((piece, match[1].lower() if self.lowers else match[1], match[2]))
+        parts = {word for _, word, _ in words}
+        parts.update(signs for _, _, signs in words)
+        more = self._learn(list(parts.difference(self.parts)))
+        known = self.parts
+        out = {piece: (known[word] if word in known else more[word]) + (known[signs] if signs in known else more[signs])
+               for piece, word, signs in words}
+        self.parts.update(islice(more.items(), max(0, self.most_parts - len(self.parts))))
+        out.update(self._learn(whole))
+        return out
+
     def _learn(self, new: list[str]) -> dict[str, bytes]:
         """The ids of new pieces; words go to the library in groups between separators."""
         plain = [p for p in new if "\n" not in p and not p.isspace() and p[:2] != "  "]
@@ -84,20 +119,25 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text as 32-bit numbers; NULL counts as empty."""
         texts = [text or "" for text in texts]
-        whole = [k for k, text in enumerate(texts) if _OTHER_SPACE.search(text)]
-        parts = [[] if k in whole else self._split(text) for k, text in enumerate(texts)]
+        whole = [k for k, text in enumerate(texts) if _has_other_space(text)]
+        parts = [[] for _ in texts]
         new: tuple[set[str], set[str]] = set(), set()
+        gets = [known.get for known in self.known]
+        for k in sorted(set(range(len(texts))).difference(whole)):
+            for spaced, keys in self._split(texts[k]):
+                found = list(map(gets[spaced], keys))
+                gaps = [i for i, ids in enumerate(found) if ids is None]
+                new[spaced].update([keys[i] for i in gaps])
+                parts[k].append((spaced, found, gaps, [keys[i] for i in gaps]))
+        learnt = [self._put_together(list(new[0])), {p[1:]: ids for p, ids in self._put_together([" " + p for p in new[1]]).items()}]
+        out = []
         for part in parts:
-            for spaced, keys in part:
-                new[spaced].update(set(keys).difference(self.known[spaced]))
-        learnt = [self._learn(list(new[0])), {p[1:]: ids for p, ids in self._learn([" " + p for p in new[1]]).items()}]
-        find = []
+            for spaced, found, gaps, keys in part:
+                for i, key in zip(gaps, keys, strict=True):
+                    found[i] = learnt[spaced][key]
+            out.append(np.frombuffer(b"".join([b"".join(found) for _, found, _, _ in part]), np.uint32))
         for known, more in zip(self.known, learnt, strict=True):
-            room = self.most - sum(map(len, self.known))
-            known.update(more if len(more) <= room else list(more.items())[:max(0, room)])
-            complete = more.keys() <= known.keys()
-            find.append(known.__getitem__ if complete else lambda p, known=known, more=more: known[p] if p in known else more[p])
-        out = [np.frombuffer(b"".join([b"".join(map(find[spaced], keys)) for spaced, keys in part]), np.uint32) for part in parts]
+            known.update(islice(more.items(), max(0, self.most - sum(map(len, self.known)))))
         for k, ids in zip(whole, self._ids([texts[k] for k in whole]), strict=True):
             out[k] = np.array(ids, np.uint32)
         return out

@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
@@ -31,6 +32,25 @@ def test_encoder_equals_the_library(path, drops):
             assert whole.encode(text or "", add_special_tokens=False).ids == ids.tolist()
 
 
+@pytest.mark.parametrize("name,drops", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_signs_and_capitals_ask_the_library_for_no_known_word(name, drops):
+    path = public_tokenizers.path(name)
+    whole, encoder, asked = Tokenizer.from_file(path), tokens.Encoder(path, drops, most_parts=400), []
+    rng = random.Random(3)
+    words = ["Straße", "über", "word", "Word", "it's", "ªx", "ÿes", "a1b", "x_y", "Ünïté", "e\u0301t", "ΣΑΣ", "<|endoftext|>", "l'été"]
+    signs = ["", ",", "***", ".)", "'s", "'S,", "_", "…", "\u0338", "<|", "<|endoftext|>", "=\u0338", "7"]
+    texts = [" ".join(rng.choice(["", "(", "'"]) + rng.choice(words) + rng.choice(signs) for _ in range(20)) for _ in range(200)]
+    for low in range(0, len(texts), 50):
+        for text, ids in zip(texts[low:low + 50], encoder.encode(texts[low:low + 50]), strict=True):
+            assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text
+    encoder = tokens.Encoder(path, drops)
+    encoder.encode(["a newword newer"])
+    ask = encoder._ids
+    encoder._ids = lambda texts: asked.extend(texts) or ask(texts)
+    encoder.encode(["a newword, newer*** newword*** newer,"] + ["a NEWWORD***"] * drops)
+    assert not any("newword" in text.lower() or "newer" in text for text in asked)
+
+
 def check_sequences(rows, length=packing.LENGTH):
     sequences = defaultdict(list)
     for r in rows:
