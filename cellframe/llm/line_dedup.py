@@ -7,13 +7,20 @@ segments: one of them occurs unchanged in any line it links to, near its own pla
 every line is indexed by its segments, and probes the segments of lines as long as
 itself or a few characters shorter at the few places that can matter.
 
+Lines that link with none are left out of that join beforehand, as they have dozens of
+probes each. An edit changes at most three pairs of neighbouring words. So of any
+``3 * edits + 1`` distinct pairs of a line one is in every line it links to, and under one
+order of all pairs two such lines share one among their first ``3 * edits + 1``. The order
+puts long pairs first, which few lines share. A line with so many pairs goes on if it shares
+one of its first with a line about as long; lines with fewer pairs always go on.
+
 Candidates must agree in a 64-bit signature of their words (one edit flips at most
 three bits of it), which keeps lines that only share one segment apart inside the join,
 and are verified with a banded bit-parallel edit distance.
 
 Equal lines are brought together first, by hash and with partial aggregation, so a
-line that fills a third of the corpus is one row in all later steps. No step moves the
-texts; only the lines of candidates are read again.
+line that fills a third of the corpus is one row in all later steps. Only hashes move before
+lines are left out; the texts of the others are read again.
 """
 
 from __future__ import annotations
@@ -21,10 +28,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, query, stored, table, texts
+from ..session import COMPILED_METHODS, session_settings
+from .common import Scratch, components, query, table, texts
 
 MIN_CHARS = 20
 CHARS_PER_EDIT, MOST_EDITS = 16, 4
+TOUCHED = 3  # word pairs that one edit changes at most: where two words become one
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -49,34 +58,40 @@ def _allowed(length: Column, max_edits: int | None) -> Column:
     return F.coalesce(*(F.when(_within(length, least, end), edits) for least, end, edits in _classes(max_edits)))
 
 
-def _segments(max_edits: int | None) -> tuple[Column, Column]:
-    """Hashes that index a line, and the further ones it probes with, as arrays."""
-    size, index, probes = F.char_length("line"), [], []
-    for least, end, edits in _classes(max_edits):
-        parts = edits + 1
-        for shorter in range(edits + 1):
-            length, own, further = size - shorter, [], []
-            base = F.floor(length / parts).cast("int")
-            for i in range(parts):  # the last ``length % parts`` segments are one longer
-                longer = parts - length % parts
-                start = i * base + F.greatest(F.lit(0), i - longer)
-                width = base + F.when(F.lit(i) >= longer, 1).otherwise(0)
-                after = parts - 1 - i
-                for shift in range(max(-i, shorter - after), min(i, shorter + after) + 1):
-                    part = F.substring(F.col("line"), start + 1 + shift, width)
-                    target = own if shorter == 0 and shift == 0 else further
-                    target.append(F.xxhash64(length, F.lit(i), part))
-            for hashes, target in ((own, index), (further, probes)):
-                if hashes:
-                    none = F.array().cast("array<bigint>")
-                    target.append(F.when(_within(length, least, end), F.array(*hashes)).otherwise(none))
-    return tuple(F.concat(*arrays) if arrays else F.array().cast("array<bigint>") for arrays in (index, probes))
+def _segments(lines: DataFrame, max_edits: int | None) -> DataFrame:
+    """A row per segment of a line that indexes it (``own``) or that it probes with: ``h, own, id, n, sig``.
+
+    ``code`` has the line in UTF-32, where a character's place needs no walk from the start.
+    """
+    places, most = [], _classes(max_edits)[-1][2]
+    for shorter in range(most + 1):
+        cases = F
+        for least, end, edits in _classes(max_edits):
+            if shorter <= edits:
+                found = [f"named_struct('shorter', {shorter}, 'parts', {edits + 1}, 'i', {i}, 'shift', {shift})" for i in range(edits + 1)
+                         for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + edits - i) + 1)]
+                cases = cases.when(_within(F.col("n") - shorter, least, end), F.expr(f"array({', '.join(found)})"))
+        places.append(F.coalesce(cases, F.expr("filter(array(named_struct('shorter', 0, 'parts', 0, 'i', 0, 'shift', 0)), x -> false)")))
+    rows = lines.select("id", "n", "sig", "code", F.explode(F.concat(*places)).alias("at"))
+    rows = rows.select("id", "n", "sig", "code", "at.*", (F.col("n") - F.col("at.shorter")).alias("length"))
+    # The last ``length % parts`` segments are one longer.
+    part = F.expr("""substring(code, 4 * (i * CAST(length div parts AS INT) + greatest(0, i - parts + length % parts) + shift) + 1,
+      4 * (CAST(length div parts AS INT) + CASE WHEN i >= parts - length % parts THEN 1 ELSE 0 END))""")
+    return rows.select(F.xxhash64("length", "i", part).alias("h"), F.expr("shorter = 0 AND shift = 0").alias("own"), "id", "n", "sig")
 
 
 def _signature() -> Column:
     return F.expr("aggregate(split(line, ' '), 0L, (bits, word) -> bits ^ shiftleft(1L, CAST(xxhash64(word) & 63 AS INT)))")
 
 
+def _first_pairs(needed: Column) -> Column:
+    """Of ``words``, the hashes of the ``needed`` first distinct pairs, or of all; their upper bits put long ones first."""
+    pairs = F.expr("""transform(slice(words, 1, size(words) - 1), (word, i) ->
+      shiftleft(CAST(63 - least(63, octet_length(word) + octet_length(words[i + 1])) AS BIGINT), 57)
+      | shiftrightunsigned(xxhash64(word, words[i + 1]), 7))""")
+    return F.slice(F.sort_array(F.array_distinct(pairs)), F.lit(1), needed)
+
+
 def edit_distance_at_most(left: str, right: str, edits: int) -> Column:
     """Whether the edit distance of two text columns is at most ``edits``.
 
@@ -118,40 +133,59 @@ def line_classes(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int | N
     itself gives no row. Shorter lines, empty texts and NULL texts give none; rows
     that repeat an id and text count as one; an empty table gives an empty result.
     """
-    docs = texts(docs)
-    most = _classes(max_edits)[-1][2]
-    index, probes = _segments(max_edits)
-    prepared = stored(_lines(docs, max(min_chars, most + 1)).select(
-        "doc_id", "version", "line_no", F.unhex(F.md5("line")).alias("key"), F.char_length("line").alias("n"),
-        _signature().alias("sig"), index.alias("index"), probes.alias("probes")), "lines")
-    place = F.struct("doc_id", "version", "line_no")
-    firsts = stored(prepared.groupBy("key").agg(
-        F.min(place).alias("at"), F.count(F.lit(1)).alias("times"),
-        *(F.first(c).alias(c) for c in ("n", "sig", "index", "probes"))), "firsts")
-
-    def rows(hashes: Column, side: str) -> DataFrame:
-        return firsts.select(F.explode(hashes).alias("h"), "at", "n", "sig").alias(side)
-
+    # Every step is written before the next one starts, so its shuffle files can go when it has ended.
+    with session_settings(docs.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", **COMPILED_METHODS}):
+        return _line_classes(texts(docs), min_chars, max_edits)
+
+
+def _line_classes(docs: DataFrame, min_chars: int, max_edits: int | None) -> DataFrame:
+    files = Scratch(docs.sparkSession, "line-dedup")
+    lines = _lines(docs, max(min_chars, _classes(max_edits)[-1][2] + 1))
+    place, key = F.struct("doc_id", "version", "line_no"), F.unhex(F.md5("line")).alias("key")
+    needed = TOUCHED * _allowed(F.col("n"), max_edits) + 1
+    prepared = lines.select(place.alias("at"), key, F.char_length("line").alias("n"), F.split("line", " ").alias("words"))
+    prepared = prepared.select("at", "key", "n", _first_pairs(needed).alias("pairs"))
+    firsts = prepared.groupBy("key").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("times"),
+                                         F.first("n").alias("n"), F.first("pairs").alias("pairs"))
+    firsts = files.store(firsts.withColumn("id", F.monotonically_increasing_id()), "firsts")
+
+    # Lines that may link.
+    enough = F.size("pairs") >= needed
+    paired = [firsts.where(enough if side == "a" else F.lit(True)).select(F.explode("pairs").alias("h"), "id", "n").alias(side)
+              for side in ("a", "b")]
+    near = F.abs(F.col("a.n") - F.col("b.n")) <= _allowed(F.least("a.n", "b.n"), max_edits)
+    going = paired[0].join(paired[1], F.expr("a.h = b.h AND a.id <> b.id") & near, "left_semi").select("id")
+    going = files.store(firsts.where(~enough).select("id").unionByName(going).distinct().join(
+        firsts.select("id", "at"), "id"), "going")
+    found = _lines(docs.join(going.select("at.doc_id").distinct(), "doc_id", "left_semi"), min_chars)
+    found = files.store(found.select(place.alias("at"), "line").join(going, "at").select("id", "line").distinct(), "found")
+
+    coded = found.select("id", F.char_length("line").alias("n"), _signature().alias("sig"), F.encode("line", "UTF-32").alias("code"))
+    segments = _segments(coded, max_edits)
     allowed = _allowed(F.col("a.n"), max_edits)
-    condition = (F.expr("a.h = b.h AND (a.n < b.n OR a.n = b.n AND a.at < b.at)") & (F.col("b.n") - F.col("a.n") <= allowed)
+    condition = (F.expr("a.h = b.h AND (a.n < b.n OR a.n = b.n AND a.id < b.id)") & (F.col("b.n") - F.col("a.n") <= allowed)
                  & (F.bit_count(F.col("a.sig").bitwiseXOR(F.col("b.sig"))) <= 3 * allowed))
-    pairs = rows(F.col("index"), "a").join(rows(F.concat("index", "probes"), "b"), condition)
-    pairs = stored(pairs.select(F.col("a.at").alias("a"), F.col("b.at").alias("b")).distinct(), "pairs")
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("at")).distinct(), "wanted")
-    found = stored(_lines(docs.join(wanted.select("at.doc_id").distinct(), "doc_id", "left_semi"), min_chars)
-                   .select(place.alias("at"), "line").join(wanted, "at", "left_semi").distinct(), "found")
+    pairs = segments.where("own").alias("a").join(segments.alias("b"), condition)
+    pairs = files.store(pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), "pairs")
     both = pairs
     for side in ("a", "b"):
-        both = both.join(found.select(F.col("at").alias(side), F.col("line").alias(f"line_{side}")), side)
+        both = both.join(found.select(F.col("id").alias(side), F.col("line").alias(f"line_{side}")), side)
     shorter = F.least(F.char_length("line_a"), F.char_length("line_b"))
+    # Spark's own bounded distance is compiled and sorts out most candidates.
+    both = both.where(F.coalesce(*(F.when(_within(shorter, least, end), F.levenshtein("line_a", "line_b", edits) >= 0)
+                                   for least, end, edits in _classes(max_edits))))
     linked = F.coalesce(*(F.when(_within(shorter, least, end), edit_distance_at_most("line_a", "line_b", edits))
                           for least, end, edits in _classes(max_edits)))
-    edges = stored(both.where(linked).select("a", "b"), "edges")
-
-    labels = components(edges)
-    classes = firsts.join(labels.withColumnRenamed("node", "at"), "at", "left").where("times > 1 OR component IS NOT NULL")
-    classes = classes.select("key", F.coalesce("component", "at").alias("first"))
-    return prepared.join(classes, "key").where(F.struct("doc_id", "version", "line_no") != F.col("first")).select(
+    edges = files.store(both.where(linked).select("a", "b"), "edges")
+    files.drop("going", "found", "pairs")
+
+    # The earliest line names its class.
+    members = firsts.join(components(edges).withColumnRenamed("node", "id"), "id", "left").where("times > 1 OR component IS NOT NULL")
+    members = members.select("key", "at", F.coalesce("component", "id").alias("component"))
+    earliest = members.groupBy("component").agg(F.min("at").alias("first"))
+    classes = files.store(members.join(earliest, "component").select("key", "first"), "classes")
+    files.drop("firsts", "edges")
+    return lines.select("doc_id", "version", "line_no", key).join(classes, "key").where(place != F.col("first")).select(
         "doc_id", "version", "line_no", "first").distinct()
 
 

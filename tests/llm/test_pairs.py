@@ -165,6 +165,40 @@ def test_edits_grow_with_the_length_of_a_line(spark):
     assert line_dedup.line_classes(docs).count() == 1
 
 
+def test_lines_without_near_copies_stay_out_of_the_segment_join(spark, monkeypatch):
+    rng = random.Random(11)
+    lines = [" ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 7))) for _ in range(30)) for _ in range(100)]
+    docs = spark.createDataFrame([*enumerate(lines), (100, lines[0][:40] + "X" + lines[0][42:])], "doc_id long, text string")
+    probing, segments = [], line_dedup._segments
+    monkeypatch.setattr(line_dedup, "_segments", lambda lines, edits: probing.append(lines.count()) or segments(lines, edits))
+    found = line_dedup.line_classes(docs).collect()
+    assert [(r["doc_id"], r["first"]["doc_id"]) for r in found] == [(100, 0)]
+    assert probing == [2]
+
+
+def test_lines_of_many_and_of_few_words_equal_brute_force(spark):
+    rng = random.Random(12)
+    lines = []
+    for words in (4, 7, 8, 10, 11, 13, 14, 15, 18):  # around the numbers of words that are enough
+        base = " ".join("".join(rng.choice("abc") for _ in range(rng.randint(3, 6))) for _ in range(words))
+        for _ in range(5):
+            text = list(base)
+            for _ in range(rng.randint(0, 4)):
+                at = rng.randrange(1, len(text) - 1)
+                text[at:at + rng.randint(0, 1)] = rng.choice(([" "], ["x"], [], [text[at]]))
+            lines.append("".join(text))
+    lines = [line for line in lines if len(line) >= 20]
+
+    def allowed(n):
+        return min(max(n // 16, 1), 4)
+
+    links = [(a, b) for a, b in combinations(range(len(lines)), 2) if abs(len(lines[a]) - len(lines[b])) <= 4
+             and distance(lines[a], lines[b]) <= allowed(min(len(lines[a]), len(lines[b])))]
+    expected = {doc: first for doc, first in smallest_reachable(range(len(lines)), links).items() if doc != first}
+    found = line_dedup.line_classes(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+    assert {r["doc_id"]: r["first"]["doc_id"] for r in found.collect()} == expected
+
+
 def test_line_dedup_runs_no_python(documents, plan):
     frame = line_dedup.removed_lines(documents)
     assert not re.search("Python|Pandas|Arrow", plan(frame))
