@@ -16,7 +16,8 @@ one of its first with a line about as long; lines with fewer pairs always go on.
 
 Candidates must agree in a 64-bit signature of their words (one edit flips at most
 three bits of it), which keeps lines that only share one segment apart inside the join,
-and are verified with a banded bit-parallel edit distance.
+and are verified with a banded bit-parallel edit distance of what lies between their
+common start and end.
 
 Equal lines are brought together first, by hash and with partial aggregation, so a
 line that fills a third of the corpus is one row in all later steps. Only hashes move before
@@ -124,6 +125,22 @@ def edit_distance_at_most(left: str, right: str, edits: int) -> Column:
         THEN levenshtein({left}, {right}) <= {edits} ELSE {walk_on} END""")
 
 
+def _common_start(left: str, right: str) -> str:
+    """How many characters two texts share from their start on, a power of two after the other."""
+    return f"""aggregate(transform(sequence(0, 20), i -> shiftleft(1, 20 - i)), 0, (p, w) ->
+      CASE WHEN p + w <= least(char_length({left}), char_length({right}))
+        AND substring({left}, p + 1, w) = substring({right}, p + 1, w) THEN p + w ELSE p END)"""
+
+
+def _between(pairs: DataFrame) -> DataFrame:
+    """``line_a`` and ``line_b`` without their common start and end, which leaves their edit distance as it is."""
+    for _ in range(2):
+        pairs = pairs.withColumn("same", F.expr(_common_start("line_a", "line_b")))
+        for line in ("line_a", "line_b"):
+            pairs = pairs.withColumn(line, F.reverse(F.expr(f"substring({line}, same + 1)")))
+    return pairs.drop("same")
+
+
 def line_classes(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int | None = None) -> DataFrame:
     """The repeated lines: ``doc_id, version, line_no, first`` (doc_id, version, line_no).
 
@@ -174,10 +191,12 @@ def _line_classes(docs: DataFrame, min_chars: int, max_edits: int | None) -> Dat
     # Spark's own bounded distance is compiled and sorts out most candidates.
     both = both.where(F.coalesce(*(F.when(_within(shorter, least, end), F.levenshtein("line_a", "line_b", edits) >= 0)
                                    for least, end, edits in _classes(max_edits))))
-    linked = F.coalesce(*(F.when(_within(shorter, least, end), edit_distance_at_most("line_a", "line_b", edits))
-                          for least, end, edits in _classes(max_edits)))
+    # Written, as a filter would compute what lies between again for each of its uses.
+    both = files.store(_between(both.withColumn("edits", _allowed(shorter, max_edits))), "between")
+    linked = F.coalesce(*(F.when(F.col("edits") == edits, edit_distance_at_most("line_a", "line_b", edits))
+                          for _, _, edits in _classes(max_edits)))
     edges = files.store(both.where(linked).select("a", "b"), "edges")
-    files.drop("going", "found", "pairs")
+    files.drop("going", "found", "pairs", "between")
 
     # The earliest line names its class.
     members = firsts.join(components(edges).withColumnRenamed("node", "id"), "id", "left").where("times > 1 OR component IS NOT NULL")

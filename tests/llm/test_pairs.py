@@ -199,6 +199,21 @@ def test_lines_of_many_and_of_few_words_equal_brute_force(spark):
     assert {r["doc_id"]: r["first"]["doc_id"] for r in found.collect()} == expected
 
 
+def test_common_start_and_end_are_left_out_of_the_distance(spark):
+    rng = random.Random(13)
+    rows = [("", ""), ("", "é"), ("aaa", "aa"), ("abab", "ab"), ("same", "same"), ("abcXdef", "abcYdef"), ("x" * 300 + "é", "x" * 300)]
+    for _ in range(200):
+        text = [rng.choice("abé ") for _ in range(rng.randint(0, 40))]
+        other = list(text)
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(other) + 1)
+            other[at:at + rng.randint(0, 1)] = rng.choice((["a"], ["é"], []))
+        rows.append(("".join(text), "".join(other)))
+    frame = line_dedup._between(spark.createDataFrame([(*row, *row) for row in rows], "a string, b string, line_a string, line_b string"))
+    for a, b, left, right in frame.collect():
+        assert distance(left, right) == distance(a, b) and (not left or not right or (left[0] != right[0] and left[-1] != right[-1]))
+
+
 def test_line_dedup_runs_no_python(documents, plan):
     frame = line_dedup.removed_lines(documents)
     assert not re.search("Python|Pandas|Arrow", plan(frame))
